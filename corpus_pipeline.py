@@ -1,12 +1,63 @@
-"""The corpus pipeline: its stages in order, each on what the one before kept."""
+"""The corpus pipeline: quality, near-duplicate join, repeated bytes, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir), returns a DataFrame, and works on all that the stage before
+kept; run() writes each result as Parquet to the shared folder and reads it for the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stallmark.llm import decontamination, packing, quality, set_join, suffix_dedup
+from stallmark.llm.common import broadcast_if_small, table, written
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the classifier rejects."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep_text=True)
+    return scored.where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of linked documents."""
+    found = written(set_join.jaccard_components(docs), "components")
+    drop = written(found.where("component_id < doc_id").select("doc_id").distinct(), "near")
+    few = broadcast_if_small(drop, drop.count(), decontamination.BROADCAST_ROWS)
+    return docs.join(few, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_bytes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts byte strings that an earlier document holds; n_chars follows the text."""
+    out = suffix_dedup.without_repeats(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold benchmark items."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the tokens of what is left."""
+    return packing.best_fit(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("suffix-array dedup", repeated_bytes_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("best-fit packing", packing_stage),
+]
 
-STAGES: list = []
+#: SQL cannot express the classifier or the packing; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

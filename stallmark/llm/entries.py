@@ -27,6 +27,14 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of("quality").quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("set_join").jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("suffix_dedup").repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of("url_filter").url_filter(table(spark, sf_dir, "pages"))
 
@@ -36,14 +44,23 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("decontamination").contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("kneser_ney").perplexities(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of("packing").best_fit(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_toxicity, op2_top_k, op3_quality, op6_url_filter, op7_sharding, op10_packing)
+    own = (op1_toxicity, op2_top_k, op3_quality, op4_jaccard_join, op5_suffix_dedup, op6_url_filter, op7_sharding, op8_decontamination, op9_lm_scoring, op10_packing)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_top_k": _of("top_k").ORACLE_SQL, "op6_url_filter": _of("url_filter").ORACLE_SQL}
+    modules = {"op2_top_k": "top_k", "op4_jaccard_join": "set_join", "op5_suffix_dedup": "suffix_dedup", "op6_url_filter": "url_filter"}
+    return {name: _of(module).ORACLE_SQL for name, module in modules.items()}

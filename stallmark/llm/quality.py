@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(x.shape[1])), b.column(1).cast(pa.int32())], names=[*STATISTICS, "label"])
 
     schema = ", ".join(f"{s} double" for s in STATISTICS) + ", label int"
-    got = sampled_features(docs, labelled_sample(labels, "quality", sample_rows), extract, schema)
+    got = sampled_features(docs, labelled_sample(labels, "quality", sample_rows), extract, schema).toArrow()
     x = np.stack([got.column(s).to_numpy() for s in STATISTICS], 1) if got.num_rows else np.zeros((0, len(STATISTICS)))
     return fit(x, got.column("label").to_numpy())
 

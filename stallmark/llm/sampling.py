@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +25,8 @@ def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
     return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def sampled_features(docs: DataFrame, sample: DataFrame, extract: Callable, schema: str) -> pa.Table:
-    """extract(batch of (text, label)) of the sampled documents, on the driver; bounded by the sample."""
+def sampled_features(docs: DataFrame, sample: DataFrame, extract: Callable, schema: str) -> DataFrame:
+    """extract(batches of (text, label)) of the sampled documents; as many rows as the sample has."""
     sample = F.broadcast(sample)  # at most `rows` pairs
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.join(sample, "doc_id").select("text", "label").mapInArrow(extract, schema).toArrow()
+    return own.join(sample, "doc_id").select("text", "label").mapInArrow(extract, schema)

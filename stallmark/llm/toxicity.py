@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fold, written
 from .sampling import HELD_OUT_PARTS, labelled_sample, sampled_features
 
 SAMPLE_ROWS = 20_000
@@ -78,37 +78,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def screen(docs: list[np.ndarray], y: np.ndarray, most: int = MAX_TERMS, least: float = MIN_CHI2) -> np.ndarray:
-    """The sorted terms whose presence depends on the label, by chi-squared; at most `most`."""
-    flat, owner = np.concatenate(docs), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    terms, inverse = np.unique(flat, return_inverse=True)
-    df = np.bincount(inverse, minlength=len(terms)).astype(float)
-    pos = np.bincount(inverse, y[owner], len(terms))
-    n, p = len(docs), y.sum()
-    expected = df * p / n
-    spread = expected * (1 - p / n) * (n - df) / max(n - 1, 1)
-    chi2 = np.where(df >= 3, (pos - expected) ** 2 / np.maximum(spread, 1e-9), 0)
-    keep = np.argsort(-chi2, kind="stable")[:most]
-    return np.sort(terms[keep[chi2[keep] >= least]])
+def screen(found: DataFrame, most: int = MAX_TERMS, least: float = MIN_CHI2) -> np.ndarray:
+    """The sorted terms whose presence depends on the label, by chi-squared over (terms, label) rows; at most `most`."""
+    n, p = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < p < n:
+        return np.zeros(0, np.int64)
+    counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("pos"))
+    expected = F.col("df") * (p / n)
+    spread = expected * (1 - p / n) * (n - F.col("df")) / max(n - 1, 1)
+    chi2 = (F.col("pos") - expected) * (F.col("pos") - expected) / F.greatest(spread, F.lit(1e-9))
+    best = counts.where("df >= 3").withColumn("chi2", chi2).where(F.col("chi2") >= least)
+    return np.sort(np.array([r.term for r in best.orderBy(F.col("chi2").desc(), "term").limit(most).collect()], np.int64))
 
 
-def fit(docs: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
-    """Fits by AdaGrad on the logistic loss; docs hold hashed terms."""
+def fit(places: list[np.ndarray], y: np.ndarray, terms: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
+    """Fits by AdaGrad on the logistic loss; places say which of `terms` each document has."""
     y = np.asarray(y, float)
     prior = (y.sum() + 1) / (len(y) + 2)
-    none = Machine(float(np.log(prior / (1 - prior))), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
-    if not len(y) or y.min() == y.max():
-        return none
-    terms = screen(docs, y)
-    if not len(terms):
-        return none
     rng = np.random.default_rng(seed)
-    m = Machine(none.bias, terms, np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), factors)))
-    places = []
-    for d in docs:
-        at = np.searchsorted(terms, d)
-        at[at == len(terms)] = 0
-        places.append(at[terms[at] == d])
+    m = Machine(float(np.log(prior / (1 - prior))), terms, np.zeros(len(terms)), rng.normal(0, 0.02, (len(terms), factors)))
+    if not len(terms):
+        return m
     g_bias, g_w, g_v = 1e-6, np.full(len(terms), 1e-6), np.full((len(terms), factors), 1e-6)
     decay = 1e-5
     for _ in range(epochs):
@@ -137,19 +127,34 @@ def fit(docs: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, epochs: i
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Fits the machine on the labelled rows that are not held out, at most sample_rows of them."""
+    """Fits the machine on the labelled rows that are not held out, at most sample_rows of them.
+
+    Terms are counted and screened in Spark; of each sampled document only its screened terms reach the driver.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted(text_terms(t)) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), b.column(1).cast(pa.int32())], names=["terms", "label"])
-
-    got = sampled_features(docs, labelled_sample(labels, "toxic", sample_rows), extract, "terms array<long>, label int")
-    terms = got.column("terms").combine_chunks()
-    if isinstance(terms, pa.ChunkedArray):
-        terms = terms.chunk(0) if terms.num_chunks else pa.array([], pa.list_(pa.int64()))
-    flat, offs = terms.values.to_numpy(), terms.offsets.to_numpy()
-    return fit([flat[a:b] for a, b in zip(offs[:-1], offs[1:])], got.column("label").to_numpy())
+            for lo in range(0, b.num_rows, 500):
+                part = b.slice(lo, 500)
+                found = [sorted(text_terms(t)) for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), part.column(1).cast(pa.int32())], names=["terms", "label"])
+
+    found = written(sampled_features(docs, labelled_sample(labels, "toxic", sample_rows), extract, "terms array<long>, label int"), "terms")
+    terms = screen(found)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            offs = b.column(0).offsets.to_numpy()
+            flat = b.column(0).flatten().to_numpy()
+            at = np.searchsorted(terms, flat)
+            at[at == len(terms)] = 0
+            hit = terms[at] == flat if len(terms) else np.zeros(len(flat), bool)
+            upto = np.append(0, np.cumsum(hit))[offs - offs[0]].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(upto, pa.array(at[hit], pa.int32())), b.column(1)], names=["places", "label"])
+
+    got = found.select("terms", "label").mapInArrow(place, "places array<int>, label int").toArrow()
+    places = [np.array(x, np.int64) for x in got.column("places").to_pylist()]
+    return fit(places, got.column("label").to_numpy(), terms)
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
