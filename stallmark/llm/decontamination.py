@@ -33,53 +33,78 @@ UNITS = (
     "meters", "metres", "miles", "feet", "inches", "grams", "pounds", "liters", "litres", "dollars", "euros", "cents", "usd", "eur", "percent", "degrees",
 )
 
-_MARK, _NUMBER, _NAME, _UNIT = "", "#", "", ""
-#: Before a number, or before a capitalised word that follows a word or comma and one space.
-_SLOT = r"(?<=[\p{L}\p{N},;)] )(?=\p{Lu}\p{Ll})|(?<![\p{L}\p{N}.,])(?=\d)"
-#: Between tokens; a point or comma within a number does not separate.
-_BETWEEN = "(?:[^\\p{L}\\p{N}.,]|(?<!\\d)[.,]|[.,](?!\\d))+"
+#: Placeholders, from a private range of characters.
+_NUMBER, _NAME, _UNIT = "\ue001", "\ue002", "\ue003"
+#: Stripped from both ends of a token.
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…–—¿¡"
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased tokens; those that fill a slot begin with a mark."""
-    clean = F.translate(F.coalesce(text, F.lit("")), "", "   ")
-    parts = F.split(F.lower(F.regexp_replace(clean, _SLOT, _MARK)), _BETWEEN)
-    return F.array_remove(F.array_remove(parts, ""), _MARK)
+def tokenised(rows: DataFrame, key: str) -> DataFrame:
+    """key, raw (split at white space), clean (raw without punctuation around it; empty where nothing is left)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    for space, to in (("\n", ". "), ("\t", " "), ("\r", " ")):  # a line's first word begins a sentence
+        text = F.replace(text, F.lit(space), F.lit(to))
+    own = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.split(text, " ").alias("raw"))
+    return own.withColumn("clean", F.transform("raw", lambda w: F.btrim(w, F.lit(_PUNCTUATION))))
 
 
-def template(words: Column) -> Column:
-    """The tokens with typed placeholders for slots."""
+def canonical(w: Column, i: Column) -> Column:
+    """The template token of the i-th clean token: number, name, unit or the lower-cased token itself."""
 
-    def number(w: Column) -> Column:
-        return w.startswith(_MARK) & F.substring(w, 2, 1).between("0", "9")
+    def number(x: Column) -> Column:
+        return (x >= "0") & (x < ":")
 
-    def one(w: Column, i: Column) -> Column:
-        unit = w.isin(*UNITS) & (i > 0) & number(F.get(words, i - 1))
-        return F.when(w.startswith(_MARK), F.when(number(w), _NUMBER).otherwise(_NAME)).when(unit, _UNIT).otherwise(w)
+    before = F.get("raw", i - 1)
+    inside = (i > 0) & ~(before.endswith(".") | before.endswith("!") | before.endswith("?") | before.endswith(":"))
+    second = F.substring(w, 2, 1)
+    name = inside & (second != F.upper(second))
+    unit = (i > 0) & number(F.get("clean", i - 1))
+    return F.when(number(w), _NUMBER).when((w >= "A") & (w < "["), F.when(name, _NAME).otherwise(F.lower(w))).when(w.isin(*UNITS), F.when(unit, _UNIT).otherwise(w)).otherwise(F.lower(w))
 
-    return F.transform(words, one)
 
+def templated(rows: DataFrame, key: str) -> DataFrame:
+    """key, words (lower-cased) and template, of equal length."""
+    own = tokenised(rows, key).withColumn("template", F.transform("clean", canonical))
+    return own.select(key, F.transform(F.array_remove("clean", ""), lambda w: F.lower(w)).alias("words"), F.array_remove("template", "").alias("template"))
 
-def window_hashes(hashes: Column, size: int = WINDOW) -> Column:
-    """The hash of each window of `size` token hashes."""
-    last = F.size(hashes) - size
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(hashes, i + 1, size)))).otherwise(F.array().cast("array<long>"))
 
+def token_hashes(rows: DataFrame, key: str) -> DataFrame:
+    """key, h: the hashes of the template's tokens."""
+    own = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.xxhash64(canonical(w, i))))
+    return own.select(key, F.array_remove("h", F.xxhash64(F.lit(""))).alias("h"))
 
-def _tokenised(rows: DataFrame, key: str) -> DataFrame:
-    own = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), tokens(F.col("text").cast("string")).alias("words"))
-    return own.withColumn("template", template(F.col("words")))
+
+def windows_of(rows: DataFrame, size: int, *keep: str) -> DataFrame:
+    """place, w for each window of `size` token hashes h.
+
+    A window's hash is built by doubling (two tokens, four, eight): each pass reads one more place. The outer
+    explode and the late filter keep Spark from deriving a filter that would compute the arrays again.
+    """
+    own, done = rows.select(*keep, F.col("h"), F.size("h").alias("n")), 1
+    while done < size:
+        step = min(done, size - done)
+        own = own.withColumn("h", _doubled(step))
+        done += step
+    each = own.select(*keep, "n", F.posexplode_outer("h").alias("place", "w"))
+    return each.where(F.col("place") <= F.col("n") - size).select(*keep, "place", "w")
+
+
+def _doubled(step: int) -> Column:
+    return F.transform("h", lambda x, i: F.xxhash64(x, F.get("h", i + step)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(item_id, words, template) of each item and (item_id, size, at, w) of its usable windows."""
-    items = _tokenised(benchmark.dropDuplicates(["item_id", "text"]), "item_id").where(F.size("template") > 0)
-    size = F.least(F.size("template"), F.lit(WINDOW))
-    w = items.withColumn("size", size).withColumn("at", F.explode(F.sequence(F.lit(0), F.size("template") - F.col("size"))))
-    w = w.withColumn("part", F.slice("template", F.col("at") + 1, F.col("size")))
-    literals = F.size(F.filter("part", lambda x: ~x.isin(_NUMBER, _NAME, _UNIT)))
-    w = w.where(literals >= F.least(F.lit(MIN_LITERALS), F.col("size")))
-    return items, w.select("item_id", "size", "at", F.xxhash64(F.transform("part", lambda x: F.xxhash64(x))).alias("w"))
+    items = templated(benchmark.dropDuplicates(["item_id", "text"]), "item_id").where(F.size("template") > 0)
+    hashed = items.select("item_id", "template", F.transform("template", lambda x: F.xxhash64(x)).alias("h"))
+    out = None
+    for size in range(1, WINDOW + 1):
+        own = hashed.where(F.size("h") == size) if size < WINDOW else hashed.where(F.size("h") >= size)
+        w = windows_of(own, size, "item_id", "template")
+        literals = F.size(F.filter(F.slice("template", F.col("place") + 1, size), lambda x: ~x.isin(_NUMBER, _NAME, _UNIT)))
+        w = w.where(literals >= min(MIN_LITERALS, size)).select("item_id", F.lit(size).alias("size"), F.col("place").alias("at"), "w")
+        out = w if out is None else out.union(w)
+    return items, out
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -88,12 +113,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = written(windows, "benchmark")
     sizes = [(r["size"], r["n"]) for r in windows.groupBy("size").agg(F.count("*").alias("n")).collect()]  # at most WINDOW rows
     usable = windows.groupBy("item_id").agg(F.count("*").alias("usable"))
-    hashed = _tokenised(docs, "doc_id").select("doc_id", F.transform("template", lambda x: F.xxhash64(x)).alias("h"))
+    hashed = token_hashes(docs, "doc_id")
     found = None
     for size, rows in sizes:
         own = windows.where(F.col("size") == size).select("item_id", "at", "w")
-        placed = hashed.select("doc_id", F.posexplode(window_hashes(F.col("h"), size)).alias("place", "w"))
-        part = placed.join(broadcast_if_small(own, rows, BROADCAST_ROWS), "w").select("doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", F.lit(size).alias("size"))
+        part = windows_of(hashed, size, "doc_id").join(broadcast_if_small(own, rows, BROADCAST_ROWS), "w").select("doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", F.lit(size).alias("size"))
         found = part if found is None else found.union(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long")
@@ -102,7 +126,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ids = written(aligned.select("doc_id").distinct(), "matched")
     few = broadcast_if_small(ids, ids.count(), BROADCAST_ROWS)
-    texts = _tokenised(docs.join(few, "doc_id", "left_semi"), "doc_id").select("doc_id", F.col("words").alias("doc_words"))
+    texts = templated(docs.join(few, "doc_id", "left_semi"), "doc_id").select("doc_id", F.col("words").alias("doc_words"))
     item_words = items.select("item_id", F.col("words").alias("item_words"), "template")
     full = aligned.join(texts, "doc_id").join(item_words, "item_id")
     covered = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + F.col("size") - 1))))
