@@ -1,0 +1 @@
+"""stallmark: retail analytics and training-data operators on PySpark DataFrames."""
