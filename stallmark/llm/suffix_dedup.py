@@ -37,7 +37,7 @@ RUN = 64
 #: Runs of an anchor with more occurrences are split into single windows.
 COMMON = 1000
 #: Runs that a task gathers before it sorts and packs them, and bytes of them.
-HELD_RUNS, HELD_BYTES = 1_500_000, 24 << 20
+HELD_RUNS, HELD_BYTES = 1_500_000, 16 << 20
 NO_ID = np.iinfo(np.int64).max
 _STEPS = {k: np.uint64(pow(0xC2B2AE3D27D4EB4F, k, 1 << 64)) for k in (1, 2, 4, 8)}
 
@@ -217,6 +217,12 @@ def smallest_ids(buf: np.ndarray, piece_start: np.ndarray, windows: np.ndarray,
     return out
 
 
+def _same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, rows: int = 10_000) -> bool:
+    """Whether the pieces at a and b agree, a few at a time."""
+    parts = (slice(lo, lo + rows) for lo in range(0, len(a), rows))
+    return all(np.array_equal(gathered(buf, a[p], size[p]), gathered(buf, b[p], size[p])) for p in parts)
+
+
 def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray, windows: np.ndarray, content: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(key, first, size, ids): for each run that some larger id must drop, its windows' smallest ids."""
     size = windows + length - 1
@@ -229,7 +235,7 @@ def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarr
     low_, high_ = np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
     copies = order[~new]
     of = head[np.cumsum(new) - 1][~new]
-    if (size[copies] != size[of]).any() or not np.array_equal(gathered(content, start[copies], size[copies]), gathered(content, start[of], size[of])):
+    if (size[copies] != size[of]).any() or not _same_bytes(content, start[copies], start[of], size[copies]):
         raise ValueError("two different runs have one 64-bit hash; choose another seed for the byte values")
     g = group[head]
     alone = np.ones(len(g), bool)
@@ -241,9 +247,9 @@ def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarr
     bounds = np.append(np.flatnonzero(edge), len(many))
     upto = np.append(0, np.cumsum(size[head[many]]))
     lo = 0
-    while lo < len(bounds) - 1:  # whole groups, a few MB at a time
+    while lo < len(bounds) - 1:  # whole groups, about a MB at a time
         hi = lo + 1
-        while hi < len(bounds) - 1 and upto[bounds[hi + 1]] - upto[bounds[lo]] <= 3 << 20:
+        while hi < len(bounds) - 1 and upto[bounds[hi + 1]] - upto[bounds[lo]] <= 1 << 20:
             hi += 1
         own = many[bounds[lo] : bounds[hi]]
         part, w = gathered(content, start[head[own]], size[head[own]]), windows[head[own]]
@@ -336,7 +342,8 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
             rows = []
             for b, lo, hi in ranges(bucket48(group[own], buckets)):
                 o = own[lo:hi]
-                rows.append((b, pack48(group[o]), key[o].tobytes(), low[lo:hi].tobytes(), high[lo:hi].tobytes(), n[o].astype(np.uint8).tobytes(), gathered(content, start[o], whole[o]).tobytes()))
+                parts = [gathered(content, start[q], whole[q]).tobytes() for q in np.array_split(o, 1 + len(o) // 10_000)]
+                rows.append((b, pack48(group[o]), key[o].tobytes(), low[lo:hi].tobytes(), high[lo:hi].tobytes(), n[o].astype(np.uint8).tobytes(), b"".join(parts)))
             kinds = (pa.int32(), *[pa.binary()] * 6)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in schema.split(", ")])
 
