@@ -9,8 +9,8 @@ A document is the set of its distinct word shingles (64-bit hashes). Documents l
 2. Equal sets become one node. A node's shingles are ordered by frequency, rarest first; two nodes that
    link share one of their first n - ceil(0.8 n) + 1 shingles, and its place bounds their overlap.
    These prefixes form index lists.
-3. In every list each node is compared with one leader only (the list's smallest node): stars,
-   not pairs. Verified links give components.
+3. In every list each node is compared with one leader only (the one whose shingles
+   are the most frequent): stars, not pairs. Verified links give components.
 4. Index-level skipping: lists whose nodes lie in one component are skipped; other lists are sorted by size
    and cut into blocks, and a block is skipped where its sizes or places cannot reach the threshold. Only
    pairs across components remain.
@@ -126,8 +126,9 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> Arrays:
 
 
 def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFrame:
-    """Step 2, first half: doc_id, n_shingles and, where links are possible, node (hash of the set), rare, shingles.
+    """Step 2, first half: doc_id, n_shingles and, where links are possible, node (hash of the set), rare, central, shingles.
 
+    central: the mean logarithm of the shingles' frequencies, in millionths.
     The shingles (rarest first, without the `rare` ones of one document) come once for each node and task.
     """
 
@@ -147,6 +148,7 @@ def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFra
                 rare = np.bincount(owner, count < 2, rows).astype(np.int64)
                 id_ok = ids.slice(lo, rows).is_valid().to_numpy(zero_copy_only=False)
                 live = (n > 0) & (n - rare >= least_of_self(n)) & id_ok
+                central = np.bincount(owner, np.log2(np.maximum(count, 1)), rows) / np.maximum(n, 1)
                 by_freq = np.lexsort((s, count, owner))
                 nodes, blobs = [None] * rows, [None] * rows
                 for r in np.flatnonzero(live):
@@ -157,20 +159,20 @@ def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFra
                         seen.add(node)
                         blobs[r] = s[by_freq[a + rare[r] : z]].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, rows), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(rare, pa.int64()), pa.array(blobs, pa.binary())],
-                    names=["doc_id", "n_shingles", "node", "rare", "shingles"],
+                    [ids.slice(lo, rows), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(rare, pa.int64()), pa.array((central * 1e6).astype(np.int64)), pa.array(blobs, pa.binary())],
+                    names=["doc_id", "n_shingles", "node", "rare", "central", "shingles"],
                 )
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, n_shingles long, node long, rare long, shingles binary")
+    return own.mapInArrow(run, "doc_id long, n_shingles long, node long, rare long, central long, shingles binary")
 
 
 def index_lists(nodes: DataFrame, buckets: int) -> DataFrame:
-    """Prefix entries packed by hash bucket. nodes: node, n, rare, shingles, component, leader, overlap (the last three may be null)."""
+    """Prefix entries packed by hash bucket. nodes: node, n, rare, central, shingles, component, leader, overlap (the last three may be null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, rare, comp, leader, overlap = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("node", "n", "rare", "component", "leader", "overlap"))
+            node, n, rare, central, comp, leader, overlap = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("node", "n", "rare", "central", "component", "leader", "overlap"))
             length = n - least_of_self(n) + 1 - rare
             sets = [np.frombuffer(x, "<u8") for x in batch.column("shingles").to_pylist()]
             take = np.minimum(length, [len(x) for x in sets])
@@ -183,17 +185,17 @@ def index_lists(nodes: DataFrame, buckets: int) -> DataFrame:
             rows = []
             for b, lo, hi in ranges(bucket):
                 o = owner[lo:hi]
-                rows.append((b, entries[lo:hi].tobytes(), np.stack([node[o], n[o], rare[o], place[lo:hi], comp[o], leader[o], overlap[o]]).tobytes()))
+                rows.append((b, entries[lo:hi].tobytes(), np.stack([node[o], n[o], rare[o], place[lo:hi], central[o], comp[o], leader[o], overlap[o]]).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((), (), ()), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "entry", "fields"])
 
-    kept = nodes.select("node", "n", "rare", "shingles", "component", "leader", "overlap")
+    kept = nodes.select("node", "n", "rare", "central", "shingles", "component", "leader", "overlap")
     return kept.mapInArrow(run, "bucket int, entry binary, fields binary")
 
 
 def _lists(got: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
-    """The lists of a bucket with two nodes or more: node, n, rare, place, component, leader, overlap of each entry."""
+    """The lists of a bucket with two nodes or more: node, n, rare, place, central, component, leader, overlap of each entry."""
     entry = np.concatenate([np.frombuffer(x, "<u8") for x in got.column("entry").to_pylist()])
-    fields = np.concatenate([np.frombuffer(x, np.int64).reshape(7, -1) for x in got.column("fields").to_pylist()], 1)
+    fields = np.concatenate([np.frombuffer(x, np.int64).reshape(8, -1) for x in got.column("fields").to_pylist()], 1)
     order = np.argsort(entry, kind="stable")
     entry, fields = entry[order], fields[:, order]
     for _, lo, hi in ranges(entry):
@@ -208,10 +210,14 @@ def _pairs(found: list[np.ndarray]) -> pa.Table:
 
 
 def star_pairs(got: pa.Table) -> pa.Table:
-    """Step 3: each node of a list with the list's smallest node, where sizes and places allow a link."""
+    """Step 3: each node of a list with the list's leader, where sizes and places allow a link.
+
+    The leader has the most frequent shingles on average (then the smallest hash): edits add rare ones, so
+    it is the text from which the list's variants were made, or the nearest to it.
+    """
     found = []
-    for node, n, _, place, *_ in _lists(got):
-        k = int(np.argmin(node))
+    for node, n, _, place, central, *_ in _lists(got):
+        k = int(np.lexsort((node, -central))[0])
         need = least_overlap(n, n[k])
         can = (np.minimum(n - place, n[k] - place[k]) >= need) & (node != node[k])
         found.append(np.stack([np.full(int(can.sum()), node[k]), node[can]]))
@@ -221,7 +227,7 @@ def star_pairs(got: pa.Table) -> pa.Table:
 def cross_pairs(got: pa.Table) -> pa.Table:
     """Steps 4 and 5: pairs of a list across components that sizes, places and known answers leave open."""
     found = []
-    for node, n, rare, place, comp, leader, overlap in _lists(got):
+    for node, n, rare, place, _, comp, leader, overlap in _lists(got):
         if (comp == comp[0]).all():
             continue  # the whole list is answered
         order = np.argsort(n, kind="stable")
@@ -289,7 +295,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     live = sets.where("node is not null")
     # Copies meet in tasks first: one row with shingles for each node and task.
     least = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bodies = live.where("shingles is not null").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("n"), "rare", "shingles")
+    bodies = live.where("shingles is not null").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("n"), "rare", "central", "shingles")
     nodes = written(bodies, "nodes")
 
     none = nodes.withColumns({c: F.lit(None).cast("long") for c in ("component", "leader", "overlap")})
