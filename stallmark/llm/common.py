@@ -57,7 +57,7 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def segments(offs: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def segments(offs: np.ndarray, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `limit` bytes in all (one row at least), so that work arrays stay small."""
     lo, n = 0, len(offs) - 1
     while lo < n:
@@ -82,7 +82,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2**64."""
     if len(_powers.get("up", ())) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = 1 << max(16, int(n - 1).bit_length())
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             grown = np.full(size, base, np.uint64)
             grown[0] = 1

@@ -3,7 +3,8 @@
 A task packs what it has gathered into one row per hash bucket; one task per bucket merges them
 and writes the bucket's columns as files; later tasks map these files. Files appear by an
 atomic rename, so a repeated task rewrites the same content and a lost executor loses nothing.
-Buckets are ranges of the hash, as many as the session's shuffle partitions.
+Buckets are ranges of the hash, PER_PARTITION for each of the session's shuffle partitions: one bucket is in
+a worker's memory at a time.
 """
 
 from __future__ import annotations
@@ -19,8 +20,11 @@ from pyspark.sql import SparkSession
 MASK48 = np.uint64((1 << 48) - 1)
 
 
+PER_PARTITION = 3
+
+
 def bucket_count(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return max(1, PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def bucket48(h: np.ndarray, buckets: int) -> np.ndarray:

@@ -37,7 +37,7 @@ RUN = 64
 #: Runs of an anchor with more occurrences are split into single windows.
 COMMON = 1000
 #: Runs that a task gathers before it sorts and packs them, and bytes of them.
-HELD_RUNS, HELD_BYTES = 1_500_000, 16 << 20
+HELD_RUNS, HELD_BYTES = 1_000_000, 12 << 20
 NO_ID = np.iinfo(np.int64).max
 _STEPS = {k: np.uint64(pow(0xC2B2AE3D27D4EB4F, k, 1 << 64)) for k in (1, 2, 4, 8)}
 
@@ -371,10 +371,12 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
 
     def merge(got: pa.Table) -> pa.Table:
         bucket = got.column("bucket")[0].as_py()
-        cols = {c: got.column(c).to_pylist() for c in ("grp", "key", "low", "high", "windows", "content")}
+        cols = {c: got.column(c).to_pylist() for c in ("grp", "key", "low", "high", "windows")}
+        content = got.column("content").combine_chunks()
+        content = utf8(content.chunk(0) if isinstance(content, pa.ChunkedArray) else content)[0]
         of = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in cols[c]])
         group = np.concatenate([unpack48(x) for x in cols["grp"]])
-        key, first, size, ids = _answers(group, of("key", "<u8"), of("low", "<i8"), of("high", "<i8"), of("windows", np.uint8).astype(np.int64), of("content", np.uint8), length)
+        key, first, size, ids = _answers(group, of("key", "<u8"), of("low", "<i8"), of("high", "<i8"), of("windows", np.uint8).astype(np.int64), content, length)
         # Runs with one smallest id for all windows keep it once.
         some = len(size) > 0
         least = np.minimum.reduceat(ids, first) if some else ids
