@@ -10,7 +10,9 @@ a worker's memory at a time.
 from __future__ import annotations
 
 import io
+import mmap
 import os
+import sys
 import tempfile
 from collections.abc import Iterator
 
@@ -77,6 +79,17 @@ def save(folder: str, name: str, **columns: np.ndarray) -> None:
         os.replace(part, f"{path}/{name}.{column}.npy")
 
 
+def mapped(path: str) -> np.ndarray:
+    """The array of a file, mapped without holding a file descriptor where Python can do so (3.13)."""
+    with open(path, "rb") as f:
+        np.lib.format.read_magic(f)
+        shape, _, dtype = np.lib.format.read_array_header_1_0(f)
+        if not shape[0]:
+            return np.zeros(0, dtype)
+        own = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **({"trackfd": False} if sys.version_info >= (3, 13) else {}))
+        return np.frombuffer(own, dtype, shape[0], f.tell())
+
+
 class Arrays:
     """The columns of all buckets, mapped on first use; a bucket that was never written is empty."""
 
@@ -102,9 +115,9 @@ class Arrays:
                     while block := f.read(8 << 20):
                         own.write(block)
                     own.flush()
-                    self._open[name] = np.load(own.name, mmap_mode="r")
+                    self._open[name] = mapped(own.name)
             else:
-                self._open[name] = np.load(f"{path}/{name}.npy", mmap_mode="r") if os.path.exists(f"{path}/{name}.npy") else None
+                self._open[name] = mapped(f"{path}/{name}.npy") if os.path.exists(f"{path}/{name}.npy") else None
         return self._open[name]
 
     def lookup(self, keys: np.ndarray, buckets: np.ndarray, columns: tuple[str, ...]) -> tuple[np.ndarray, ...]:
