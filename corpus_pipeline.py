@@ -16,8 +16,8 @@ from stallmark.llm.common import broadcast_if_small, table, written
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, keep_text=True)
-    return scored.where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score(docs, model, keep_text=True, to="_quality")
+    return scored.where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,8 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return fit(x, got.column("label").to_numpy())
 
 
-def score(docs: DataFrame, model: Discriminant | float, keep_text: bool = False, text: str = "text") -> DataFrame:
-    """Adds `score`, the probability of good quality; drops the text unless it is to be kept."""
+def score(docs: DataFrame, model: Discriminant | float, keep_text: bool = False, text: str = "text", to: str = "score") -> DataFrame:
+    """Adds the probability of good quality as column `to`; drops the text unless it is to be kept."""
     names = docs.columns
     at = names.index(text)
 
@@ -148,10 +148,10 @@ def score(docs: DataFrame, model: Discriminant | float, keep_text: bool = False,
         for b in batches:
             s = np.full(b.num_rows, model) if isinstance(model, float) else model.probability(statistics(b.column(at)))
             kept = [k for k in range(len(names)) if keep_text or k != at]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(s, pa.float64())], names=[*(names[k] for k in kept), "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(s, pa.float64())], names=[*(names[k] for k in kept), to])
 
     kept = [f for f in docs.schema if keep_text or f.name != text]
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", score double")
+    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{to}` double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
