@@ -472,21 +472,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 ORACLE_SQL = """
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
-hexed AS (SELECT doc_id, hex(b) AS h, CAST(octet_length(b) AS BIGINT) AS n_bytes FROM d),
-windows AS (
-  SELECT doc_id, i, md5_number(substr(h, 2 * i - 1, 100)) AS w
-  FROM (SELECT doc_id, h, unnest(range(1, n_bytes - 48)) AS i FROM hexed WHERE n_bytes >= 50)
-), firsts AS (SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
-gone AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first_id < doc_id),
+data AS MATERIALIZED (SELECT doc_id, b, CAST(octet_length(b) AS BIGINT) AS n_bytes FROM d),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5_number(array_slice(b, i, i + 49)) AS w
+  FROM (SELECT doc_id, b, unnest(range(1, n_bytes - 48)) AS i FROM data WHERE n_bytes >= 50)
+), firsts AS MATERIALIZED (SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+gone AS MATERIALIZED (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first_id < doc_id),
 marked AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens FROM gone),
-spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS z FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run),
+spans AS MATERIALIZED (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS z FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run),
 kept AS (
-  SELECT doc_id, substr(h, 2 * z0 - 1, 2 * (a - z0)) AS part, z0, 0 AS last FROM (
-    SELECT s.doc_id, h, a, coalesce(lag(z) OVER (PARTITION BY s.doc_id ORDER BY a), 1) AS z0 FROM spans s JOIN hexed USING (doc_id))
+  SELECT doc_id, hex(array_slice(b, z0, a - 1)) AS part, z0, 0 AS last FROM (
+    SELECT s.doc_id, b, a, coalesce(lag(z) OVER (PARTITION BY s.doc_id ORDER BY a), 1) AS z0 FROM spans s JOIN data USING (doc_id))
   UNION ALL
-  SELECT doc_id, substr(h, 2 * z - 1), z, 1 FROM (SELECT doc_id, max(z) AS z FROM spans GROUP BY doc_id) JOIN hexed USING (doc_id)
+  SELECT doc_id, hex(array_slice(b, z, n_bytes)), z, 1 FROM (SELECT doc_id, max(z) AS z FROM spans GROUP BY doc_id) JOIN data USING (doc_id)
 ), summary AS (SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, CAST(count(*) AS BIGINT) AS n_spans FROM spans GROUP BY doc_id),
 rest AS (SELECT doc_id, string_agg(part, '' ORDER BY z0, last) AS h FROM kept GROUP BY doc_id)
-SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest.h, hexed.h))) AS kept_sha256
-FROM hexed LEFT JOIN summary USING (doc_id) LEFT JOIN rest USING (doc_id)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(coalesce(unhex(rest.h), data.b)) AS kept_sha256
+FROM data LEFT JOIN summary USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
