@@ -3,8 +3,8 @@
 A byte goes if it is covered by a `LENGTH`-byte string that also starts in a document with a smaller
 id, as judged on the input. Three scans, with sorted hash arrays in the shared folder between them:
 
-1. Each window of LENGTH bytes has an anchor, the least hash of its 16-byte strings; equal windows have
-   equal anchors. Runs of windows with one anchor are counted; anchors in more than one document are kept.
+1. Each window of LENGTH bytes has an anchor, the least hash of its 16-byte strings (mixed again); equal
+   windows have equal anchors. Runs of windows with one anchor are counted; anchors in more than one document are kept.
 2. The runs with a kept anchor go, with their bytes, to one task per hash range, once for each distinct
    run and task. There the windows of runs that share an anchor but differ are sorted as suffixes:
    a mergesort whose comparisons find the common extension by binary search over prefix polynomial
@@ -52,7 +52,8 @@ def anchors(buf: np.ndarray, length: int = LENGTH) -> np.ndarray:
     while size * 2 <= wide:
         m = np.minimum(m[:-size], m[size:])
         size *= 2
-    return np.minimum(m[: len(m) - (wide - size)], m[wide - size :]) if wide > size else m
+    least = np.minimum(m[: len(m) - (wide - size)], m[wide - size :]) if wide > size else m
+    return mix(least) & MASK48  # least hashes are small numbers: spread them over the buckets
 
 
 def runs(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
