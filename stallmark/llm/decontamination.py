@@ -7,7 +7,10 @@ and alignment then have their slots compared: each benchmark value must stand fo
 document and the reverse, else the alignment does not count. A document is contaminated by an
 item if consistent alignments match at least MIN_WINDOWS of its windows (or all, if it has fewer).
 
-Benchmark windows with fewer than MIN_LITERALS ordinary tokens match too easily and are not used; an
+Benchmark windows with fewer than MIN_LITERALS ordinary tokens match too easily as templates: they are joined by
+their tokens as written, so verbatim copies of them count. An item without any other window is also found by its
+whole template (joined by its window with most ordinary tokens, then compared in full) if that holds at least
+MIN_ITEM_LITERALS of them; with fewer, any row of numbers would be a match and only verbatim copies count. An
 item with fewer than WINDOW tokens is one window. The benchmark is broadcast only if its counted windows
 are within BROADCAST_ROWS; likewise the ids of matched documents, for the scan that reads their slots.
 
@@ -26,6 +29,7 @@ from .common import broadcast_if_small, written
 WINDOW = 8
 MIN_LITERALS = 5
 MIN_WINDOWS = 6
+MIN_ITEM_LITERALS = 3
 BROADCAST_ROWS = 500_000
 #: Units that count as such after a number.
 UNITS = (
@@ -33,6 +37,9 @@ UNITS = (
     "meters", "metres", "miles", "feet", "inches", "grams", "pounds", "liters", "litres", "dollars", "euros", "cents", "usd", "eur", "percent", "degrees",
 )
 
+#: How a benchmark window is joined: as a template, as written, or as the anchor of a whole item's template.
+TEMPLATE, VERBATIM, ANCHOR = 0, 1, 2
+
 #: Placeholders, from a private range of characters.
 _NUMBER, _NAME, _UNIT = "\ue001", "\ue002", "\ue003"
 #: Stripped from both ends of a token.
@@ -68,9 +75,9 @@ def templated(rows: DataFrame, key: str) -> DataFrame:
     return own.select(key, F.transform(F.array_remove("clean", ""), lambda w: F.lower(w)).alias("words"), F.array_remove("template", "").alias("template"))
 
 
-def token_hashes(rows: DataFrame, key: str) -> DataFrame:
-    """key, h: the hashes of the template's tokens."""
-    own = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.xxhash64(canonical(w, i))))
+def token_hashes(rows: DataFrame, key: str, verbatim: bool = False) -> DataFrame:
+    """key, h: the hashes of the template's tokens, or of the tokens as written."""
+    own = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.xxhash64(w if verbatim else canonical(w, i))))
     return own.select(key, F.array_remove("h", F.xxhash64(F.lit(""))).alias("h"))
 
 
@@ -94,15 +101,34 @@ def _doubled(step: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(item_id, words, template) of each item and (item_id, size, at, w) of its usable windows."""
-    items = templated(benchmark.dropDuplicates(["item_id", "text"]), "item_id").where(F.size("template") > 0)
-    hashed = items.select("item_id", "template", F.transform("template", lambda x: F.xxhash64(x)).alias("h"))
+    """(item_id, words, template) of each item and (item_id, kind, size, at, w) of its windows."""
+    repeated = benchmark.dropDuplicates(["item_id", "text"])
+    items = templated(repeated, "item_id").where(F.size("template") > 0)
+    own = tokenised(repeated, "item_id").withColumn("template", F.transform("clean", canonical))
+    own = own.select("item_id", F.array_remove("template", "").alias("template"), F.array_remove("clean", "").alias("clean")).where(F.size("template") > 0)
+    literal = lambda x: ~x.isin(_NUMBER, _NAME, _UNIT)
+    n = F.size("template")
+    size = F.least(F.lit(WINDOW), n)
+    at = F.explode(F.sequence(F.lit(0), n - size)).alias("at")
+    each = own.select("item_id", "template", "clean", size.alias("size"), F.size(F.filter("template", literal)).alias("item_literals"), at)
+    each = each.withColumn("literals", F.size(F.filter(F.slice("template", F.col("at") + 1, F.col("size")), literal)))
+    each = each.withColumn("usable", F.col("literals") >= F.least(F.lit(MIN_LITERALS), F.col("size")))
+    # One row for each item and text: its windows, whether any is usable, and the place of the one with most literals.
+    text = ["item_id", "template", "clean"]
+    best = each.groupBy(*text).agg(F.max("usable").alias("any"), F.max_by("at", F.struct("literals", -F.col("at"))).alias("best"))
+    each = each.join(best, text)
+    kinds = F.array_compact(
+        F.array(
+            F.when(F.col("usable"), TEMPLATE).otherwise(VERBATIM),
+            F.when(~F.col("any") & (F.col("at") == F.col("best")) & (F.col("item_literals") >= MIN_ITEM_LITERALS), ANCHOR),
+        )
+    )
+    each = each.select("item_id", "template", "clean", "size", "at", F.explode(kinds).alias("kind"))
+    tokens = F.slice(F.when(F.col("kind") == VERBATIM, F.col("clean")).otherwise(F.col("template")), F.col("at") + 1, F.col("size"))
+    each = each.select("item_id", "kind", "size", "at", F.transform(tokens, lambda x: F.xxhash64(x)).alias("h"))
     out = None
-    for size in range(1, WINDOW + 1):
-        own = hashed.where(F.size("h") == size) if size < WINDOW else hashed.where(F.size("h") >= size)
-        w = windows_of(own, size, "item_id", "template")
-        literals = F.size(F.filter(F.slice("template", F.col("place") + 1, size), lambda x: ~x.isin(_NUMBER, _NAME, _UNIT)))
-        w = w.where(literals >= min(MIN_LITERALS, size)).select("item_id", F.lit(size).alias("size"), F.col("place").alias("at"), "w")
+    for k in range(1, WINDOW + 1):
+        w = windows_of(each.where(F.col("size") == k), k, "item_id", "kind", "size", "at").select("item_id", "kind", "size", "at", "w")
         out = w if out is None else out.union(w)
     return items, out
 
@@ -111,34 +137,42 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows of every contamination."""
     items, windows = benchmark_windows(benchmark)
     windows = written(windows, "benchmark")
-    sizes = [(r["size"], r["n"]) for r in windows.groupBy("size").agg(F.count("*").alias("n")).collect()]  # at most WINDOW rows
-    usable = windows.groupBy("item_id").agg(F.count("*").alias("usable"))
-    hashed = token_hashes(docs, "doc_id")
+    sizes = [(r["verbatim"], r["size"], r["n"]) for r in windows.groupBy((F.col("kind") == VERBATIM).alias("verbatim"), "size").agg(F.count("*").alias("n")).collect()]  # at most 2 * WINDOW rows
+    of = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
+    usable = windows.groupBy("item_id").agg(of(TEMPLATE).alias("usable"), F.count(F.when(F.col("kind") != ANCHOR, 1)).alias("every"))
+    hashed = {v: token_hashes(docs, "doc_id", v) for v in (False, True)}
     found = None
-    for size, rows in sizes:
-        own = windows.where(F.col("size") == size).select("item_id", "at", "w")
-        part = windows_of(hashed, size, "doc_id").join(broadcast_if_small(own, rows, BROADCAST_ROWS), "w").select("doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at", F.lit(size).alias("size"))
+    for verbatim, size, rows in sizes:
+        own = windows.where((F.col("size") == size) & ((F.col("kind") == VERBATIM) == F.lit(verbatim))).select("item_id", "kind", "at", "w")
+        part = windows_of(hashed[verbatim], size, "doc_id").join(broadcast_if_small(own, rows, BROADCAST_ROWS), "w").select("doc_id", "item_id", "kind", (F.col("place") - F.col("at")).alias("shift"), "at", F.lit(size).alias("size"))
         found = part if found is None else found.union(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long")
-    aligned = found.groupBy("doc_id", "item_id", "shift", "size").agg(F.collect_set("at").alias("ats"))
+    aligned = found.groupBy("doc_id", "item_id", "kind", "shift", "size").agg(F.collect_set("at").alias("ats"))
     aligned = written(aligned, "aligned")
 
     ids = written(aligned.select("doc_id").distinct(), "matched")
     few = broadcast_if_small(ids, ids.count(), BROADCAST_ROWS)
-    texts = templated(docs.join(few, "doc_id", "left_semi"), "doc_id").select("doc_id", F.col("words").alias("doc_words"))
+    texts = templated(docs.join(few, "doc_id", "left_semi"), "doc_id").select("doc_id", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"))
     item_words = items.select("item_id", F.col("words").alias("item_words"), "template")
     full = aligned.join(texts, "doc_id").join(item_words, "item_id")
+    whole = F.size("template")
+    same = (F.col("shift") >= 0) & (F.slice("doc_template", F.greatest(F.col("shift"), F.lit(0)) + 1, whole) == F.col("template"))
+    full = full.where((F.col("kind") != ANCHOR) | same)
+    full = full.withColumn("ats", F.when(F.col("kind") == ANCHOR, F.sequence(F.lit(0), whole - F.col("size"))).otherwise(F.col("ats")))
     covered = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + F.col("size") - 1))))
     slots = F.filter(covered, lambda p: F.get("template", p).isin(_NUMBER, _NAME, _UNIT))
     pair = F.transform(slots, lambda p: F.struct(F.get("item_words", p).alias("item"), F.get("doc_words", p + F.col("shift")).alias("doc")))
-    full = full.select("doc_id", "item_id", "shift", "ats", F.array_distinct(pair).alias("pairs"))
+    full = full.select("doc_id", "item_id", "kind", "shift", "ats", F.array_distinct(pair).alias("pairs"))
     # Consistent: as many pairs as values on either side.
     sides = [F.size(F.array_distinct(F.col(f"pairs.{s}"))) for s in ("item", "doc")]
     good = full.where((F.size("pairs") == sides[0]) & (F.size("pairs") == sides[1]))
-    total = good.select("doc_id", "item_id", F.explode("ats").alias("at")).groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("n_windows"))
-    total = total.join(F.broadcast(usable) if sum(n for _, n in sizes) <= BROADCAST_ROWS else usable, "item_id")
-    return total.where(F.col("n_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("usable"))).select("doc_id", "item_id", "n_windows")
+    at = good.select("doc_id", "item_id", "kind", F.explode("ats").alias("at")).groupBy("doc_id", "item_id")
+    total = at.agg(F.countDistinct("at").alias("n_windows"), F.countDistinct(F.when(F.col("kind") == TEMPLATE, F.col("at"))).alias("templates"), F.max(F.col("kind") == ANCHOR).alias("whole"))
+    total = total.join(F.broadcast(usable) if sum(r[-1] for r in sizes) <= BROADCAST_ROWS else usable, "item_id")
+    by_template = (F.col("usable") > 0) & (F.col("templates") >= F.least(F.lit(MIN_WINDOWS), F.col("usable")))
+    by_all = F.col("n_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("every"))
+    return total.where(by_template | by_all | F.col("whole")).select("doc_id", "item_id", "n_windows")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -232,6 +232,18 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0 and decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_items_full_of_numbers(spark):
+    """Items without a window of enough ordinary tokens: copies and changed numbers are found, other questions are not."""
+    system, short, bare = "Solve 3 x + 4 y = 10 and 5 x - 2 y = 7", "Tom has 3 apples", "3 4 5 6 7 8 9 10 11"
+    rows = [
+        (1, f"Before it. {system} and more"), (2, f"Before it. {system.translate(str.maketrans('3457', '6891'))} and more"), (3, f"Some text. {short}."), (4, "Some text. Tom has 5 apples."),
+        (5, f"row {bare} row"), (6, "row 13 14 15 16 17 18 19 20 21 row"), (7, "Solve 3 x + 4 y = 10 or 5 x - 2 y = 7"), (8, "Some text. Tom has 5 pears."), (9, "Before it. Solve 6 x + 6 y = 10 and 5 x - 2 y = 7"),
+    ]
+    bench = spark.createDataFrame([(20, system), (21, short), (22, bare)], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1: [20], 2: [20], 3: [21], 4: [21], 5: [22]}
+
+
 def test_decontamination_finds_planted_passages(spark, sf):
     d, b = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "benchmark"))
     norm = lambda s: " ".join(re.findall(r"\w+", (s or "").lower()))
