@@ -42,16 +42,18 @@ TEMPLATE, VERBATIM, ANCHOR = 0, 1, 2
 
 #: Placeholders, from a private range of characters.
 _NUMBER, _NAME, _UNIT = "\ue001", "\ue002", "\ue003"
-#: Stripped from both ends of a token.
-_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…–—¿¡"
+#: Stripped from both ends of a token, after all other characters between words became spaces.
+_PUNCTUATION = ".,!?:"
 
 
 def tokenised(rows: DataFrame, key: str) -> DataFrame:
-    """key, raw (split at white space), clean (raw without punctuation around it; empty where nothing is left)."""
+    """key, raw (letters, marks, digits and .,!?: of any script between other characters), clean (raw without .,!?: around it; empty where nothing is left)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    for space, to in (("\n", ". "), ("\t", " "), ("\r", " ")):  # a line's first word begins a sentence
-        text = F.replace(text, F.lit(space), F.lit(to))
-    own = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.split(text, " ").alias("raw"))
+    text = F.replace(text, F.lit("\n"), F.lit(". "))  # a line's first word begins a sentence
+    text = F.regexp_replace(text, r"[^\p{L}\p{M}\p{N}.,!?: ]+", " ")
+    # Within a token .,!?: stay only between digits.
+    text = F.regexp_replace(text, r"(?<!\p{N})([.,!?:]+)(?=[^ .,!?:])|([.,!?:]+)(?=[^ .,!?:\p{N}])", "$1$2 ")
+    own = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), F.array_remove(F.split(text, " "), "").alias("raw"))
     return own.withColumn("clean", F.transform("raw", lambda w: F.btrim(w, F.lit(_PUNCTUATION))))
 
 
@@ -59,14 +61,16 @@ def canonical(w: Column, i: Column) -> Column:
     """The template token of the i-th clean token: number, name, unit or the lower-cased token itself."""
 
     def number(x: Column) -> Column:
-        return (x >= "0") & (x < ":")
+        return (x >= "0") & (x < ":") | (x >= "\u00b2") & x.rlike(r"^\p{N}")
 
     before = F.get("raw", i - 1)
     inside = (i > 0) & ~(before.endswith(".") | before.endswith("!") | before.endswith("?") | before.endswith(":"))
-    second = F.substring(w, 2, 1)
+    first, second = F.substring(w, 1, 1), F.substring(w, 2, 1)
     name = inside & (second != F.upper(second))
     unit = (i > 0) & number(F.get("clean", i - 1))
-    return F.when(number(w), _NUMBER).when((w >= "A") & (w < "["), F.when(name, _NAME).otherwise(F.lower(w))).when(w.isin(*UNITS), F.when(unit, _UNIT).otherwise(w)).otherwise(F.lower(w))
+    plain = (w >= "a") & (w < "{")
+    small = F.when(w.isin(*UNITS), F.when(unit, _UNIT).otherwise(w)).otherwise(F.lower(w))
+    return F.when(plain, small).when(number(w), _NUMBER).when((first != F.lower(first)) & name, _NAME).otherwise(F.lower(w))
 
 
 def templated(rows: DataFrame, key: str) -> DataFrame:

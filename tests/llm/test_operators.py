@@ -244,6 +244,17 @@ def test_decontamination_of_items_full_of_numbers(spark):
     assert got == {1: [20], 2: [20], 3: [21], 4: [21], 5: [22]}
 
 
+def test_decontamination_of_other_scripts(spark):
+    """Names that begin outside A-Z, words joined by punctuation and other spaces than U+0020."""
+    item = "In the old harbour Émile and Öznur count 120 km of rope before Иван carries the well-known barrels, then they rest"
+    changed = item.replace("Émile", "Zoë").replace("Öznur", "Åsa").replace("Иван", "Пётр").replace("120", "300")
+    joined = item.replace("120 km", "120\u00a0km").replace("well-known", "well known").replace("barrels, then", "barrels,then").replace(" the ", "\u2009the\u3000").replace("old harbour", "old/harbour")
+    rows = [(1, f"Before it. {item}."), (2, f"Before it. {changed}."), (3, f"Before it. {joined}."), (4, f"Before it. {changed.replace('Åsa', 'Zoë')}.")]
+    bench = spark.createDataFrame([(30, item)], "item_id long, text string")
+    got = {r.doc_id for r in decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1, 2, 3}
+
+
 def test_decontamination_finds_planted_passages(spark, sf):
     d, b = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "benchmark"))
     norm = lambda s: " ".join(re.findall(r"\w+", (s or "").lower()))
