@@ -11,6 +11,7 @@ packed as rows of their own; an empty table gives an empty result; further colum
 from __future__ import annotations
 
 import base64
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +46,18 @@ def encoding(ranks_file: str = "byte_bpe_50k.tiktoken") -> tiktoken.Encoding:
     return _encodings[ranks_file]
 
 
+@functools.lru_cache(maxsize=1)
+def tokenizer(file: str = "byte_bpe_50k.json") -> tokenizers.Tokenizer:
+    """The vocabulary itself, for the texts that the ranks cannot encode."""
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path(file))
+
+
 def token_ids(text: str | None) -> np.ndarray:
     """The ids of a text and the end id, as unsigned 32-bit little-endian numbers."""
-    ids = encoding().encode_to_numpy(text, allowed_special="all") if text else np.zeros(0, np.uint32)
+    try:
+        ids = encoding().encode_to_numpy(text, allowed_special="all") if text else np.zeros(0, np.uint32)
+    except ValueError:  # its pattern gives up on a run of about a million spaces
+        ids = np.array(tokenizer().encode(text, add_special_tokens=False).ids, np.uint32)
     return np.append(ids, END_ID).astype("<u4")
 
 

@@ -174,6 +174,16 @@ def test_packing(docs, empty):
     assert [bounded.put(n)[0] for n in (6, 5, 4, 5)] == [0, 1, 1, 2]  # bin 0, the fuller, closed when bin 1 opened
 
 
+def test_tokens_of_a_long_run_of_spaces():
+    """The pattern of the ranks gives up on this text; the ids are those of the tokenizers file all the same."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("Some words" + " " * 999_990 + "and more", "Some words<|endoftext|>" + " " * 1_000_010 + "and more"):
+        assert packing.token_ids(text).tolist() == [*file.encode(text, add_special_tokens=False).ids, packing.END_ID]
+
+
 def test_sharding(docs, empty):
     rows = sharding.reshard(docs).collect()
     assert len(rows) == docs.count()
