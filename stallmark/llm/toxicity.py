@@ -3,7 +3,8 @@
 A document's terms are its distinct words and their four- and five-letter beginnings, hashed to
 32 bits. The machine adds a weight for each term and, through factors, one for each pair of
 terms, so a pair can count for more than its two terms. It is fitted on a bounded sample of
-labelled rows: terms are screened by their chi-squared value there, others weigh nothing.
+labelled rows: terms are screened there by their own chi-squared value and, so that a term which is neutral
+alone and counts beside another is kept, by the label's share among the rows that hold a pair; others weigh nothing.
 
 Defined cases: null and empty texts have no terms and score the machine's bias; terms count once
 however often they occur; repeated rows score alike; without labels of both kinds the score is the
@@ -28,6 +29,10 @@ from .sampling import HELD_OUT_PARTS, labelled_sample, sampled_features
 SAMPLE_ROWS = 20_000
 MAX_TERMS = 4096
 MIN_CHI2 = 12.0
+#: Least likelihood ratio (2 ln) of a pair's share of positive labels against that of either term alone.
+MIN_PAIR_RATIO = 40.0
+#: Terms that a task compares with all others at a time.
+PAIR_BLOCK = 128
 FACTORS = 8
 EPOCHS = 12
 CACHE = 400_000
@@ -91,6 +96,89 @@ def screen(found: DataFrame, most: int = MAX_TERMS, least: float = MIN_CHI2) ->
     return np.sort(np.array([r.term for r in best.orderBy(F.col("chi2").desc(), "term").limit(most).collect()], np.int64))
 
 
+def placed(found: DataFrame, terms: np.ndarray) -> pa.Table:
+    """(places, label) of each row: where its terms are in `terms`, which are sorted."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            offs = b.column(0).offsets.to_numpy()
+            flat = b.column(0).flatten().to_numpy()
+            at = np.searchsorted(terms, flat)
+            at[at == len(terms)] = 0
+            hit = terms[at] == flat if len(terms) else np.zeros(len(flat), bool)
+            upto = np.append(0, np.cumsum(hit))[offs - offs[0]].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(upto, pa.array(at[hit], pa.int32())), b.column(1)], names=["places", "label"])
+
+    return found.select("terms", "label").mapInArrow(place, "places array<int>, label int").toArrow()
+
+
+def pair_ratio(both: np.ndarray, pos: np.ndarray, a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
+    """2 ln of the likelihood ratio of pairs in `both` rows, `pos` of them positive, where that share is above or below
+    all of: the shares a and b of the terms alone, and p; else 0."""
+    k, m = pos, np.maximum(both, 1)
+    share = k / m
+    high, low = np.maximum(np.maximum(a, b), p), np.minimum(np.minimum(a, b), p)
+    q = np.where(share > high, high, np.where(share < low, low, share))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up, down = np.where(k > 0, k * np.log(share / q), 0), np.where(m > k, (m - k) * np.log((1 - share) / (1 - q)), 0)
+    return np.where(both > 0, 2 * (up + down), 0)
+
+
+def screen_pairs(found: DataFrame, most: int = MAX_TERMS, least: float = MIN_PAIR_RATIO) -> np.ndarray:
+    """The sorted terms of pairs that say more of the label than either term; at most `most`.
+
+    A pair of k positive rows reaches at most 2 k ln(1 / p), so rarer terms are left out without loss (likewise
+    for negative rows). All pairs of the rest are counted, a block of terms in a task's memory at a time.
+    """
+    n, p = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < p < n:
+        return np.zeros(0, np.int64)
+    share = p / n
+    counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("pos"))
+    enough = (F.col("pos") >= least / (-2 * np.log(share))) | (F.col("df") - F.col("pos") >= least / (-2 * np.log(1 - share)))
+    got = counts.where(enough).select("term", "df", "pos").toArrow().sort_by("term")
+    terms, df, pos = (got.column(c).to_numpy().astype(np.int64) for c in ("term", "df", "pos"))
+    if len(terms) < 2:
+        return np.zeros(0, np.int64)
+    rows = placed(found, terms).combine_chunks()
+    places = rows.column("places").combine_chunks() if isinstance(rows.column("places"), pa.ChunkedArray) else rows.column("places")
+    flat, offs = places.flatten().to_numpy().astype(np.int32), places.offsets.to_numpy().astype(np.int64)
+    offs -= offs[0]
+    owner = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
+    order = np.argsort(flat, kind="stable")
+    start = np.searchsorted(flat[order], np.arange(len(terms) + 1))
+    spark = found.sparkSession
+    shared = spark.sparkContext.broadcast((flat, offs, owner[order], start, rows.column("label").to_numpy().astype(bool), (pos + share) / (df + 1)))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, offs, holders, start, y, alone = shared.value
+        m = len(alone)
+        for batch in batches:
+            for block in batch.column(0).to_numpy():
+                lo, hi = int(block) * PAIR_BLOCK, min((int(block) + 1) * PAIR_BLOCK, m)
+                both, pos = np.zeros((hi - lo, m), np.int32), np.zeros((hi - lo, m), np.int32)
+                for a in range(lo, hi):
+                    docs = holders[start[a] : start[a + 1]]
+                    for kind in (True, False):
+                        own = [flat[offs[d] : offs[d + 1]] for d in docs[y[docs] == kind]]
+                        if own:
+                            c = np.bincount(np.concatenate(own), minlength=m)
+                            both[a - lo] += c
+                            if kind:
+                                pos[a - lo] = c
+                ratio = pair_ratio(both, pos, alone[lo:hi, None], alone[None], share)
+                ratio[np.arange(hi - lo), np.arange(lo, hi)] = 0
+                best = ratio.max(1)
+                keep = np.flatnonzero(best >= least)
+                yield pa.RecordBatch.from_arrays([pa.array(lo + keep, pa.int64()), pa.array(best[keep], pa.float64())], names=["at", "ratio"])
+
+    blocks = -(-len(terms) // PAIR_BLOCK)
+    best = spark.range(0, blocks, 1, min(blocks, 64)).mapInArrow(compare, "at long, ratio double").orderBy(F.col("ratio").desc(), "at").limit(most)
+    out = np.sort(terms[[r.at for r in best.collect()]].astype(np.int64))
+    shared.destroy()
+    return out
+
+
 def fit(places: list[np.ndarray], y: np.ndarray, terms: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """Fits by AdaGrad on the logistic loss; places say which of `terms` each document has."""
     y = np.asarray(y, float)
@@ -140,19 +228,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), part.column(1).cast(pa.int32())], names=["terms", "label"])
 
     found = written(sampled_features(docs, labelled_sample(labels, "toxic", sample_rows), extract, "terms array<long>, label int"), "terms")
-    terms = screen(found)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            offs = b.column(0).offsets.to_numpy()
-            flat = b.column(0).flatten().to_numpy()
-            at = np.searchsorted(terms, flat)
-            at[at == len(terms)] = 0
-            hit = terms[at] == flat if len(terms) else np.zeros(len(flat), bool)
-            upto = np.append(0, np.cumsum(hit))[offs - offs[0]].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(upto, pa.array(at[hit], pa.int32())), b.column(1)], names=["places", "label"])
-
-    got = found.select("terms", "label").mapInArrow(place, "places array<int>, label int").toArrow()
+    terms = np.union1d(screen(found), screen_pairs(found))
+    got = placed(found, terms)
     places = [np.array(x, np.int64) for x in got.column("places").to_pylist()]
     return fit(places, got.column("label").to_numpy(), terms)
 

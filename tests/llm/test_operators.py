@@ -360,6 +360,20 @@ def test_machine_learns_pairs():
     assert p[0] > 0 > p[1] and p[3] > 0 > p[2]
 
 
+def test_toxicity_of_pairs(spark):
+    """Through train() and score(): two words that are neutral alone and say all together, among other words."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("bcdfghjklm"), 7)) for _ in range(300)]
+    rows, labels = [], []
+    for k in range(4000):
+        a, b = k % 2, k // 2 % 2
+        rows.append((k, " ".join([*rng.choice(words, 15), *["zebras"] * a, *["quorum"] * b])))
+        labels.append((k, int(a == b)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(got) > 200 and sum(r.predicted == r.toxic for r in got) >= 0.95 * len(got)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 102), (102, 100), (200, 200)] + [(300, k) for k in range(301, 340)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
