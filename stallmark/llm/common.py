@@ -6,6 +6,8 @@ Work that must outlive an executor is written as Parquet under the shared folder
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,13 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_folders: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared one; only a session without one (tests) gets a local folder."""
+    """A new folder under the shared one. A session without one gets a local folder if its master is local (tests), else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = "file://" + tempfile.mkdtemp(prefix="stallmark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _folders.append(f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _folders[-1]
+
+
+def removed_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of the shared one, on any file system that Spark knows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes every folder that this process has made; for when the results that were read from them are stored."""
+    while _folders:
+        removed_folder(spark, _folders.pop())
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
@@ -57,6 +78,12 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def gathered(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The values of pieces of buf, one after the other."""
+    at = np.cumsum(size) - size
+    return buf[np.arange(int(size.sum())) + np.repeat(start - at, size)]
+
+
 def segments(offs: np.ndarray, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `limit` bytes in all (one row at least), so that work arrays stay small."""
     lo, n = 0, len(offs) - 1
@@ -69,11 +96,18 @@ def segments(offs: np.ndarray, limit: int = 1_000_000) -> Iterator[tuple[int, in
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
-_rng = np.random.default_rng(20240229)
-#: A random 64-bit value for each byte, and the same after A-Z became a-z.
-BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-LOWER = BYTE.copy()
-LOWER[65:91] = BYTE[97:123]
+
+
+@functools.lru_cache(maxsize=32)
+def byte_values(seed: int = 0, lower: bool = False) -> np.ndarray:
+    """A random 64-bit value for each byte; with lower, A-Z have those of a-z."""
+    out = np.random.default_rng(20240229 + seed).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+    if lower:
+        out[65:91] = out[97:123]
+    return out
+
+
+BYTE, LOWER = byte_values(), byte_values(lower=True)
 #: Word separators of the contracts: space and \x09 to \x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -104,10 +138,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word `[^\\x20\\x09-\\x0D]+` (A-Z as a-z), and len+1 offsets of the rows' words."""
+def word_bounds(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words `[^\\x20\\x09-\\x0D]+`, and len+1 offsets of the rows' words."""
     if len(buf) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
     space = SPACE[buf]
     cut = np.zeros(len(buf) + 1, bool)  # a word may start here: at a row's start or after a space
     cut[offs] = True
@@ -118,10 +152,20 @@ def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     after[:-1] |= space[1:]
     starts = np.flatnonzero(before & ~space)
     ends = np.flatnonzero(after & ~space) + 1
-    sums = prefix_hashes(LOWER[buf])
-    h = (sums[ends] - sums[starts]) * powers(len(buf))[1][starts]
-    h = mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return h, np.searchsorted(starts, offs).astype(np.int64)
+    return starts, ends, np.searchsorted(starts, offs).astype(np.int64)
+
+
+def piece_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each piece of buf, from a value for each byte."""
+    sums = prefix_hashes(values[buf])
+    h = (sums[ends] - sums[starts]) * powers(len(buf) + 1)[1][starts]
+    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (A-Z as a-z), and len+1 offsets of the rows' words."""
+    starts, ends, at = word_bounds(buf, offs)
+    return piece_hashes(buf, starts, ends, LOWER), at
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -154,8 +198,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     seen = mark(now)
     while seen[0]:
-        now = written(star(star(now, True), False), "edges")
+        last, now = now, written(star(star(now, True), False), "edges")
         new = mark(now)
+        removed_folder(edges.sparkSession, last.inputFiles()[0].rsplit("/", 1)[0])  # its successor is stored
         if new == seen:
             break
         seen = new

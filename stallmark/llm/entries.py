@@ -49,7 +49,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _of("kneser_ney").perplexities(table(spark, sf_dir, "documents"))
+    model = _of("kneser_ney")
+    return model.perplexities(table(spark, sf_dir, "documents"), model.ORDER)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

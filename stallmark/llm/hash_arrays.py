@@ -1,32 +1,39 @@
 """Sorted hash arrays in the shared folder, memory-mapped by the tasks that look things up.
 
 A task packs what it has gathered into one row per hash bucket; one task per bucket merges them
-and writes the bucket's columns as files; later tasks map these files. Files appear by an
-atomic rename, so a repeated task rewrites the same content and a lost executor loses nothing.
-Buckets are ranges of the hash, PER_PARTITION for each of the session's shuffle partitions: one bucket is in
-a worker's memory at a time.
+and writes the bucket's columns into one file; later tasks map these files. Files appear by an
+atomic rename, so a repeated task rewrites the same content and a lost executor loses nothing. The
+driver keeps the list of buckets that were written: one of these that a task cannot find is an error,
+not an empty bucket.
+
+Buckets are ranges of the hash. Their number follows from the bytes of text (`bucket_count`), so a bucket
+fits a worker's memory whatever the number of partitions is.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import mmap
 import os
 import sys
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MASK48 = np.uint64((1 << 48) - 1)
 
-
-PER_PARTITION = 3
+#: Bytes of text that one bucket stands for, and the least number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 24 << 20, 16
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return max(1, PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text: str = "text") -> int:
+    """The number of buckets for the texts of docs: from their bytes, which are summed first."""
+    total = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
+    return max(LEAST_BUCKETS, -(-total // bucket_bytes))
 
 
 def bucket48(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -34,6 +41,11 @@ def bucket48(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
 
 
+def bucket64(h: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of 64-bit hashes, likewise."""
+    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
 def pack48(h: np.ndarray) -> bytes:
     """48-bit numbers as a plane of their high 16 bits (sorted input compresses) and one of the low 32."""
     return (h >> np.uint64(32)).astype("<u2").tobytes() + (h & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
@@ -53,71 +65,86 @@ def ranges(sorted_buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_buckets[lo]), int(lo), int(hi)
 
 
+def smallest(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in the smallest unsigned kind that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
 def _local(folder: str) -> str | None:
     if folder.startswith("file:"):
         return "/" + folder[5:].lstrip("/")
     return folder if "://" not in folder else None
 
 
-def save(folder: str, name: str, **columns: np.ndarray) -> None:
-    """Writes each column of a bucket as an array file."""
-    path = _local(folder)
-    for column, x in columns.items():
-        if path is None:
-            from pyarrow import fs
-
-            store, at = fs.FileSystem.from_uri(folder)
-            out = io.BytesIO()
-            np.save(out, x)
-            with store.open_output_stream(f"{at}/{name}.{column}.npy") as f:
-                f.write(out.getvalue())
-            continue
-        os.makedirs(path, exist_ok=True)
-        fd, part = tempfile.mkstemp(dir=path, suffix=".part")
-        with os.fdopen(fd, "wb") as f:
-            np.save(f, x)
-        os.replace(part, f"{path}/{name}.{column}.npy")
+def _written(out, columns: dict[str, np.ndarray]) -> None:
+    """A line of JSON (name, kind, length and place of each column), then the columns, each at a multiple of 64 bytes."""
+    at, told = 0, []
+    for name, x in columns.items():
+        told.append((name, x.dtype.str, len(x), at))
+        at += -(-x.nbytes // 64) * 64
+    head = json.dumps(told).encode()
+    out.write(head + b" " * (-(len(head) + 1) % 64) + b"\n")
+    for x in columns.values():
+        out.write(np.ascontiguousarray(x).data)
+        out.write(bytes(-x.nbytes % 64))
 
 
-def mapped(path: str) -> np.ndarray:
-    """The array of a file, mapped without holding a file descriptor where Python can do so (3.13)."""
+def save(folder: str, name: str, **columns: np.ndarray) -> None:
+    """Writes the columns of a bucket as one file."""
+    path = _local(folder)
+    if path is None:
+        from pyarrow import fs
+
+        store, at = fs.FileSystem.from_uri(folder)
+        held = io.BytesIO()
+        _written(held, columns)
+        with store.open_output_stream(f"{at}/{name}.arrays") as f:
+            f.write(held.getvalue())
+        return
+    os.makedirs(path, exist_ok=True)
+    fd, part = tempfile.mkstemp(dir=path, suffix=".part")
+    with os.fdopen(fd, "wb") as f:
+        _written(f, columns)
+    os.replace(part, f"{path}/{name}.arrays")
+
+
+def mapped(path: str) -> dict[str, np.ndarray]:
+    """The columns of a file, mapped without holding a file descriptor where Python can do so (3.13)."""
     with open(path, "rb") as f:
-        np.lib.format.read_magic(f)
-        shape, _, dtype = np.lib.format.read_array_header_1_0(f)
-        if not shape[0]:
-            return np.zeros(0, dtype)
+        told = json.loads(f.readline())
+        begin = f.tell()
         own = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **({"trackfd": False} if sys.version_info >= (3, 13) else {}))
-        return np.frombuffer(own, dtype, shape[0], f.tell())
+    return {name: np.frombuffer(own, kind, n, begin + at) if n else np.zeros(0, kind) for name, kind, n, at in told}
 
 
 class Arrays:
-    """The columns of all buckets, mapped on first use; a bucket that was never written is empty."""
+    """The columns of all buckets, mapped on first use. Buckets that are not among the written ones are empty."""
 
-    def __init__(self, folder: str, buckets: int):
-        self.folder, self.buckets = folder, buckets
-        self._open: dict[str, np.ndarray | None] = {}
+    def __init__(self, folder: str, buckets: int, written: Iterable[int]):
+        self.folder, self.buckets, self.written = folder, buckets, frozenset(written)
+        self._open: dict[str, dict[str, np.ndarray]] = {}
 
     def __getstate__(self):
-        return {"folder": self.folder, "buckets": self.buckets, "_open": {}}
+        return {"folder": self.folder, "buckets": self.buckets, "written": self.written, "_open": {}}
 
-    def column(self, bucket: int, column: str) -> np.ndarray | None:
-        name = f"{bucket}.{column}"
+    def columns(self, bucket: int) -> dict[str, np.ndarray]:
+        """The bucket's columns; none if it was never written."""
+        if bucket not in self.written:
+            return {}
+        name = f"{bucket}.arrays"
         if name not in self._open:
             path = _local(self.folder)
             if path is None:  # a store without local paths: one copy for this worker, unlinked at once
                 from pyarrow import fs
 
                 store, at = fs.FileSystem.from_uri(self.folder)
-                if store.get_file_info(f"{at}/{name}.npy").type == fs.FileType.NotFound:
-                    self._open[name] = None
-                    return None
-                with store.open_input_stream(f"{at}/{name}.npy") as f, tempfile.NamedTemporaryFile(suffix=".npy") as own:
+                with store.open_input_stream(f"{at}/{name}") as f, tempfile.NamedTemporaryFile(suffix=".arrays") as own:
                     while block := f.read(8 << 20):
                         own.write(block)
                     own.flush()
                     self._open[name] = mapped(own.name)
             else:
-                self._open[name] = mapped(f"{path}/{name}.npy") if os.path.exists(f"{path}/{name}.npy") else None
+                self._open[name] = mapped(f"{path}/{name}")  # a missing file raises: the result would not be whole
         return self._open[name]
 
     def lookup(self, keys: np.ndarray, buckets: np.ndarray, columns: tuple[str, ...]) -> tuple[np.ndarray, ...]:
@@ -125,13 +152,88 @@ class Arrays:
         there = np.zeros(len(keys), bool)
         out = [np.zeros(len(keys), np.int64) for _ in columns]
         for b, lo, hi in ranges(buckets):
-            own = self.column(b, "key")
-            if own is None or not len(own):
+            own = self.columns(b)
+            if not own or not len(own["key"]):
                 continue
-            at = np.searchsorted(own, keys[lo:hi])
-            at[at == len(own)] = 0
-            hit = own[at] == keys[lo:hi]
+            at = np.searchsorted(own["key"], keys[lo:hi])
+            at[at == len(own["key"])] = 0
+            hit = own["key"][at] == keys[lo:hi]
             there[lo:hi] = hit
             for x, c in zip(out, columns):
-                x[lo:hi][hit] = self.column(b, c)[at[hit]]
+                x[lo:hi][hit] = own[c][at[hit]]
         return there, *out
+
+
+# Tables of 64-bit keys at five bytes each: the leading bits by an index, then 32 and 8 bits in columns.
+
+
+def key_columns(keys: np.ndarray, name: str) -> dict[str, np.ndarray]:
+    """The columns of a set of ascending, distinct keys."""
+    bits = min(max(int(len(keys)).bit_length() - 5, 0), 20)
+    top = (keys >> np.uint64(64 - bits)) if bits else np.zeros(len(keys), np.uint64)
+    index = np.searchsorted(top, np.arange((1 << bits) + 1, dtype=np.uint64))
+    low = (keys >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)
+    return {f"{name}_index": index.astype(np.uint32 if len(keys) < 1 << 32 else np.uint64), f"{name}_low": low.astype(np.uint32), f"{name}_tag": (keys >> np.uint64(24 - bits)).astype(np.uint8)}
+
+
+def find(own: dict[str, np.ndarray], name: str, keys: np.ndarray) -> np.ndarray:
+    """The place of each key in a set, -1 where it is not there."""
+    index, low, tag = (own[f"{name}_{c}"] for c in ("index", "low", "tag"))
+    if not len(low):
+        return np.full(len(keys), -1)
+    bits = (len(index) - 1).bit_length() - 1
+    top = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    want, mark = ((keys >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32), (keys >> np.uint64(24 - bits)).astype(np.uint8)
+    at, stop = index[top].astype(np.int64), index[top + 1].astype(np.int64)
+    end = stop.copy()
+    for _ in range(int((stop - at).max()).bit_length()):
+        mid = (at + stop) >> 1
+        less = (at < stop) & (low[np.minimum(mid, len(low) - 1)] < want)
+        at, stop = np.where(less, mid + 1, at), np.where(less, stop, mid)
+    inside = np.minimum(at, len(low) - 1)
+    same = (at < end) & (low[inside] == want)
+    out = np.where(same & (tag[inside] == mark), at, -1)
+    left = np.flatnonzero(same & (out < 0))
+    while len(left):  # keys that agree in the leading bits and these 32
+        at[left] += 1
+        left = left[(at[left] < end[left])]
+        left = left[low[at[left]] == want[left]]
+        hit = tag[at[left]] == mark[left]
+        out[left[hit]] = at[left[hit]]
+        left = left[~hit]
+    return out
+
+
+def table_columns(keys: np.ndarray, values: list[np.ndarray], usual: tuple[int, ...]) -> dict[str, np.ndarray]:
+    """The columns of a table. Keys with the usual values are a set of their own; the others have a code of their row of values."""
+    order = np.argsort(keys)
+    keys, values = keys[order], np.stack([v[order] for v in values], 1)
+    plain = (values == np.array(usual)).all(1)
+    rest = values[~plain]
+    spread = np.lexsort(rest.T[::-1])
+    new = np.append(True, (rest[spread][1:] != rest[spread][:-1]).any(1)) if len(rest) else np.zeros(0, bool)
+    code = np.empty(len(rest), np.int64)
+    code[spread] = np.cumsum(new) - 1
+    rows = rest[spread][new]
+    return key_columns(keys[plain], "plain") | key_columns(keys[~plain], "other") | {"code": smallest(code)} | {f"value{k}": rows[:, k].copy() for k in range(rows.shape[1])}
+
+
+def table_values(arrays: Arrays, keys: np.ndarray, buckets: np.ndarray, usual: tuple[int, ...]) -> list[np.ndarray]:
+    """The values of each key (in any order), 0 where it is not in its bucket's table."""
+    out = [np.zeros(len(keys), np.int64) for _ in usual]
+    order = np.argsort(smallest(buckets), kind="stable")
+    for b, lo, hi in ranges(buckets[order]):
+        own = arrays.columns(b)
+        if not own:
+            continue
+        rows = order[lo:hi]
+        plain = find(own, "plain", keys[rows]) >= 0
+        for x, v in zip(out, usual):
+            x[rows[plain]] = v
+        rows = rows[~plain]
+        at = find(own, "other", keys[rows])
+        rows, at = rows[at >= 0], at[at >= 0]
+        code = own["code"][at]
+        for k, x in enumerate(out):
+            x[rows] = own[f"value{k}"][code]
+    return out

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, mix, segments, shared_folder, utf8, word_hashes, written
-from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, pack48, ranges, save, unpack48
+from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, pack48, ranges, save, smallest, unpack48
 
 WORDS = 5
 #: The similarity as a fraction of whole numbers.
@@ -81,12 +81,12 @@ def least_of_self(n: np.ndarray) -> np.ndarray:
     return -(-NUMERATOR * n // DENOMINATOR)
 
 
-def shared_shingles(docs: DataFrame, words: int = WORDS) -> Arrays:
+def shared_shingles(docs: DataFrame, buckets: int, words: int = WORDS) -> Arrays:
     """Step 1: the shingles (48 bits) in two documents or more, with their frequency.
 
     A clash of two shingles in 48 bits only makes a list longer; sets are compared by 64 bits.
     """
-    buckets, folder = bucket_count(docs.sparkSession), shared_folder(docs.sparkSession, "shingles")
+    folder = shared_folder(docs.sparkSession, "shingles")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -117,12 +117,12 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> Arrays:
         s, n = s[order], n[order]
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         s, n = s[first], np.add.reduceat(n, first)
-        save(folder, str(got.column("bucket")[0].as_py()), key=s[n > 1], count=np.minimum(n[n > 1], 1 << 31).astype(np.uint32))
-        return pa.table([pa.array([int((n > 1).sum())])], names=["n"])
+        bucket = got.column("bucket")[0].as_py()
+        save(folder, str(bucket), key=s[n > 1], count=smallest(n[n > 1]))
+        return pa.table([pa.array([bucket])], names=["n"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, shingle binary, n binary")
-    packed.groupBy("bucket").applyInArrow(merge, "n long").agg(F.sum("n")).collect()
-    return Arrays(folder, buckets)
+    return Arrays(folder, buckets, [r.n for r in packed.groupBy("bucket").applyInArrow(merge, "n long").collect()])
 
 
 def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFrame:
@@ -289,9 +289,8 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
-    spark = docs.sparkSession
-    buckets = bucket_count(spark)
-    sets = written(document_sets(docs, shared_shingles(docs, words), words), "sets")
+    buckets = bucket_count(docs)
+    sets = written(document_sets(docs, shared_shingles(docs, buckets, words), words), "sets")
     live = sets.where("node is not null")
     # Copies meet in tasks first: one row with shingles for each node and task.
     least = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))

@@ -3,14 +3,15 @@
 A byte goes if it is covered by a `LENGTH`-byte string that also starts in a document with a smaller
 id, as judged on the input. Three scans, with sorted hash arrays in the shared folder between them:
 
-1. Each window of LENGTH bytes has an anchor, the least hash of its 16-byte strings (mixed again); equal
+1. Each window of LENGTH bytes has an anchor, the least hash of its GRAM-byte strings (mixed again); equal
    windows have equal anchors. Runs of windows with one anchor are counted; anchors in more than one document are kept.
-2. The runs with a kept anchor go, with their bytes, to one task per hash range, once for each distinct
-   run and task. There the windows of runs that share an anchor but differ are sorted as suffixes:
+2. The runs with a kept anchor go, with their bytes (sorted and compressed), to one task per hash range, once for each
+   distinct run and task. There the windows of runs that share an anchor but differ are sorted as suffixes:
    a mergesort whose comparisons find the common extension by binary search over prefix polynomial
    hashes. Neighbours that agree over LENGTH bytes are verified byte by byte. Every window learns the
    smallest id that holds it. Runs of very common anchors are split into single windows, keyed by
-   their own bytes, so that no anchor gathers in one task.
+   their own bytes, so that no anchor gathers in one task. Should two different runs have one hash, the
+   step is done anew with other byte values.
 3. Each document looks its runs up and drops the covered bytes.
 
 Defined cases: a null text is empty; repeated rows have equal ids and do not count against each other; a
@@ -22,32 +23,46 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE, mix, powers, prefix_hashes, segments, shared_folder, utf8
-from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, pack48, ranges, save, unpack48
+from .common import BYTE, byte_values, gathered, mix, powers, prefix_hashes, segments, shared_folder, utf8
+from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, pack48, ranges, save, smallest, unpack48
 
 LENGTH = 50
-GRAM = 16
+#: 24 bytes: much shorter strings meet by chance in large corpora, longer ones make more and shorter runs.
+GRAM = 24
 RUN = 64
 #: Runs of an anchor with more occurrences are split into single windows.
 COMMON = 1000
 #: Runs that a task gathers before it sorts and packs them, and bytes of them.
 HELD_RUNS, HELD_BYTES = 1_000_000, 12 << 20
 NO_ID = np.iinfo(np.int64).max
-_STEPS = {k: np.uint64(pow(0xC2B2AE3D27D4EB4F, k, 1 << 64)) for k in (1, 2, 4, 8)}
+SEEDS = 4
+
+
+def gram_hashes(buf: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """A hash of the `gram` bytes at each place, built by doubling."""
+    step = lambda k: np.uint64(pow(0xC2B2AE3D27D4EB4F, k, 1 << 64))
+    h, size, out, done = BYTE[buf], 1, None, 0
+    while True:
+        if gram & size:
+            n = len(buf) - done - size + 1
+            out = h if out is None else out[:n] * step(size) + h[done : done + n]
+            done += size
+        if size * 2 > gram:
+            return mix(out)
+        h = h[:-size] * step(size) + h[size:]
+        size *= 2
 
 
 def anchors(buf: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """The anchor of the window at each place of buf (48 bits); places without a whole window are missing."""
-    h = BYTE[buf]
-    for k in (1, 2, 4, 8):
-        h = h[:-k] * _STEPS[k] + h[k:]
-    m = mix(h) & MASK48
+    m = gram_hashes(buf) & MASK48
     wide, size = length - GRAM + 1, 1
     while size * 2 <= wide:
         m = np.minimum(m[:-size], m[size:])
@@ -88,13 +103,16 @@ def content_keys(sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nd
     return mix(h ^ size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def gathered(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of pieces, one after the other."""
-    at = np.cumsum(size) - size
-    return buf[np.arange(int(size.sum())) + np.repeat(start - at, size)]
+def run_keys(content: np.ndarray, size: np.ndarray, seed: int, limit: int = 4 << 20) -> np.ndarray:
+    """The keys of runs whose bytes follow one another, some MB at a time."""
+    offs, out = np.append(0, np.cumsum(size)), [np.zeros(0, np.uint64)]
+    for lo, hi in segments(offs, limit):
+        part = content[offs[lo] : offs[hi]]
+        out.append(content_keys(prefix_hashes(byte_values(seed)[part]), offs[lo:hi] - offs[lo], size[lo:hi]))
+    return np.concatenate(out)
 
 
-def shared_runs(buf: np.ndarray, offs: np.ndarray, known: Arrays, sums: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def shared_runs(buf: np.ndarray, offs: np.ndarray, known: Arrays, sums: np.ndarray, length: int, common: int) -> tuple[np.ndarray, ...]:
     """(start, windows, group, key, row) of the runs with a shared anchor, those of common anchors window by window.
 
     The group is the anchor, or for single windows their own hash; the key is the hash of the run's bytes.
@@ -104,13 +122,13 @@ def shared_runs(buf: np.ndarray, offs: np.ndarray, known: Arrays, sums: np.ndarr
     ascending = anchor[order]
     there, count = known.lookup(ascending, bucket48(ascending, known.buckets), ("count",))
     keep = np.sort(order[there])
-    common = np.zeros(len(start), bool)
-    common[order[there & (count > COMMON)]] = True
-    common = common[keep]
+    split = np.zeros(len(start), bool)
+    split[order[there & (count > common)]] = True
+    split = split[keep]
     start, n, anchor, row = start[keep], n[keep], anchor[keep], row[keep]
-    parts = np.where(common, n, 1)
+    parts = np.where(split, n, 1)
     at = np.repeat(start, parts) + np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-    single = np.repeat(common, parts)
+    single = np.repeat(split, parts)
     n = np.where(single, 1, np.repeat(n, parts))
     key = content_keys(sums, at, n + length - 1)
     group = np.where(single, key & MASK48, np.repeat(anchor, parts))
@@ -224,8 +242,8 @@ def _same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray,
     return all(np.array_equal(gathered(buf, a[p], size[p]), gathered(buf, b[p], size[p])) for p in parts)
 
 
-def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray, windows: np.ndarray, content: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(key, first, size, ids): for each run that some larger id must drop, its windows' smallest ids."""
+def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray, windows: np.ndarray, content: np.ndarray, length: int) -> tuple[np.ndarray, ...] | None:
+    """(key, first, size, ids): for each run that some larger id must drop, its windows' smallest ids. None if two different runs have one key."""
     size = windows + length - 1
     start = np.cumsum(size) - size
     order = np.lexsort((low, key, group))
@@ -237,7 +255,9 @@ def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarr
     copies = order[~new]
     of = head[np.cumsum(new) - 1][~new]
     if (size[copies] != size[of]).any() or not _same_bytes(content, start[copies], start[of], size[copies]):
-        raise ValueError("two different runs have one 64-bit hash; choose another seed for the byte values")
+        return None
+    if len(np.unique(key[head])) < len(head):  # of different groups, so of different bytes
+        return None
     g = group[head]
     alone = np.ones(len(g), bool)
     alone[1:] &= g[1:] != g[:-1]
@@ -269,17 +289,13 @@ def _answers(group: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarr
     return key[order], np.cumsum(size) - size, size, ids
 
 
-def bucket64(key: np.ndarray, buckets: int) -> np.ndarray:
-    return ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-
-
 def _ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(NO_ID).to_numpy(zero_copy_only=False)
 
 
-def shared_anchors(docs: DataFrame, length: int = LENGTH) -> Arrays:
+def shared_anchors(docs: DataFrame, buckets: int, length: int = LENGTH) -> Arrays:
     """Scan 1: the anchors that occur in more than one document, with their numbers of occurrences."""
-    buckets, folder = bucket_count(docs.sparkSession), shared_folder(docs.sparkSession, "anchors")
+    folder = shared_folder(docs.sparkSession, "anchors")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -314,19 +330,32 @@ def shared_anchors(docs: DataFrame, length: int = LENGTH) -> Arrays:
         a, n = a[order], n[order]
         first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
         a, n = a[first], np.add.reduceat(n, first)
-        save(folder, str(got.column("bucket")[0].as_py()), key=a[n > 1], count=np.minimum(n[n > 1], 1 << 31).astype(np.uint32))
-        return pa.table([pa.array([int((n > 1).sum())])], names=["n"])
+        bucket = got.column("bucket")[0].as_py()
+        save(folder, str(bucket), key=a[n > 1], count=smallest(n[n > 1]))
+        return pa.table([pa.array([bucket])], names=["n"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, anchor binary, n binary")
-    packed.groupBy("bucket").applyInArrow(merge, "n long").agg(F.sum("n")).collect()
-    return Arrays(folder, buckets)
+    return Arrays(folder, buckets, [r.n for r in packed.groupBy("bucket").applyInArrow(merge, "n long").collect()])
+
+
+def packed_runs(group: np.ndarray, low: np.ndarray, high: np.ndarray, windows: np.ndarray) -> bytes:
+    """Runs with ascending groups, compressed: groups as differences, all as planes of bytes."""
+    columns = [np.diff(group, prepend=np.uint64(0)), low.astype(np.uint64), (high - low).astype(np.uint64)]
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in columns]
+    return pa.compress(b"".join([*planes, windows.astype(np.uint8).tobytes()]), "zstd", asbytes=True)
+
 
+def unpacked_runs(data: bytes, n: int) -> tuple[np.ndarray, ...]:
+    raw = np.frombuffer(pa.decompress(data, 25 * n, "zstd", asbytes=True), np.uint8)
+    group, low, more = (raw[8 * n * k : 8 * n * (k + 1)].reshape(8, n).T.copy().view("<u8").ravel() for k in range(3))
+    low = low.astype(np.int64)
+    return np.cumsum(group, dtype=np.uint64), low, low + more.astype(np.int64), raw[24 * n :].astype(np.int64)
 
-def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
-    """Scan 2: for the runs that some document must drop, the smallest ids of their windows."""
-    spark = docs.sparkSession
-    buckets, folder = bucket_count(spark), shared_folder(spark, "windows")
-    schema = "bucket int, grp binary, key binary, low binary, high binary, windows binary, content binary"
+
+def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH, common: int = COMMON, seed: int = 0) -> Arrays | None:
+    """Scan 2: for the runs that some document must drop, the smallest ids of their windows. None if two different runs have one hash."""
+    buckets, folder = known.buckets, shared_folder(docs.sparkSession, "windows")
+    schema = "bucket int, n long, runs binary, content binary"
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -344,8 +373,8 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
             for b, lo, hi in ranges(bucket48(group[own], buckets)):
                 o = own[lo:hi]
                 parts = [gathered(content, start[q], whole[q]).tobytes() for q in np.array_split(o, 1 + len(o) // 10_000)]
-                rows.append((b, pack48(group[o]), key[o].tobytes(), low[lo:hi].tobytes(), high[lo:hi].tobytes(), n[o].astype(np.uint8).tobytes(), b"".join(parts)))
-            kinds = (pa.int32(), *[pa.binary()] * 6)
+                rows.append((b, len(o), packed_runs(group[o], low[lo:hi], high[lo:hi], n[o]), pa.compress(b"".join(parts), "zstd", asbytes=True)))
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in schema.split(", ")])
 
         for batch in batches:
@@ -353,8 +382,8 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
             buf_all, offs_all = utf8(batch.column(1))
             for lo, hi in segments(offs_all):
                 buf, offs = buf_all[offs_all[lo] : offs_all[hi]], offs_all[lo : hi + 1] - offs_all[lo]
-                sums = prefix_hashes(BYTE[buf])
-                start, n, group, key, row = shared_runs(buf, offs, known, sums, length)
+                sums = prefix_hashes(byte_values(seed)[buf])
+                start, n, group, key, row = shared_runs(buf, offs, known, sums, length, common)
                 if not len(start):
                     continue
                 # Copies within the segment meet here already; their bytes are kept once.
@@ -372,12 +401,18 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
 
     def merge(got: pa.Table) -> pa.Table:
         bucket = got.column("bucket")[0].as_py()
-        cols = {c: got.column(c).to_pylist() for c in ("grp", "key", "low", "high", "windows")}
-        content = got.column("content").combine_chunks()
-        content = utf8(content.chunk(0) if isinstance(content, pa.ChunkedArray) else content)[0]
-        of = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in cols[c]])
-        group = np.concatenate([unpack48(x) for x in cols["grp"]])
-        key, first, size, ids = _answers(group, of("key", "<u8"), of("low", "<i8"), of("high", "<i8"), of("windows", np.uint8).astype(np.int64), content, length)
+        parts, contents = [], []
+        for n, runs_, data in zip(*(got.column(c).to_pylist() for c in ("n", "runs", "content"))):
+            parts.append(unpacked_runs(runs_, n))
+            contents.append(np.frombuffer(pa.decompress(data, int((parts[-1][3] + length - 1).sum()), "zstd", asbytes=True), np.uint8))
+        content = np.concatenate(contents)
+        del contents
+        group, low, high, windows = (np.concatenate(x) for x in zip(*parts))
+        size = windows + length - 1
+        answers = _answers(group, run_keys(content, size, seed), low, high, windows, content, length)
+        if answers is None:
+            return pa.table([pa.array([-1])], names=["n"])
+        key, first, size, ids = answers
         # Runs with one smallest id for all windows keep it once.
         some = len(size) > 0
         least = np.minimum.reduceat(ids, first) if some else ids
@@ -385,44 +420,66 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH) -> Arrays:
         kept = np.where(one, 1, size)
         at = np.cumsum(kept) - kept
         flat = gathered(ids, first, kept)
-        save(folder, str(bucket), key=key, first=at.astype(np.uint32), one=one, ids=flat)
-        return pa.table([pa.array([len(key)])], names=["n"])
+        save(folder, str(bucket), key=key, first=smallest(at), one=one, ids=flat)
+        return pa.table([pa.array([bucket])], names=["n"])
 
     own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    own.mapInArrow(gather, schema).groupBy("bucket").applyInArrow(merge, "n long").agg(F.sum("n")).collect()
-    return Arrays(folder, buckets)
+    done = [r.n for r in own.mapInArrow(gather, schema).groupBy("bucket").applyInArrow(merge, "n long").collect()]
+    return None if -1 in done else Arrays(folder, buckets, done)
+
+
+@dataclass
+class Repeats:
+    """What the first two scans found, and how they were made."""
+
+    known: Arrays
+    answers: Arrays
+    length: int
+    common: int
+    seed: int
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, common: int = COMMON) -> Repeats:
+    """Scans 1 and 2, the second anew with another seed where two different runs have one hash."""
+    known = shared_anchors(docs, bucket_count(docs), length)
+    for seed in range(SEEDS):
+        answers = window_ids(docs, known, length, common, seed)
+        if answers is not None:
+            return Repeats(known, answers, length, common, seed)
+    raise ValueError(f"two different runs have one hash under each of {SEEDS} seeds")
 
 
-def removed(buf: np.ndarray, offs: np.ndarray, ids: np.ndarray, known: Arrays, answers: Arrays, length: int) -> np.ndarray:
+def removed(buf: np.ndarray, offs: np.ndarray, ids: np.ndarray, found: Repeats) -> np.ndarray:
     """Which bytes of the rows go."""
+    length, answers = found.length, found.answers
     mark = np.zeros(len(buf) + 1, np.int32)
-    sums = prefix_hashes(BYTE[buf])
-    start, n, group, key, row = shared_runs(buf, offs, known, sums, length)
+    sums = prefix_hashes(byte_values(found.seed)[buf])
+    start, n, group, key, row = shared_runs(buf, offs, found.known, sums, length, found.common)
     own = ids[row] != NO_ID
     start, n, group, key, row = start[own], n[own], group[own], key[own], row[own]
     order = np.lexsort((key, bucket48(group, answers.buckets)))
     for b, lo, hi in ranges(bucket48(group[order], answers.buckets)):
-        keys = answers.column(b, "key")
-        if keys is None or not len(keys):
+        held = answers.columns(b)
+        if not held or not len(held["key"]):
             continue
+        keys = held["key"]
         o = order[lo:hi]
         at = np.searchsorted(keys, key[o])
         at[at == len(keys)] = 0
         hit = keys[at] == key[o]
         o, at = o[hit], at[hit]
-        size, first, one = n[o], answers.column(b, "first")[at].astype(np.int64), answers.column(b, "one")[at]
+        size, first, one = n[o], held["first"][at].astype(np.int64), held["one"][at]
         inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        least = answers.column(b, "ids")[np.repeat(first, size) + np.where(np.repeat(one, size), 0, inner)]
+        least = held["ids"][np.repeat(first, size) + np.where(np.repeat(one, size), 0, inner)]
         gone = (np.repeat(start[o], size) + inner)[least < np.repeat(ids[row[o]], size)]
         np.add.at(mark, gone, 1)
         np.add.at(mark, gone + length, -1)
     return np.cumsum(mark[:-1]) > 0
 
 
-def _apply(docs: DataFrame, columns: list[str], schema: str, make, length: int) -> DataFrame:
+def _apply(docs: DataFrame, columns: list[str], schema: str, make, length: int, common: int) -> DataFrame:
     """Scan 3: make(batch, rows, buffer, offsets, removed) of every document's bytes; ids and texts are the first columns."""
-    known = shared_anchors(docs, length)
-    answers = window_ids(docs, known, length)
+    found = repeats(docs, length, common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -430,13 +487,13 @@ def _apply(docs: DataFrame, columns: list[str], schema: str, make, length: int)
             buf, offs = utf8(batch.column(1))
             for lo, hi in segments(offs):
                 own, o = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
-                yield make(batch.slice(lo, hi - lo), own, o, removed(own, o, ids[lo:hi], known, answers, length))
+                yield make(batch.slice(lo, hi - lo), own, o, removed(own, o, ids[lo:hi], found))
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *columns)
     return own.mapInArrow(run, schema)
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, common: int = COMMON) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document."""
 
     def make(batch: pa.RecordBatch, buf: np.ndarray, offs: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
@@ -452,10 +509,10 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         count = lambda x: pa.array(x[offs[1:]] - x[offs[:-1]], pa.int64())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs), pa.int64()), count(before), count(spans), pa.array(sha)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return _apply(docs, [], "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", make, length)
+    return _apply(docs, [], "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", make, length, common)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, common: int = COMMON) -> DataFrame:
     """The documents with their repeated bytes removed from the text; bytes of cut characters go too."""
     names = docs.columns
     rest = [n for n in names if n not in ("doc_id", "text")]
@@ -467,7 +524,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join(["doc_id long", "text string", *(f"`{n}` {kinds[n]}" for n in rest)])
-    out = _apply(docs, rest, schema, make, length)
+    out = _apply(docs, rest, schema, make, length, common)
     return out.select(*names)
 
 

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from stallmark.llm import decontamination, kneser_ney, packing, quality, set_join, sharding, suffix_dedup, top_k, toxicity, url_filter
+from stallmark.llm import decontamination, hash_arrays, kneser_ney, packing, quality, set_join, sharding, suffix_dedup, top_k, toxicity, url_filter
 from stallmark.llm.common import connected_components
 
 DOCS = "doc_id long, text string, lang string, held_out int, score double"
@@ -103,15 +103,28 @@ def test_repeated_bytes(docs, empty):
     assert PASSAGE in cut[23].text and PASSAGE not in cut[24].text and cut[0].text is None and cut[24].lang == "en"
 
 
-def test_common_anchors_split(docs, monkeypatch):
+def test_common_anchors_split(docs):
     """Windows of common anchors, one by one, give the same result."""
     want = sorted(suffix_dedup.repeated_bytes(docs).collect(), key=str)
-    known, answers = None, None
-    monkeypatch.setattr(suffix_dedup, "COMMON", 1)
+    split = suffix_dedup.repeats(docs, common=1)
+    whole = suffix_dedup.repeats(docs)
+    assert sum(len(split.answers.columns(b)["key"]) for b in split.answers.written) > sum(len(whole.answers.columns(b)["key"]) for b in whole.answers.written)
+    assert sorted(suffix_dedup.repeated_bytes(docs, common=1).collect(), key=str) == want
     buf = PASSAGE.encode() * 2
     x = suffix_dedup.Suffixes(np.frombuffer(buf, np.uint8), 50)
     assert x.common(np.array([0, 0, 5]), np.array([len(PASSAGE), 1, 5])).tolist() == [50, 0, 50]
-    assert want and known is answers
+
+
+def test_runs_of_one_hash_begin_anew(docs, monkeypatch):
+    """Two different runs with one key are noticed, within a group and across groups; another seed is tried."""
+    content = np.frombuffer(PASSAGE.encode()[:50] + PASSAGE.encode()[1:51], np.uint8)
+    ids, windows = np.array([1, 2]), np.array([1, 1])
+    clash = lambda group, key: suffix_dedup._answers(np.array(group, np.uint64), np.array(key, np.uint64), ids, ids, windows, content, 50)
+    assert clash([7, 7], [9, 9]) is None and clash([7, 8], [9, 9]) is None and clash([7, 7], [9, 10]) is not None
+    want = sorted(suffix_dedup.repeated_bytes(docs).collect(), key=str)
+    real, asked = suffix_dedup.window_ids, []
+    monkeypatch.setattr(suffix_dedup, "window_ids", lambda *a: asked.append(a[-1]) or (None if a[-1] == 0 else real(*a)))
+    assert sorted(suffix_dedup.repeated_bytes(docs).collect(), key=str) == want and asked == [0, 1]
 
 
 def test_suffix_sort_matches_bytes():
@@ -322,6 +335,87 @@ def test_kneser_ney(docs, empty):
     assert {r.score for r in kneser_ney.score(docs, nothing).collect()} == {0.0}
 
 
+def brute_kneser_ney_of_order(order, train, score):
+    """The model of any order in dictionaries: continuation counts below the top, but own counts after a document's start."""
+    sent = [[*["<s>"] * (order - 1), *WORD.findall(lower(t or "")), "</s>"] for t in train]
+    count = {order: Counter(tuple(s[i : i + order]) for s in sent for i in range(len(s) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        count[k] = Counter()
+        for g, c in count[k + 1].items():
+            count[k][g[1:]] += c if g[1:][0] == "<s>" else 1
+    d = {k: kneser_ney.discounts([sum(c == n for c in count[k].values()) for n in (1, 2, 3, 4)]) for k in count}
+    follow = {}
+    for k in range(2, order + 1):
+        for g, c in count[k].items():
+            own = follow.setdefault(g[:-1], [0, 0, 0, 0])
+            own[0] += c
+            own[min(c, 3)] += 1
+    t, words = sum(count[1].values()), {g[0] for g in count[1]}
+    spread = sum(d[1][min(c, 3) - 1] for c in count[1].values()) / t
+    less = lambda c, k: max(c - d[k][min(c, 3) - 1], 0) if c else 0
+
+    def p(g):
+        if len(g) == 1:
+            return less(count[1][g], 1) / t + spread / (len(words) + 1)
+        total, *n = follow.get(g[:-1], (0, 0, 0, 0))
+        back = sum(a * b for a, b in zip(d[len(g)], n)) / total if total else 1.0
+        return (less(count[len(g)][g], len(g)) / total if total else 0) + back * p(g[1:])
+
+    some = sent[0][: order - 1]
+    assert abs(sum(p((*some, w)) for w in [*words, "never seen"]) - 1) < 1e-9
+    out = []
+    for text in score:
+        s = [*["<s>"] * (order - 1), *WORD.findall(lower(text or "")), "</s>"]
+        out.append(sum(math.log10(p(tuple(s[i : i + order]))) for i in range(len(s) - order + 1)))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_of_order(docs, order):
+    """Against dictionaries, also where pairs with frequent words are dealt by both words (many small buckets)."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    fold = lambda k: zlib.crc32(("" if k is None else str(k)).encode()) % 7
+    want = brute_kneser_ney_of_order(order, [t for k, t in rows if fold(k) != 2], [t for _, t in rows])
+    model = kneser_ney.train(docs.where("doc_id is null or crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2"), order, bucket_bytes=100)
+    assert model.frequent > 1 and model.words.arrays.buckets > 50
+    got = by_id(kneser_ney.score(docs, model))
+    for (k, _), score in zip(rows, want):
+        if k is not None:
+            assert abs(got[k].score - score) < 1e-6 * abs(score), k
+
+
+def test_words_of_one_hash_begin_anew(docs, monkeypatch):
+    """A first seed under which all words clash is given up; the next gives the counts."""
+    told = kneser_ney._counted_words(docs, 16, 0)
+    real, asked = kneser_ney._counted_words, []
+    monkeypatch.setattr(kneser_ney, "_counted_words", lambda d, b, seed: asked.append(seed) or (None if seed == 0 else real(d, b, seed)))
+    again = kneser_ney.vocabulary(docs, 16)
+    assert asked == [0, 1] and again.seed == 1 and (again.size, again.tokens) == (told.size, told.tokens)
+    w, c, n = kneser_ney.merged_words(np.array([5, 5, 5], np.uint64), np.array([1, 2, 1], np.uint32), np.array([1, 1, 1]))
+    assert w.tolist() == [5, 5] and c.tolist() == [1, 2] and n.tolist() == [2, 1]
+
+
+def test_tables_of_keys():
+    """Keys that agree in their leading bits, keys that are not there, empty tables."""
+    rng = np.random.default_rng(1)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 63, 5000, dtype=np.uint64), (np.uint64(7) << np.uint64(40)) | (np.arange(300, dtype=np.uint64) << np.uint64(12))]))
+    own = hash_arrays.key_columns(keys, "k")
+    assert (hash_arrays.find(own, "k", keys) == np.arange(len(keys))).all()
+    assert (hash_arrays.find(own, "k", keys ^ np.uint64(1 << 45)) < 0).mean() > 0.99
+    none = hash_arrays.key_columns(np.zeros(0, np.uint64), "k")
+    assert (hash_arrays.find(none, "k", keys) < 0).all()
+
+
+def test_missing_bucket_is_an_error(tmp_path):
+    """A written bucket that a task cannot find raises; one that was never written is empty."""
+    hash_arrays.save(str(tmp_path), "3", key=np.array([1, 5], np.uint64), count=np.array([7, 8], np.uint8))
+    got = hash_arrays.Arrays(str(tmp_path), 8, [3]).lookup(np.array([1, 2, 5], np.uint64), np.array([3, 3, 3]), ("count",))
+    assert got[0].tolist() == [True, False, True] and got[1].tolist() == [7, 0, 8]
+    assert hash_arrays.Arrays(str(tmp_path), 8, []).columns(3) == {}
+    with pytest.raises(FileNotFoundError):
+        hash_arrays.Arrays(str(tmp_path), 8, [3, 4]).columns(4)
+
+
 def labelled(spark, sf, label, operator):
     big = sf.replace("0.001", "0.01")
     d, l = (spark.read.parquet(f"{big}/{n}.parquet") for n in ("documents", "labels"))
