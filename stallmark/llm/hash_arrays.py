@@ -179,7 +179,7 @@ def key_columns(keys: np.ndarray, name: str) -> dict[str, np.ndarray]:
 def find(own: dict[str, np.ndarray], name: str, keys: np.ndarray) -> np.ndarray:
     """The place of each key in a set, -1 where it is not there."""
     index, low, tag = (own[f"{name}_{c}"] for c in ("index", "low", "tag"))
-    if not len(low):
+    if not len(low) or not len(keys):
         return np.full(len(keys), -1)
     bits = (len(index) - 1).bit_length() - 1
     top = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)

@@ -398,7 +398,7 @@ def test_words_of_one_hash_begin_anew(docs, monkeypatch):
 def test_tables_of_keys():
     """Keys that agree in their leading bits, keys that are not there, empty tables."""
     rng = np.random.default_rng(1)
-    keys = np.unique(np.concatenate([rng.integers(0, 1 << 63, 5000, dtype=np.uint64), (np.uint64(7) << np.uint64(40)) | (np.arange(300, dtype=np.uint64) << np.uint64(12))]))
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 63, 5000, dtype=np.uint64), (np.uint64(7) << np.uint64(40)) | (np.arange(300, dtype=np.uint64) << np.uint64(18))]))
     own = hash_arrays.key_columns(keys, "k")
     assert (hash_arrays.find(own, "k", keys) == np.arange(len(keys))).all()
     assert (hash_arrays.find(own, "k", keys ^ np.uint64(1 << 45)) < 0).mean() > 0.99
