@@ -18,9 +18,10 @@ import mmap
 import os
 import sys
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +66,17 @@ def ranges(sorted_buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_buckets[lo]), int(lo), int(hi)
 
 
+def by_bucket(rows: DataFrame, buckets: int, merge: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """merge(rows of a bucket) for every bucket that has rows, each in a task of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if got:
+            yield from merge(pa.Table.from_batches(got)).to_batches()
+
+    return rows.repartitionById(buckets, "bucket").mapInArrow(run, schema)
+
+
 def smallest(x: np.ndarray) -> np.ndarray:
     """Numbers from 0 on in the smallest unsigned kind that holds them."""
     return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_values, fold, gathered, mix, piece_hashes, segments, shared_folder, utf8, word_bounds
-from .hash_arrays import BUCKET_BYTES, Arrays, bucket64, bucket_count, ranges, save, smallest, table_columns, table_values
+from .hash_arrays import BUCKET_BYTES, Arrays, bucket64, bucket_count, by_bucket, ranges, save, smallest, table_columns, table_values
 
 FOLDS, HELD_OUT = 7, 2
 #: The order of the registered query.
@@ -229,7 +229,7 @@ def _counted_words(docs: DataFrame, buckets: int, seed: int) -> Vocabulary | Non
         return pa.table([pa.array([told], pa.list_(pa.int64()))], names=["told"])
 
     found = docs.select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, word binary, check binary, n binary")
-    told = [r.told for r in found.groupBy("bucket").applyInArrow(merge, "told array<long>").collect()]  # 67 numbers for each bucket
+    told = [r.told for r in by_bucket(found, buckets, merge, "told array<long>").collect()]  # 67 numbers for each bucket
     if any(t[1] for t in told):
         return None
     sizes = np.zeros((buckets, 64), np.int64)
@@ -383,9 +383,9 @@ def train(docs: DataFrame, order: int = 2, bucket_bytes: int = BUCKET_BYTES) ->
 
     found = docs.select(F.col("text").cast("string")).mapInArrow(gather, _PACKED)
     for n in range(order, 1, -1):
-        found = found.groupBy("bucket").applyInArrow(_merge(n, buckets, frequent, folders[n], contexts[n - 1]), _PACKED)
+        found = by_bucket(found, buckets, _merge(n, buckets, frequent, folders[n], contexts[n - 1]), _PACKED)
     dense = shared_folder(spark, "words")
-    told = [r.told for r in found.groupBy("bucket").applyInArrow(_merge_words(dense), "told array<long>").collect()]  # a few numbers for each bucket and order
+    told = [r.told for r in by_bucket(found, words.size // CHUNK + 1, _merge_words(dense), "told array<long>").collect()]  # a few numbers for each bucket and order
     by_order = {n: [t for t in told if t[0] == COUNTS and t[1] == n] for n in folders}
     d = {n: discounts(np.sum([t[2:6] for t in rows], axis=0) if rows else np.zeros(4)) for n, rows in by_order.items()}
     chunks = [t for t in told if t[0] == CONTINUED]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, mix, segments, shared_folder, utf8, word_hashes, written
-from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, pack48, ranges, save, smallest, unpack48
+from .hash_arrays import MASK48, Arrays, bucket48, bucket64, bucket_count, by_bucket, pack48, ranges, save, smallest, unpack48
 
 WORDS = 5
 #: The similarity as a fraction of whole numbers.
@@ -122,7 +122,7 @@ def shared_shingles(docs: DataFrame, buckets: int, words: int = WORDS) -> Arrays
         return pa.table([pa.array([bucket])], names=["n"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, shingle binary, n binary")
-    return Arrays(folder, buckets, [r.n for r in packed.groupBy("bucket").applyInArrow(merge, "n long").collect()])
+    return Arrays(folder, buckets, [r.n for r in by_bucket(packed, buckets, merge, "n long").collect()])
 
 
 def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFrame:
@@ -181,7 +181,7 @@ def index_lists(nodes: DataFrame, buckets: int) -> DataFrame:
             place = np.arange(len(owner)) - np.repeat(np.cumsum(take) - take, take) + rare[owner]
             order = np.argsort(entries)
             entries, owner, place = entries[order], owner[order], place[order]
-            bucket = ((entries >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            bucket = bucket64(entries, buckets)
             rows = []
             for b, lo, hi in ranges(bucket):
                 o = owner[lo:hi]
@@ -298,7 +298,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     nodes = written(bodies, "nodes")
 
     none = nodes.withColumns({c: F.lit(None).cast("long") for c in ("component", "leader", "overlap")})
-    stars = index_lists(none, buckets).groupBy("bucket").applyInArrow(star_pairs, "a long, b long").distinct()
+    stars = by_bucket(index_lists(none, buckets), buckets, star_pairs, "a long, b long").distinct()
     checked = written(verified(stars, nodes), "stars")
     components = connected_components(checked.where("link"))
     leaders = checked.groupBy("b").agg(F.max_by(F.struct("a", "overlap"), F.struct("overlap", "a")).alias("l")).select(F.col("b").alias("node"), F.col("l.a").alias("leader"), F.col("l.overlap").alias("overlap"))
@@ -309,7 +309,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         "overlap": F.when(F.col("is_head"), F.col("n") - F.col("rare")).otherwise(F.col("overlap")),
         "leader": F.when(F.col("is_head"), F.col("node")).otherwise(F.col("leader")),
     })
-    crossing = index_lists(known, buckets).groupBy("bucket").applyInArrow(cross_pairs, "a long, b long").distinct()
+    crossing = by_bucket(index_lists(known, buckets), buckets, cross_pairs, "a long, b long").distinct()
     crossing = crossing.join(checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = verified(crossing, nodes).where("link").select("a", "b")
     links = checked.where("link").select("a", "b").union(more)

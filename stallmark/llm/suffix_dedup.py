@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BYTE, byte_values, gathered, mix, powers, prefix_hashes, segments, shared_folder, utf8
-from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, pack48, ranges, save, smallest, unpack48
+from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, by_bucket, pack48, ranges, save, smallest, unpack48
 
 LENGTH = 50
 #: 24 bytes: much shorter strings meet by chance in large corpora, longer ones make more and shorter runs.
@@ -335,7 +335,7 @@ def shared_anchors(docs: DataFrame, buckets: int, length: int = LENGTH) -> Array
         return pa.table([pa.array([bucket])], names=["n"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, anchor binary, n binary")
-    return Arrays(folder, buckets, [r.n for r in packed.groupBy("bucket").applyInArrow(merge, "n long").collect()])
+    return Arrays(folder, buckets, [r.n for r in by_bucket(packed, buckets, merge, "n long").collect()])
 
 
 def packed_runs(group: np.ndarray, low: np.ndarray, high: np.ndarray, windows: np.ndarray) -> bytes:
@@ -424,7 +424,7 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH, common: int
         return pa.table([pa.array([bucket])], names=["n"])
 
     own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    done = [r.n for r in own.mapInArrow(gather, schema).groupBy("bucket").applyInArrow(merge, "n long").collect()]
+    done = [r.n for r in by_bucket(own.mapInArrow(gather, schema), buckets, merge, "n long").collect()]
     return None if -1 in done else Arrays(folder, buckets, done)
 
 
