@@ -59,6 +59,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def named(column: str) -> Column:
+    """The column of this very name, whatever signs it holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that df does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts

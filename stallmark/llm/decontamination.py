@@ -1,16 +1,19 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame operations only.
 
 Texts become tokens; numbers, names (capitalised words inside a sentence) and units after a number become
-typed placeholders. Windows of WINDOW template tokens are hash-joined with those of the benchmark
-items, so a question also matches when its numbers or names were changed. Matches of one document, item
-and alignment then have their slots compared: each benchmark value must stand for one value of the
-document and the reverse, else the alignment does not count. A document is contaminated by an
-item if consistent alignments match at least MIN_WINDOWS of its windows (or all, if it has fewer).
+typed placeholders; the words of one name are one placeholder, so a name may become longer or shorter. Windows
+of WINDOW template tokens are hash-joined with those of the benchmark items, so a question also matches
+when its numbers or names were changed. Matches of one document, item and alignment then have their slots
+compared: each name and unit of the benchmark must stand for one of the document and the reverse, else the
+alignment does not count. Numbers are parameters of their own: two that were equal may differ, and the
+reverse. A document is contaminated by an item if consistent alignments match at least MIN_WINDOWS of its
+windows (or all, if it has fewer).
 
 Benchmark windows with fewer than MIN_LITERALS ordinary tokens match too easily as templates: they are joined by
 their tokens as written, so verbatim copies of them count. An item without any other window is also found by its
 whole template (joined by its window with most ordinary tokens, then compared in full) if that holds at least
-MIN_ITEM_LITERALS of them; with fewer, any row of numbers would be a match and only verbatim copies count. An
+MIN_ITEM_LITERALS of them, and then its numbers too must be consistent, as there are few words to go by; with
+fewer, any row of numbers would be a match and only verbatim copies count. An
 item with fewer than WINDOW tokens is one window. The benchmark is broadcast only if its counted windows
 are within BROADCAST_ROWS; likewise the ids of matched documents, for the scan that reads their slots.
 
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, written
+from .common import broadcast_if_small, named, written
 
 WINDOW = 8
 MIN_LITERALS = 5
@@ -35,6 +38,8 @@ BROADCAST_ROWS = 500_000
 UNITS = (
     "mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "min", "h", "hr", "hours", "minutes", "seconds", "days", "weeks", "months", "years",
     "meters", "metres", "miles", "feet", "inches", "grams", "pounds", "liters", "litres", "dollars", "euros", "cents", "usd", "eur", "percent", "degrees",
+    "hour", "minute", "second", "day", "week", "month", "year", "meter", "metre", "mile", "foot", "inch", "gram", "pound", "liter", "litre", "dollar", "euro", "cent",
+    "yards", "acres", "gallons", "ounces", "pints", "tons", "tonnes", "kilometers", "kilometres", "kilograms", "volts", "watts",
 )
 
 #: How a benchmark window is joined: as a template, as written, or as the anchor of a whole item's template.
@@ -73,43 +78,63 @@ def canonical(w: Column, i: Column) -> Column:
     return F.when(plain, small).when(number(w), _NUMBER).when((first != F.lower(first)) & name, _NAME).otherwise(F.lower(w))
 
 
-def templated(rows: DataFrame, key: str) -> DataFrame:
-    """key, words (lower-cased) and template, of equal length."""
+def arrays_of(rows: DataFrame, key: str) -> DataFrame:
+    """key, template and clean (the tokens as written), of equal length; of each name its first word only."""
     own = tokenised(rows, key).withColumn("template", F.transform("clean", canonical))
-    return own.select(key, F.transform(F.array_remove("clean", ""), lambda w: F.lower(w)).alias("words"), F.array_remove("template", "").alias("template"))
+    own = own.select(key, F.array_remove("template", "").alias("template"), F.array_remove("clean", "").alias("clean"))
+    kept = F.array_compact(F.transform("template", lambda t, i: F.when((t == _NAME) & (F.get("template", i - 1) == _NAME), F.lit(None)).otherwise(i)))
+    own = own.withColumn("kept", kept)
+    of = lambda c: F.transform("kept", lambda i: F.get(c, i)).alias(c)
+    return own.select(key, of("template"), of("clean"))
 
 
-def token_hashes(rows: DataFrame, key: str, verbatim: bool = False) -> DataFrame:
-    """key, h: the hashes of the template's tokens, or of the tokens as written."""
-    own = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.xxhash64(w if verbatim else canonical(w, i))))
-    return own.select(key, F.array_remove("h", F.xxhash64(F.lit(""))).alias("h"))
-
+def templated(rows: DataFrame, key: str) -> DataFrame:
+    """key, words (lower-cased) and template, of equal length."""
+    return arrays_of(rows, key).select(key, F.transform("clean", lambda w: F.lower(w)).alias("words"), "template")
 
-def windows_of(rows: DataFrame, size: int, *keep: str) -> DataFrame:
-    """place, w for each window of `size` token hashes h.
 
-    A window's hash is built by doubling (two tokens, four, eight): each pass reads one more place. The outer
+def token_hashes(rows: DataFrame, key: str, verbatim: bool = False) -> DataFrame:
+    """key, h: the hashes of the template's tokens, or of the tokens as written; of each name its first word only."""
+    none, name = F.xxhash64(F.lit("")), F.xxhash64(F.lit(_NAME))
+    if verbatim:
+        both = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.struct(F.xxhash64(canonical(w, i)).alias("t"), F.xxhash64(w).alias("w"))))
+        both = both.select(key, F.filter("h", lambda x: x["w"] != none).alias("h"))
+        both = both.select(key, F.filter("h", lambda x, i: (x["t"] != name) | F.coalesce(F.get("h", i - 1)["t"] != name, F.lit(True))).alias("h"))
+        return both.select(key, F.transform("h", lambda x: x["w"]).alias("h"))
+    own = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.xxhash64(canonical(w, i))))
+    own = own.select(key, F.array_remove("h", none).alias("h"))
+    return own.select(key, F.filter("h", lambda x, i: (x != name) | F.coalesce(F.get("h", i - 1) != name, F.lit(True))).alias("h"))
+
+
+def windows_of(rows: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
+    """size, place, w for each window of the sizes over the token hashes h: one pass, whatever the number of sizes.
+
+    A window's hash is built by doubling (two tokens, four, eight): each step reads one more place. The outer
     explode and the late filter keep Spark from deriving a filter that would compute the arrays again.
     """
-    own, done = rows.select(*keep, F.col("h"), F.size("h").alias("n")), 1
-    while done < size:
-        step = min(done, size - done)
-        own = own.withColumn("h", _doubled(step))
-        done += step
-    each = own.select(*keep, "n", F.posexplode_outer("h").alias("place", "w"))
-    return each.where(F.col("place") <= F.col("n") - size).select(*keep, "place", "w")
+    own = rows.select(*keep, F.col("h").alias("h1"), F.size("h").alias("n"))
+    half = lambda k: 1 << ((k - 1).bit_length() - 1) if k > 1 else 0
+    done = 1
+    while done < max(half(k) for k in sizes):
+        own, done = own.withColumn(f"h{2 * done}", _doubled(f"h{done}", done)), 2 * done
+    whole = {k: _doubled(f"h{half(k)}", k - half(k)) if k > 1 else F.col("h1") for k in sizes}
+    if len(sizes) == 1:
+        each = own.select(*keep, "n", F.lit(sizes[0]).alias("size"), F.posexplode_outer(whole[sizes[0]]).alias("place", "w"))
+    else:
+        told = lambda k: F.transform(whole[k], lambda w, i: F.struct(F.lit(k).alias("size"), i.alias("place"), w.alias("w")))
+        each = own.select(*keep, "n", F.explode_outer(F.concat(*map(told, sizes))).alias("x")).select(*keep, "n", "x.*")
+    return each.where(F.col("place") <= F.col("n") - F.col("size")).select(*keep, "size", "place", "w")
 
 
-def _doubled(step: int) -> Column:
-    return F.transform("h", lambda x, i: F.xxhash64(x, F.get("h", i + step)))
+def _doubled(h: str, step: int) -> Column:
+    return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(item_id, words, template) of each item and (item_id, kind, size, at, w) of its windows."""
     repeated = benchmark.dropDuplicates(["item_id", "text"])
     items = templated(repeated, "item_id").where(F.size("template") > 0)
-    own = tokenised(repeated, "item_id").withColumn("template", F.transform("clean", canonical))
-    own = own.select("item_id", F.array_remove("template", "").alias("template"), F.array_remove("clean", "").alias("clean")).where(F.size("template") > 0)
+    own = arrays_of(repeated, "item_id").where(F.size("template") > 0)
     literal = lambda x: ~x.isin(_NUMBER, _NAME, _UNIT)
     n = F.size("template")
     size = F.least(F.lit(WINDOW), n)
@@ -130,11 +155,9 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = each.select("item_id", "template", "clean", "size", "at", F.explode(kinds).alias("kind"))
     tokens = F.slice(F.when(F.col("kind") == VERBATIM, F.col("clean")).otherwise(F.col("template")), F.col("at") + 1, F.col("size"))
     each = each.select("item_id", "kind", "size", "at", F.transform(tokens, lambda x: F.xxhash64(x)).alias("h"))
-    out = None
-    for k in range(1, WINDOW + 1):
-        w = windows_of(each.where(F.col("size") == k), k, "item_id", "kind", "size", "at").select("item_id", "kind", "size", "at", "w")
-        out = w if out is None else out.union(w)
-    return items, out
+    each = each.withColumnRenamed("size", "own_size")
+    every = windows_of(each, list(range(1, WINDOW + 1)), "item_id", "kind", "own_size", "at")
+    return items, every.where("size = own_size").select("item_id", "kind", "size", "at", "w")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -144,11 +167,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = [(r["verbatim"], r["size"], r["n"]) for r in windows.groupBy((F.col("kind") == VERBATIM).alias("verbatim"), "size").agg(F.count("*").alias("n")).collect()]  # at most 2 * WINDOW rows
     of = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
     usable = windows.groupBy("item_id").agg(of(TEMPLATE).alias("usable"), F.count(F.when(F.col("kind") != ANCHOR, 1)).alias("every"))
-    hashed = {v: token_hashes(docs, "doc_id", v) for v in (False, True)}
     found = None
-    for verbatim, size, rows in sizes:
-        own = windows.where((F.col("size") == size) & ((F.col("kind") == VERBATIM) == F.lit(verbatim))).select("item_id", "kind", "at", "w")
-        part = windows_of(hashed[verbatim], size, "doc_id").join(broadcast_if_small(own, rows, BROADCAST_ROWS), "w").select("doc_id", "item_id", "kind", (F.col("place") - F.col("at")).alias("shift"), "at", F.lit(size).alias("size"))
+    for verbatim in (False, True):
+        own_sizes = [(k, n) for v, k, n in sizes if v == verbatim]
+        if not own_sizes:
+            continue
+        own = windows.where((F.col("kind") == VERBATIM) == F.lit(verbatim)).select("item_id", "kind", F.col("size").alias("own_size"), "at", "w")
+        each = windows_of(token_hashes(docs, "doc_id", verbatim), sorted(k for k, _ in own_sizes), "doc_id")
+        part = each.join(broadcast_if_small(own, sum(n for _, n in own_sizes), BROADCAST_ROWS), "w").where("size = own_size")
+        part = part.select("doc_id", "item_id", "kind", (F.col("place") - F.col("at")).alias("shift"), "at", "size")
         found = part if found is None else found.union(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long")
@@ -165,7 +192,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     full = full.where((F.col("kind") != ANCHOR) | same)
     full = full.withColumn("ats", F.when(F.col("kind") == ANCHOR, F.sequence(F.lit(0), whole - F.col("size"))).otherwise(F.col("ats")))
     covered = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + F.col("size") - 1))))
-    slots = F.filter(covered, lambda p: F.get("template", p).isin(_NUMBER, _NAME, _UNIT))
+    slots = F.filter(covered, lambda p: F.get("template", p).isin(_NAME, _UNIT) | (F.get("template", p) == _NUMBER) & (F.col("kind") == ANCHOR))
     pair = F.transform(slots, lambda p: F.struct(F.get("item_words", p).alias("item"), F.get("doc_words", p + F.col("shift")).alias("doc")))
     full = full.select("doc_id", "item_id", "kind", "shift", "ats", F.array_distinct(pair).alias("pairs"))
     # Consistent: as many pairs as values on either side.
@@ -188,4 +215,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without the contaminated ones."""
     bad = written(matches(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(broadcast_if_small(bad, bad.count(), BROADCAST_ROWS), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_small(bad, bad.count(), BROADCAST_ROWS), "doc_id", "left_anti").select(*(named(c) for c in docs.columns))

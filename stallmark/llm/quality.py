@@ -1,8 +1,8 @@
 """Quality by regularised quadratic discriminant analysis of document statistics.
 
 Each text gives transformed statistics (logs of counts, logits of shares). Each class has a mean
-and a covariance shrunk towards the pooled one and towards a multiple of the identity; its
-Cholesky factor is kept. The score comes from the difference of the two log densities (Mahalanobis
+and a covariance shrunk towards the pooled one and towards a multiple of the identity; the inverse of
+its Cholesky factor is kept. The score comes from the difference of the two log densities (Mahalanobis
 distance and determinant) plus the log prior odds, calibrated by a logistic line on the sample.
 
 Defined cases: null and empty texts have the statistics of no words; without labels of both kinds
@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import SPACE, fold, segments, utf8, word_hashes
 from .sampling import HELD_OUT_PARTS, labelled_sample, sampled_features
@@ -75,7 +76,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 @dataclass
 class Discriminant:
-    """For each class: mean, Cholesky factor of its covariance, log determinant, log prior; then the calibration."""
+    """For each class: mean, inverse of its covariance's Cholesky factor, log determinant, log prior; then the calibration."""
 
     means: np.ndarray
     factors: np.ndarray
@@ -86,7 +87,7 @@ class Discriminant:
 
     def difference(self, x: np.ndarray) -> np.ndarray:
         """Log density and prior of class 1 less those of class 0."""
-        d = [-0.5 * (np.linalg.solve(self.factors[c], (x - self.means[c]).T) ** 2).sum(0) - 0.5 * self.log_dets[c] + self.log_priors[c] for c in (0, 1)]
+        d = [-0.5 * ((self.factors[c] @ (x - self.means[c]).T) ** 2).sum(0) - 0.5 * self.log_dets[c] + self.log_priors[c] for c in (0, 1)]
         return d[1] - d[0]
 
     def probability(self, x: np.ndarray) -> np.ndarray:
@@ -108,8 +109,9 @@ def fit(x: np.ndarray, y: np.ndarray, shrink_pooled: float = 0.1, shrink_ridge:
         a = max(shrink_pooled, min(1.0, d / counts[c]))  # few rows lean on the pooled covariance
         s = (1 - a) * own[c] + a * pooled
         s = (1 - shrink_ridge) * s + shrink_ridge * (np.trace(s) / d + 1e-6) * np.eye(d)
-        factors.append(np.linalg.cholesky(s))
-        dets.append(2 * np.log(np.diag(factors[-1])).sum())
+        factor = np.linalg.cholesky(s)
+        factors.append(np.linalg.inv(factor))
+        dets.append(2 * np.log(np.diag(factor)).sum())
     m = Discriminant(means, np.stack(factors), np.array(dets), np.log(counts / counts.sum()))
     z = np.clip(m.difference(x), -500, 500)
     slope, shift = 0.2, 0.0
@@ -151,7 +153,7 @@ def score(docs: DataFrame, model: Discriminant | float, keep_text: bool = False,
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(s, pa.float64())], names=[*(names[k] for k in kept), to])
 
     kept = [f for f in docs.schema if keep_text or f.name != text]
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{to}` double")
+    return docs.mapInArrow(run, StructType([*kept, StructField(to, DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

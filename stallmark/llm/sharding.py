@@ -1,6 +1,6 @@
 """Resharding by minimum-cost flow.
 
-Rows lie in blocks (a hash of the id), blocks in old shards. From the old shards' sizes and the new
+Rows are numbered as they lie in their files; they lie in blocks (a hash of that number, so no id or copy gathers in one), blocks in old shards. From the old shards' sizes and the new
 shards' capacities a flow that moves the fewest bytes is solved; each donor gives the tail
 of its rows, in block order, to the receivers that the flow names. Only block statistics (at most
 `blocks` rows) and the flow (old x new shards) reach the driver.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import shared_folder, written
+from .common import free_name, shared_folder, written
 
 BLOCKS = 4096
 OLD_SHARDS = 12
@@ -61,14 +61,16 @@ def even(total: int, parts: int) -> list[int]:
 
 
 def reshard(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW_SHARDS, blocks: int = BLOCKS, capacities: list[int] | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, shard, slot for every row; see the module's text."""
+    """row (its number), doc_id, size, text_crc32, old_shard, shard, slot for every row; see the module's text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    order = W.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = written(rows, "rows").withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
+    order = W.partitionBy("block").orderBy("row")
     rows = rows.withColumn("rn", F.row_number().over(order)).withColumn("upto", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)))
     rows = written(rows, "blocks")
     stats = {r.block: r.b for r in rows.groupBy("block").agg(F.sum("size").alias("b")).collect()}
@@ -107,14 +109,21 @@ def reshard(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW
         at_[shard] = at_.get(shard, 0) + n
     base_df = spark.createDataFrame(base, "shard int, block int, base long")
     out = moved.join(F.broadcast(base_df), ["shard", "block"])
-    return out.select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rn")).alias("slot"))
+    return out.select("row", "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rn")).alias("slot"))
 
 
 def rewrite_affected(docs: DataFrame, placed: DataFrame, out: str | None = None) -> str:
-    """Writes, by shard, the files of every shard whose rows change; unaffected shards keep theirs. Ids must be unique."""
+    """Writes, by shard, the files of every shard whose rows change; unaffected shards keep theirs.
+
+    Rows meet their places by their number, so rows without an id and repeated rows are written once each;
+    docs must be the table that was placed, read from files as then.
+    """
     out = out or shared_folder(docs.sparkSession, "shards")
     changed = placed.where("shard <> old_shard")
-    affected = changed.select("shard").union(changed.select(F.col("old_shard").alias("shard"))).distinct()
-    target = placed.join(F.broadcast(affected), "shard", "left_semi").select("doc_id", "shard", "slot")
-    docs.join(target, "doc_id").repartition("shard", F.floor(F.col("slot") / 100_000)).write.partitionBy("shard").parquet(out)
+    affected = changed.select("shard").union(changed.select(F.col("old_shard").alias("shard"))).distinct()  # at most old and new shards
+    target = placed.join(F.broadcast(affected), "shard", "left_semi")
+    own = {c: free_name(docs, c) for c in ("row", "shard", "slot")}
+    target = target.select(*(F.col(c).alias(to) for c, to in own.items()))
+    rows = docs.withColumn(own["row"], F.monotonically_increasing_id()).join(target, own["row"]).drop(own["row"])
+    rows.repartition(own["shard"], F.floor(F.col(own["slot"]) / 100_000)).write.partitionBy(own["shard"]).parquet(out)
     return out

@@ -27,10 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import BYTE, byte_values, gathered, mix, powers, prefix_hashes, segments, shared_folder, utf8
+from .common import BYTE, byte_values, gathered, mix, named, powers, prefix_hashes, segments, shared_folder, utf8
 from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, by_bucket, pack48, ranges, save, smallest, unpack48
 
 LENGTH = 50
@@ -477,7 +478,7 @@ def removed(buf: np.ndarray, offs: np.ndarray, ids: np.ndarray, found: Repeats)
     return np.cumsum(mark[:-1]) > 0
 
 
-def _apply(docs: DataFrame, columns: list[str], schema: str, make, length: int, common: int) -> DataFrame:
+def _apply(docs: DataFrame, columns: list[Column], schema: StructType | str, make, length: int, common: int) -> DataFrame:
     """Scan 3: make(batch, rows, buffer, offsets, removed) of every document's bytes; ids and texts are the first columns."""
     found = repeats(docs, length, common)
 
@@ -522,10 +523,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, common: int = COMMON)
         texts = [None if null else buf[a:b][~gone[a:b]].tobytes().decode("utf-8", "ignore") for a, b, null in zip(offs[:-1], offs[1:], nulls)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:]], names=["doc_id", "text", *rest])
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join(["doc_id long", "text string", *(f"`{n}` {kinds[n]}" for n in rest)])
-    out = _apply(docs, rest, schema, make, length, common)
-    return out.select(*names)
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), *(docs.schema[n] for n in rest)])
+    out = _apply(docs, [named(n) for n in rest], schema, make, length, common)
+    return out.select(*(named(n) for n in names))
 
 
 ORACLE_SQL = """

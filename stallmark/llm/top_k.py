@@ -8,14 +8,15 @@ otherwise the product of the leading coordinates plus the Cauchy-Schwarz bound o
 (product of the residual lengths) decides which pairs get an exact integer product. Every
 found score raises the floor.
 
-Queries come in blocks of at most `query_block`, each broadcast on its own pass, so nothing that
-is broadcast grows with the data.
+Queries lie in blocks of about `query_block`, which tasks write to the shared folder with their floors and
+memory-map: one pass over the vectors meets all of them, and nothing that is broadcast (the rotation and the
+`FLOOR_ROWS` longest vectors) grows with the data.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor
-do rows without an id; shorter vectors count as padded with zeros; ties go to the smaller vec_id; a
-query never meets rows with its own vec_id; a vec_id that occurs more than once takes part
-once, as the vector that sorts first; scores beyond a long are held at its limits; an empty table
-gives an empty result; further columns are ignored.
+do rows without an id; shorter vectors count as padded with zeros; ties go to the smaller vec_id; rows
+are told apart by themselves, so each row of a repeated vec_id is a candidate and, where its id is
+asked for, a query with ranks of its own, which never meets itself; scores beyond a long are held at
+its limits; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import shared_folder, written
+from .hash_arrays import Arrays, by_bucket, save
 
 K = 10
 SCALE = 1024
@@ -42,13 +44,13 @@ _LIMIT = np.iinfo(np.int64)
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id, v (array of whole numbers as double), length: the rows that take part."""
+    """vec_id, v (array of whole numbers as double), length: the rows that take part, repeated ones too."""
     x = F.col("embedding").cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     own = vectors.where(F.col("vec_id").isNotNull() & (F.size(x) > 0)).where(~bad)
     # F.floor of a double gives a long; huge values stay whole doubles.
     v = F.transform(x, lambda c: F.when(F.abs(c) < 2.0**40, F.floor(c * scale).cast("double")).otherwise(c * scale))
-    own = own.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    own = own.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     return own.withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)))
 
 
@@ -80,18 +82,18 @@ def exact_products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 class Queries:
     """A block of queries with their rotated forms and floors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rotation: np.ndarray, lead: int, floors: np.ndarray):
-        self.ids, self.vectors, self.rotation, self.lead, self.floors = ids, vectors, rotation, lead, floors
+    def __init__(self, rows: np.ndarray, vectors: np.ndarray, rotation: np.ndarray, lead: int, floors: np.ndarray):
+        self.rows, self.vectors, self.rotation, self.lead, self.floors = rows, vectors, rotation, lead, floors
         turned = vectors @ rotation
         self.head = turned[:, :lead]
         self.lengths = np.sqrt((vectors**2).sum(1))
         self.rest = np.sqrt(np.maximum(self.lengths**2 - (self.head**2).sum(1), 0))
 
-    def search(self, ids: np.ndarray, x: np.ndarray, k: int) -> dict[int, list[tuple[int, int]]]:
-        """For each query (by place) its best k among these rows at least as good as its floor: (-score, vec_id)."""
+    def search(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> dict[int, list[tuple[int, int]]]:
+        """For each query (by place) its best k among these rows at least as good as its floor: (-score, vec_id). Raises the floors."""
         lengths = np.sqrt((x**2).sum(1))
         order = np.argsort(-lengths, kind="stable")
-        floors = self.floors.copy()
+        floors = self.floors
         best: dict[int, list[tuple[int, int]]] = {}
         for lo in range(0, len(order), BLOCK):
             at = order[lo : lo + BLOCK]
@@ -106,7 +108,7 @@ class Queries:
             near = bound >= floors[live][:, None]
             for q in np.flatnonzero(near.any(1)):
                 own, place = np.flatnonzero(near[q]), live[q]
-                own = own[ids[at[own]] != self.ids[place]]
+                own = own[rows[at[own]] != self.rows[place]]
                 score = exact_products(xb[own], np.broadcast_to(self.vectors[place], (len(own), x.shape[1])))
                 keep = score >= floors[place]
                 if keep.any():
@@ -120,55 +122,55 @@ class Queries:
 def top_k(vectors: DataFrame, every: int = 100, k: int = K, scale: int = SCALE, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score for each row whose vec_id is divisible by `every`."""
     spark = vectors.sparkSession
-    q = quantised(vectors, scale)
-    # Dealt out by length; the id's hash parts rows of one length.
-    q = written(q.repartitionByRange(F.col("length").desc(), F.xxhash64("vec_id")), "vectors")
-    dim = q.agg(F.max(F.size("v"))).first()[0] or 1
-    sample = _matrix(q.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").toArrow().column("v"), dim)
+    # Dealt out by length; a number for each row parts rows of one length and tells repeated ones apart.
+    q = quantised(vectors, scale).repartitionByRange(F.col("length").desc(), F.xxhash64("vec_id")).withColumn("row", F.monotonically_increasing_id())
+    q = written(q, "vectors")
+    asked = q.where(F.col("vec_id") % every == 0)
+    told = q.agg(F.max(F.size("v")).alias("dim"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("asked")).first()
+    dim, blocks = told.dim or 1, max(1, -(-told.asked // query_block))
+    sample = _matrix(q.orderBy(F.xxhash64("row")).limit(SAMPLE_ROWS).select("v").toArrow().column("v"), dim)
     rotation = np.linalg.svd(sample.T @ sample)[0]
     energy = ((sample @ rotation) ** 2).sum(0)
     lead = int(min(dim, 1 + np.searchsorted(np.cumsum(energy), LEADING * energy.sum()))) if len(sample) else 1
-    longest = q.orderBy(F.col("length").desc(), "vec_id").limit(FLOOR_ROWS).select("vec_id", "v").toArrow()
-    long_ids, long_v = longest.column("vec_id").to_numpy(), _matrix(longest.column("v"), dim)
-
-    asked = q.where(F.col("vec_id") % every == 0)
-    blocks = max(1, -(-asked.count() // query_block))
-    # Split at hash bounds found from counts of hash ranges, so no block is above the limit by much.
-    asked = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(2 * blocks if blocks > 1 else 1)))
-    found = None
-    for b in range(2 * blocks if blocks > 1 else 1):
-        own = asked.where(F.col("qb") == b).select("vec_id", "v").toArrow()
-        if not own.num_rows:
-            continue
-        ids, v = own.column("vec_id").to_numpy(), _matrix(own.column("v"), dim)
-        none = np.full(len(ids), -np.inf)
-        first = Queries(ids, v, rotation, lead, none).search(long_ids, long_v, k)
-        floors = np.array([float(-first[i][-1][0]) if len(first.get(i, ())) == k else -np.inf for i in range(len(ids))])
-        shared = spark.sparkContext.broadcast(Queries(ids, v, rotation, lead, floors))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            queries: Queries = shared.value
-            for batch in batches:
-                best = queries.search(batch.column(0).to_numpy(), _matrix(batch.column(1), dim), k)
-                rows = [(int(queries.ids[i]), v, -s) for i, top in best.items() for s, v in top]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
-
-        part = q.select("vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score long")
-        found = part if found is None else found.union(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    w = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    longest = q.orderBy(F.col("length").desc(), "vec_id").limit(FLOOR_ROWS).select("row", "vec_id", "v").toArrow()
+    first = spark.sparkContext.broadcast((longest.column("row").to_numpy(), longest.column("vec_id").to_numpy(), _matrix(longest.column("v"), dim)))
+    folder = shared_folder(spark, "queries")
+
+    def write_block(got: pa.Table) -> pa.Table:
+        block, rows, v = got.column("bucket")[0].as_py(), got.column("row").to_numpy(), _matrix(got.column("v"), dim)
+        queries = Queries(rows, v, rotation, lead, np.full(len(rows), -np.inf))
+        queries.search(*first.value, k)
+        save(folder, str(block), row=rows, vec_id=got.column("vec_id").to_numpy(), v=v.ravel(), floor=queries.floors)
+        return pa.table([pa.array([block])], names=["n"])
+
+    dealt = asked.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("bucket"), "row", "vec_id", "v")
+    stored = Arrays(folder, blocks, [r.n for r in by_bucket(dealt, blocks, write_block, "n long").collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raised: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows, ids, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2), dim)
+            for block in sorted(stored.written):
+                own = stored.columns(block)
+                queries = Queries(own["row"], own["v"].reshape(-1, dim), rotation, lead, raised.setdefault(block, own["floor"].copy()))
+                out = [(int(own["row"][i]), int(own["vec_id"][i]), v, -s) for i, top in queries.search(rows, ids, x, k).items() for s, v in top]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(4)], names=["row", "query_id", "vec_id", "score"])
+
+    found = q.select("row", "vec_id", "v").mapInArrow(run, "row long, query_id long, vec_id long, score long")
+    w = W.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE_SQL = """
-WITH q AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WITH q AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  SELECT a.r AS r, a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.r <> b.r
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """

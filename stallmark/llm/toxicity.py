@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import fold, written
 from .sampling import HELD_OUT_PARTS, labelled_sample, sampled_features
@@ -258,8 +259,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(c for k, c in enumerate(b.columns) if k != names.index(text)), pa.array(s, pa.float64())], names=[*(n for n in names if n != text), "score"])
 
     kept = [f for f in docs.schema if f.name != text]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", score double"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, StructType([*kept, StructField("score", DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -8,17 +8,24 @@ How strongly children lean on their parent is estimated from the spread of their
 the method of moments. A page without a rule is blocked if a lower posterior bound of its host's
 share of blocked pages (mean less z standard deviations) is above a threshold.
 
+The table of hosts is made once and stored, as are the levels above it; their moments are one row each, read as
+literals. Pages of the at most HOT_HOSTS busiest hosts get their verdict by a broadcast, other pages without
+a rule by a join, pages with a rule by neither.
+
 Defined cases: a null url, or one without `://`, has an empty host and path and counts as a host
 of its own; a repeated page counts each time; a null page_id is kept; an empty table gives an
-empty result; further columns are ignored. A hot host is pre-aggregated, and the join that brings
-its verdict back is salted.
+empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: The rules of the contract: host, path, verdict.
 RULES = (
     ("com", "/", "allow"),
@@ -29,7 +36,8 @@ RULES = (
 )
 Z = 1.645
 THRESHOLD = 0.5
-SALTS = 32
+#: A host is hot if it has more than this share of the pages without a rule: so at most HOT_HOSTS are.
+HOT_HOSTS = 1000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,8 +64,8 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     return own.withColumn("rule", rule).withColumn("rule_verdict", verdict)
 
 
-def concentration(children: DataFrame, parent: str) -> DataFrame:
-    """One row: `k`, how many outcomes the parent's share is worth, from children with n, x and the parent's share."""
+def concentration(children: DataFrame, parent: str) -> float:
+    """How many outcomes the parent's share is worth, from children with n, x and the parent's share."""
     n, x, m = F.col("n"), F.col("x"), F.col(parent)
     # Pooled moments: E (x/n - m)^2 = m (1 - m) (1/n + (1 - 1/n) / (k + 1)).
     spread = F.coalesce(F.sum(n * (x / n - m) * (x / n - m)), F.lit(0.0))
@@ -65,41 +73,46 @@ def concentration(children: DataFrame, parent: str) -> DataFrame:
     more = F.coalesce(F.sum((n - 1) * m * (1 - m)), F.lit(0.0))
     rho = (spread - base) / F.when(more > 0, more)
     share = F.least(F.greatest(F.coalesce(rho, F.lit(0.5)), F.lit(0.001)), F.lit(0.5))
-    return children.where("n > 0").agg(share.alias("rho")).select((1 / F.col("rho") - 1).alias("k"))
+    return children.where("n > 0").agg((1 / share - 1).alias("k")).first().k
+
+
+def shrunk(level: DataFrame, parent: str, to: str) -> tuple[DataFrame, float]:
+    """The level with its posterior mean, and how many outcomes the parent's share was worth."""
+    k = concentration(level, parent)
+    return level.withColumn(to, (F.col("x") + k * F.col(parent)) / (F.col("n") + k)), k
 
 
 def reputation(judged_pages: DataFrame) -> DataFrame:
-    """host, n, x, mean, bound: the posterior of each host's share of blocked pages."""
-    label = F.element_at(F.split("host", r"\."), -1)
+    """host, n, x, free (pages without a rule), mean, bound: the posterior of each host's share of blocked pages."""
     hosts = judged_pages.groupBy("host").agg(
         F.count("rule_verdict").cast("double").alias("n"),
         F.sum(F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0)).alias("x"),
+        F.count(F.when(F.col("rule_verdict").isNull(), 1)).alias("free"),
     )
-    hosts = hosts.withColumn("suffix", label).withColumn("domain", F.substring_index("host", ".", -2))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    top = suffixes.agg(((F.coalesce(F.sum("x"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("all_mean"))
-
-    def shrink(level: DataFrame, parent: str, to: str) -> DataFrame:
-        k = concentration(level, parent)
-        out = level.crossJoin(F.broadcast(k))  # one row
-        return out.withColumn(to, (F.col("x") + F.col("k") * F.col(parent)) / (F.col("n") + F.col("k")))
-
-    s = shrink(suffixes.crossJoin(F.broadcast(top)), "all_mean", "suffix_mean").select("suffix", "suffix_mean")
-    d = shrink(domains.join(s, "suffix"), "suffix_mean", "domain_mean").select("domain", "domain_mean")
-    h = shrink(hosts.join(d, "domain"), "domain_mean", "mean")
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("k") + 1))
-    return h.select("host", "n", "x", "mean", (F.col("mean") - Z * deviation).alias("bound"))
+    hosts = hosts.withColumn("suffix", F.element_at(F.split("host", r"\."), -1)).withColumn("domain", F.substring_index("host", ".", -2))
+    hosts = written(hosts, "hosts")
+    domains = written(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "domains")
+    suffixes = written(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "suffixes")
+    top = suffixes.agg(((F.coalesce(F.sum("x"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("mean")).first().mean
+    s, _ = shrunk(suffixes.withColumn("all_mean", F.lit(top)), "all_mean", "suffix_mean")
+    d, _ = shrunk(written(domains.join(s.select("suffix", "suffix_mean"), "suffix"), "domains"), "suffix_mean", "domain_mean")
+    h, k = shrunk(written(hosts.join(d.select("domain", "domain_mean"), "domain"), "hosts"), "domain_mean", "mean")
+    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + k + 1))
+    return h.select("host", "n", "x", "free", "mean", (F.col("mean") - Z * deviation).alias("bound"))
 
 
 def url_filter(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict for every page."""
     own = judged(pages, rules)
-    verdicts = reputation(own).select("host", F.when(F.col("bound") > threshold, "block").otherwise("allow").alias("host_verdict"))
-    salted = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int")
-    out = own.withColumn("salt", salt).join(salted, ["host", "salt"])
-    return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", "host_verdict").alias("verdict"))
+    verdicts = written(reputation(own).where("free > 0").select("host", "free", F.when(F.col("bound") > threshold, "block").otherwise("allow").alias("host_verdict")), "verdicts")
+    free = verdicts.agg(F.sum("free")).first()[0] or 0
+    is_hot = F.col("free") * HOT_HOSTS > free
+    ruled = own.where("rule is not null").withColumn("verdict", F.col("rule_verdict"))
+    left = own.where("rule is null")
+    hot = left.join(F.broadcast(verdicts.where(is_hot)), "host")  # fewer than HOT_HOSTS rows
+    rest = left.join(F.broadcast(verdicts.where(is_hot).select("host")), "host", "left_anti").join(verdicts.where(~is_hot), "host")
+    out = [part.withColumn("verdict", F.col("host_verdict")) for part in (hot, rest)]
+    return functools.reduce(DataFrame.unionByName, [part.select("page_id", "host", "path", "rule", "verdict") for part in (ruled, *out)])
 
 
 ORACLE_SQL = """

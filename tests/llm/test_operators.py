@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on nulls, empty and long texts, ties, copies and empty tables."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -152,6 +153,10 @@ def test_top_k(spark):
     assert got == want
     assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_k.top_k(df, query_block=2).collect()} == want
     assert top_k.top_k(df.limit(0)).count() == 0
+    # Two rows of one id, one better, one worse: both are candidates; an id asked for twice is two queries that do not meet themselves.
+    twice = spark.createDataFrame([(5, [1.0, 0.0]), (5, [2.0, 0.0]), (100, [1.0, 0.0]), (100, [3.0, 0.0]), (7, [0.5, 9.0])], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score >> 20) for r in top_k.top_k(twice).collect())
+    assert got == sorted([(100, 1, 100, 3), (100, 2, 5, 2), (100, 3, 5, 1), (100, 4, 7, 0), (100, 1, 5, 6), (100, 2, 5, 3), (100, 3, 100, 3), (100, 4, 7, 1)])
     assert top_k.exact_products(np.array([[2.0**40] * 2]), np.array([[2.0**40] * 2]))[0] == 2**63 - 1
 
 
@@ -221,6 +226,42 @@ def test_shards_are_even(spark, sf):
     assert spark.read.parquet(path).count() == d.count()
 
 
+def test_rows_without_ids_and_copies_are_sharded_and_written_once(spark, tmp_path):
+    """A third of the rows without an id, a third of one id: no block holds them all, and each is written once beside a clashing column."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, "same" if k % 3 == 1 else f"text {k}", k) for k in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string, shard int").repartition(5).write.parquet(str(tmp_path / "d"))
+    d = spark.read.parquet(str(tmp_path / "d"))
+    out = sharding.reshard(d, 3, 4)
+    size = {r.shard: r.b for r in out.groupBy("shard").agg({"size": "sum"}).withColumnRenamed("sum(size)", "b").collect()}
+    assert len(size) == 4 and max(size.values()) - min(size.values()) <= 40 and out.select("shard", "slot").distinct().count() == 3000
+    written = spark.read.parquet(sharding.rewrite_affected(d, out))
+    affected = {r.shard for r in out.where("shard <> old_shard").collect()} | {r.old_shard for r in out.where("shard <> old_shard").collect()}
+    assert sorted(r["shard"] for r in written.select("shard").collect()) == sorted(k for r, (_, _, k) in zip(out.orderBy("row").collect(), [(0, 0, x.shard) for x in d.collect()]) if r.shard in affected)
+
+
+def test_flow_moves_the_fewest_bytes():
+    """Against every flow of small supplies, for general costs and for moved bytes."""
+    rng = np.random.default_rng(6)
+
+    def least(supply, demand, cost):
+        if not supply:
+            return 0
+        best = math.inf
+        for part in itertools.product(*(range(min(supply[0], d) + 1) for d in demand)):
+            if sum(part) == supply[0]:
+                best = min(best, sum(x * c for x, c in zip(part, cost[0])) + least(supply[1:], [d - x for d, x in zip(demand, part)], cost[1:]))
+        return best
+
+    for _ in range(25):
+        n, m = int(rng.integers(1, 4)), int(rng.integers(1, 4))
+        supply = [int(x) for x in rng.integers(0, 6, n)]
+        demand = sharding.even(sum(supply), m)
+        for cost in ([[int(i != j) for j in range(m)] for i in range(n)], rng.integers(0, 9, (n, m)).tolist()):
+            flow = sharding.min_cost_flow(supply, demand, lambda i, j, c=cost: c[i][j])
+            assert [sum(v for (i, _), v in flow.items() if i == k) for k in range(n)] == supply and [sum(v for (_, j), v in flow.items() if j == k) for k in range(m)] == demand
+            assert sum(v * cost[i][j] for (i, j), v in flow.items()) == least(supply, demand, cost)
+
+
 def test_url_filter(spark):
     rows = [
         (1, "HTTP://WWW.Example.com/en/x?q=1", "h"), (2, "https://blog.example.com/en/", "h"), (3, "https://blog.example.com/de/", "h"), (4, "http://a.net/es/1#f", "h"), (5, "http://a.net/en/1", "h"),
@@ -267,6 +308,40 @@ def test_decontamination_of_items_full_of_numbers(spark):
     assert got == {1: [20], 2: [20], 3: [21], 4: [21], 5: [22]}
 
 
+QUESTIONS = (
+    ("In the old market Peter buys 5 apples and 5 pears for his sister and then walks home along the quiet river", "In the old market Anna Lopez buys 7 apples and 4 pears for his sister and then walks home along the quiet river"),
+    ("The small garden has 3 rows of 4 trees and 5 rows of 6 bushes, how many plants does the gardener water each day", "The small garden has 9 rows of 9 trees and 9 rows of 2 bushes, how many plants does the gardener water each day"),
+    ("On the long road Maria Silva drives 120 km before the bridge and rests for 2 hours near the green hotel", "On the long road Tom drives 80 miles before the bridge and rests for 3 hours near the green hotel"),
+    ("At the busy station Ivan counts 45 trains and Olga counts 30 buses until the clock strikes and both go home", "At the busy station Juan Carlos counts 12 trains and Eva counts 12 buses until the clock strikes and both go home"),
+    ("Im alten Haus zählt Peter 14 Fenster und 3 Türen bevor er mit dem Zug nach Hause fährt und dort schläft", "Im alten Haus zählt Frau Schmidt 20 Fenster und 9 Türen bevor er mit dem Zug nach Hause fährt und dort schläft"),
+    ("A tank holds 200 liters of clear water and loses 4 liters every minute through a crack in the thin wall", "A tank holds 350 gallons of clear water and loses 7 gallons every minute through a crack in the thin wall"),
+    ("The baker sells 60 loaves in the morning and 25 in the evening, so how many loaves are sold in one week", "The baker sells 33 loaves in the morning and 11 in the evening, so how many loaves are sold in one week"),
+    ("When the ship leaves the harbour Captain Brown sees 7 gulls and 2 whales far away behind the white tower", "When the ship leaves the harbour Lee sees 5 gulls and 5 whales far away behind the white tower"),
+)
+
+
+def test_decontamination_of_changed_questions(spark):
+    """Numbers, names of one word or more, and units changed, in two languages: at least nine in ten are found, nothing else is."""
+    rng = np.random.default_rng(4)
+    words = " ".join(q for q, _ in QUESTIONS).lower().split()
+    clean = [(1000 + k, " ".join(rng.choice(words, 60)) + f" {k} km.") for k in range(40)]
+    rows = [(k, f"Some words before. {q}. And after.") for k, (q, _) in enumerate(QUESTIONS)] + [(100 + k, f"Some words before. {q}. And after.") for k, (_, q) in enumerate(QUESTIONS)]
+    bench = spark.createDataFrame([(k, q) for k, (q, _) in enumerate(QUESTIONS)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(spark.createDataFrame(rows + clean, "doc_id long, text string"), bench).collect()}
+    assert {(k, k) for k in range(len(QUESTIONS))} <= got
+    assert sum((100 + k, k) in got for k in range(len(QUESTIONS))) >= 0.9 * len(QUESTIONS)
+    assert all(doc % 100 == item for doc, item in got)
+
+
+def test_decontamination_of_short_items(spark):
+    """Items of one to nine tokens are all looked for in one pass over the documents."""
+    items = [" ".join(["alpha", "bravo", "carbon", "delta", "echoes", "foxes", "golfer", "hotels", "island"][:n]) for n in range(1, 10)]
+    bench = spark.createDataFrame(list(enumerate(items, 1)), "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"some {x} words") for k, x in enumerate(items, 1)], "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {k: list(range(1, k + 1)) for k in range(1, 10)}
+
+
 def test_decontamination_of_other_scripts(spark):
     """Names that begin outside A-Z, words joined by punctuation and other spaces than U+0020."""
     item = "In the old harbour Émile and Öznur count 120 km of rope before Иван carries the well-known barrels, then they rest"
