@@ -150,10 +150,12 @@ def score(docs: DataFrame, model: Discriminant | float, keep_text: bool = False,
         for b in batches:
             s = np.full(b.num_rows, model) if isinstance(model, float) else model.probability(statistics(b.column(at)))
             kept = [k for k in range(len(names)) if keep_text or k != at]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(s, pa.float64())], names=[*(names[k] for k in kept), to])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(s, pa.float64())], names=[*(f"c{k}" for k in kept), "score"])
 
-    kept = [f for f in docs.schema if keep_text or f.name != text]
-    return docs.mapInArrow(run, StructType([*kept, StructField(to, DoubleType())]))
+    # Columns go by their place, as mapInArrow does not take every name.
+    kept = [(f"c{k}", f) for k, f in enumerate(docs.schema) if keep_text or f.name != text]
+    schema = StructType([*(StructField(c, f.dataType) for c, f in kept), StructField("score", DoubleType())])
+    return docs.toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(run, schema).toDF(*(f.name for _, f in kept), to)
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

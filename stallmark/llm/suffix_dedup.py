@@ -517,14 +517,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, common: int = COMMON)
     """The documents with their repeated bytes removed from the text; bytes of cut characters go too."""
     names = docs.columns
     rest = [n for n in names if n not in ("doc_id", "text")]
+    places = [f"c{k}" for k in range(len(rest))]  # columns go by their place, as mapInArrow does not take every name
 
     def make(batch: pa.RecordBatch, buf: np.ndarray, offs: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
         nulls = batch.column(1).is_null().to_numpy(zero_copy_only=False)
         texts = [None if null else buf[a:b][~gone[a:b]].tobytes().decode("utf-8", "ignore") for a, b, null in zip(offs[:-1], offs[1:], nulls)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:]], names=["doc_id", "text", *rest])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:]], names=["doc_id", "text", *places])
 
-    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), *(docs.schema[n] for n in rest)])
-    out = _apply(docs, [named(n) for n in rest], schema, make, length, common)
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), *(StructField(c, docs.schema[n].dataType) for c, n in zip(places, rest))])
+    out = _apply(docs, [named(n).alias(c) for c, n in zip(places, rest)], schema, make, length, common).toDF("doc_id", "text", *rest)
     return out.select(*(named(n) for n in names))
 
 

@@ -238,6 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """Adds `score`, the probability that the text is toxic, to every row."""
     names = docs.columns
+    kept = [k for k, n in enumerate(names) if n != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {int(t): k for k, t in enumerate(machine.terms)}
@@ -256,10 +257,11 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
                         own.update(at)
                 found.append(sorted(own))
             s = _sigmoid(machine.raw(found)) if len(machine.terms) else np.full(len(found), _sigmoid(np.float64(machine.bias)))
-            yield pa.RecordBatch.from_arrays([*(c for k, c in enumerate(b.columns) if k != names.index(text)), pa.array(s, pa.float64())], names=[*(n for n in names if n != text), "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(s, pa.float64())], names=[*(f"c{k}" for k in kept), "score"])
 
-    kept = [f for f in docs.schema if f.name != text]
-    return docs.mapInArrow(run, StructType([*kept, StructField("score", DoubleType())]))
+    # Columns go by their place, as mapInArrow does not take every name.
+    schema = StructType([*(StructField(f"c{k}", docs.schema[k].dataType) for k in kept), StructField("score", DoubleType())])
+    return docs.toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(run, schema).toDF(*(names[k] for k in kept), "score")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
