@@ -41,21 +41,25 @@ def _when_complete(c: str) -> Column:
     return F.when(F.col("prior_window_complete"), F.col(c))
 
 
+def _side_by_side(both: DataFrame, key: list[str], now: tuple[str, ...], prior: dict[str, str]) -> DataFrame:
+    """Of rows by key and is_prior, the figures of the window and, renamed, of the one before it in one row."""
+    at = lambda c, is_prior: F.max(F.when(F.col("is_prior") == is_prior, F.col(c)))
+    return both.groupBy(*key).agg(F.min("is_prior").alias("only_prior"), *(at(c, False).alias(c) for c in now), *(at(c, True).alias(to) for c, to in prior.items()))
+
+
 def summary(star: Star, windows: Windows) -> DataFrame:
-    lines = _dated(star)
-    now = windows.attach(lines, "sale_date").groupBy(LABEL).agg(
-        F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), *(_total(c).alias(c) for c in ("gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents")),
-    )
-    prior = windows.attach(lines, "sale_date", prior=True).groupBy(LABEL).agg(
-        F.countDistinct("square_order_id").alias("p_orders"), _units().alias("p_units"), _total("net_sales_cents").alias("p_net"),
+    sums = ("gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents")
+    sold = windows.attach_both(_dated(star).select("sale_date", "square_order_id", "quantity", *sums), "sale_date").groupBy(LABEL, "is_prior").agg(
+        F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), *(_total(c).alias(c) for c in sums),
     )
+    sold = _side_by_side(sold, [LABEL], ("orders", "units", *sums), {"orders": "p_orders", "units": "p_units", "net_sales_cents": "p_net"})
     paid = windows.attach(star.payments, "pay_date").groupBy(LABEL).agg(_total("amount_cents").alias("collected_cents"), _total("processing_fee_cents").alias("processing_fee_cents"))
-    m = star.margin.select("order_line_key", "has_cost", "cogs_cents", "gross_profit_cents", "net_sales_cents").join(lines.select("order_line_key", "sale_date"), "order_line_key")
+    m = star.dated_margin.where("sale_date is not null").select("has_cost", "cogs_cents", "gross_profit_cents", "net_sales_cents", "sale_date")
     costed = windows.attach(m, "sale_date").groupBy(LABEL).agg(
         F.sum(F.when(F.col("has_cost"), F.col("net_sales_cents"))).alias("costed"), _total("cogs_cents").alias("cogs_cents"), _total("gross_profit_cents").alias("gross_profit_cents"), F.sum("net_sales_cents").alias("all_net"),
     )
     out = windows.frame
-    for part in (now, prior, paid, costed):
+    for part in (sold, paid, costed):
         out = out.join(F.broadcast(part), LABEL, "left")  # at most one row for each window
     full = F.col("prior_window_complete")
     orders = F.coalesce(F.col("orders"), F.lit(0))
@@ -81,9 +85,9 @@ def by_category(star: Star, windows: Windows) -> DataFrame:
     lines = _dated(star).join(star.items.select("item_key", "category_name"), "item_key", "left")
     lines = lines.withColumn("category_name", F.coalesce("category_name", F.lit("Uncategorized"))).select("sale_date", "square_order_id", "quantity", "net_sales_cents", "category_name")
     key = [LABEL, "category_name"]
-    now = windows.attach(lines, "sale_date").groupBy(*key).agg(F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), _total("net_sales_cents").alias("net_sales_cents"))
-    prior = windows.attach(lines, "sale_date", prior=True).groupBy(*key).agg(_total("net_sales_cents").alias("p_net"))
-    out = now.join(F.broadcast(windows.frame), LABEL).join(prior, key, "left")
+    sold = windows.attach_both(lines, "sale_date").groupBy(*key, "is_prior").agg(F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), _total("net_sales_cents").alias("net_sales_cents"))
+    sold = _side_by_side(sold, key, ("orders", "units", "net_sales_cents"), {"net_sales_cents": "p_net"}).where("not only_prior")
+    out = sold.join(F.broadcast(windows.frame), LABEL)
     total = F.sum("net_sales_cents").over(W.partitionBy(LABEL))
     return out.select(
         LABEL, "period_order", "category_name", "orders", "units", "net_sales_cents", _share("net_sales_cents", total, windows).alias("pct_of_net_sales"),
@@ -133,16 +137,18 @@ def by_payment(star: Star, windows: Windows) -> DataFrame:
 def by_item(star: Star, windows: Windows) -> DataFrame:
     lines = _dated(star).select("sale_date", item_key_or_custom("catalog_object_id", "item_name").alias("variation_id"), "item_name", "variation_name", "square_order_id", "quantity", "net_sales_cents")
     key = [LABEL, "variation_id"]
-    now = windows.attach(lines, "sale_date").groupBy(*key).agg(
+    sold = windows.attach_both(lines, "sale_date").groupBy(*key, "is_prior").agg(
         F.max("item_name").alias("item_name"), F.max("variation_name").alias("variation_name"), F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), _total("net_sales_cents").alias("net_sales_cents"),
     )
-    prior = windows.attach(lines, "sale_date", prior=True).groupBy(*key).agg(_units().alias("p_units"), _total("net_sales_cents").alias("p_net"))
+    now = ("item_name", "variation_name", "orders", "units", "net_sales_cents")
+    sold = _side_by_side(sold, key, now, {"units": "p_units", "net_sales_cents": "p_net"}).where("not only_prior")
     life = lines.groupBy("variation_id").agg(_units().alias("units_all_time"), F.min("sale_date").alias("first_sold_at"), F.max("sale_date").alias("last_sold_at"))
     items = star.items.select(F.col("square_catalog_object_id").alias("variation_id"), "category_name", "is_lottery")
-    out = now.join(F.broadcast(windows.frame), LABEL).join(prior, key, "left").join(life, "variation_id", "left").join(items, "variation_id", "left")
+    out = sold.join(F.broadcast(windows.frame), LABEL).join(life, "variation_id", "left").join(items, "variation_id", "left")
     full, days = F.col("prior_window_complete"), F.col("period_days").cast("double")
+    flag = [F.coalesce("is_lottery", F.lit(False)).alias("is_lottery")] if windows.bounds else []  # of the range relation only
     return out.select(
-        LABEL, "period_order", "variation_id", "item_name", "variation_name", "category_name", F.coalesce("is_lottery", F.lit(False)).alias("is_lottery"), "units", "orders", "net_sales_cents",
+        LABEL, "period_order", "variation_id", "item_name", "variation_name", "category_name", *flag, "units", "orders", "net_sales_cents",
         rounded(F.col("units").cast("double") * 7.0 / days, 2).alias("avg_weekly_units"), _when_complete("p_units").alias("prior_units"), _when_complete("p_net").alias("prior_net_sales_cents"),
         pct_change(F.col("units"), F.col("p_units"), full).alias("units_change_pct"), pct_change(F.col("net_sales_cents"), F.col("p_net"), full).alias("net_sales_change_pct"),
         "units_all_time", "first_sold_at", "last_sold_at",

@@ -11,8 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import cents, day_name, day_of_week_iso, month_name, normalize_category, percent, surrogate_key, to_local_time, week_of_year
+from ..sources.gold import materialised
 
-LOTTERY = ("LOTTERY", "LOTTO", "SCRATCH")
+#: Categories that count as lottery.
+LOTTERY = ("SCRATCHER", "LOTTO")
 PERIODS = (("Last 7 days", 7, 1), ("Last 30 days", 30, 2), ("Last 90 days", 90, 3), ("Last 365 days", 365, 4), ("All time", None, 5))
 
 
@@ -113,16 +115,17 @@ def fact_inventory_snapshot(stg: DataFrame, items: DataFrame, locations: DataFra
     )
 
 
-def fact_order_line_margin(fact: DataFrame, costs: DataFrame, items: DataFrame, vendors: DataFrame) -> DataFrame:
+def dated_margin(fact: DataFrame, costs: DataFrame, items: DataFrame, vendors: DataFrame) -> DataFrame:
+    """The margin of each line with the line's sale date, so that windows need no join back to the lines."""
     c = costs.select(F.col("variation_id").alias("catalog_object_id"), "vendor_name", "unit_cost_cents")
-    f = fact.select("order_line_key", "square_order_id", "square_line_item_uid", "item_key", "catalog_object_id", "quantity", "net_sales_cents")
+    f = fact.select("order_line_key", "square_order_id", "square_line_item_uid", "item_key", "catalog_object_id", "quantity", "net_sales_cents", "sale_date")
     f = f.join(c, "catalog_object_id", "left").join(items.select("item_key", "category_name"), "item_key", "left").join(vendors.select("vendor_name", "vendor_key"), "vendor_name", "left")
     cost = F.col("unit_cost_cents").cast("double") * F.col("quantity").cast("double")
     net = F.col("net_sales_cents")
     return f.select(
         "order_line_key", "square_order_id", "square_line_item_uid", "item_key", "vendor_key", "category_name", "vendor_name", "quantity", "net_sales_cents", "unit_cost_cents",
         cents(cost).alias("cogs_cents"), (net - cents(cost)).alias("gross_profit_cents"), F.when(cost.isNotNull() & (net > 0), percent(net - cost, net, 2)).alias("gross_margin_pct"),
-        F.col("unit_cost_cents").isNotNull().alias("has_cost"),
+        F.col("unit_cost_cents").isNotNull().alias("has_cost"), "sale_date",
     )
 
 
@@ -144,11 +147,15 @@ def range_catalogue(spark: SparkSession) -> DataFrame:
 
 @dataclass
 class Star:
-    """The star over staged tables; each table is a lazy DataFrame, built once."""
+    """The star over staged tables; each table is a lazy DataFrame, built once. With a root, the facts are gold tables, written at first use."""
 
     staged: dict[str, DataFrame]
     as_of: dt.date | None = None
     lottery: tuple[str, ...] = LOTTERY
+    root: str | None = None
+
+    def _gold(self, df: DataFrame, name: str, day: str) -> DataFrame:
+        return materialised(df, self.root, name, day) if self.root else df
 
     @cached_property
     def locations(self) -> DataFrame:
@@ -168,19 +175,23 @@ class Star:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return fact_order_line(self.staged["order_lines"], self.locations, self.items)
+        return self._gold(fact_order_line(self.staged["order_lines"], self.locations, self.items), "fact_order_line", "sale_date")
 
     @cached_property
     def payments(self) -> DataFrame:
-        return fact_payment(self.staged["payments"], self.locations)
+        return self._gold(fact_payment(self.staged["payments"], self.locations), "fact_payment", "pay_date")
 
     @cached_property
     def inventory(self) -> DataFrame:
         return fact_inventory_snapshot(self.staged["inventory_snapshots"], self.items, self.locations)
 
     @cached_property
+    def dated_margin(self) -> DataFrame:
+        return self._gold(dated_margin(self.lines, self.staged["vendor_costs"], self.items, self.vendors), "fact_order_line_margin", "sale_date")
+
+    @property
     def margin(self) -> DataFrame:
-        return fact_order_line_margin(self.lines, self.staged["vendor_costs"], self.items, self.vendors)
+        return self.dated_margin.drop("sale_date")
 
     @cached_property
     def dates(self) -> DataFrame:

@@ -36,6 +36,17 @@ class Windows:
         )
         return Windows(frame, (start, end))
 
+    def attach_both(self, rows: DataFrame, day: str) -> DataFrame:
+        """Rows with the label of each window that holds them or that they precede by one, and is_prior: one pass for both."""
+        if self.bounds:
+            start, end = self.bounds
+            first = start - dt.timedelta((end - start).days + 1)
+            return rows.where(F.col(day).between(F.lit(first), F.lit(end))).withColumns({LABEL: F.lit("range"), "is_prior": F.col(day) < F.lit(start)})
+        tagged = lambda lo, hi, prior: F.transform(F.sequence(lo, hi), lambda d: F.struct(d.alias(day), F.lit(prior).alias("is_prior")))
+        before = F.when(F.col("prior_start").isNotNull(), tagged("prior_start", "prior_end", True)).otherwise(F.array())
+        days = self.frame.select(LABEL, F.inline(F.concat(tagged("period_start", "period_end", False), before)))
+        return rows.join(F.broadcast(days), day)  # at most two rows for each period and calendar day
+
     def attach(self, rows: DataFrame, day: str, prior: bool = False) -> DataFrame:
         """Rows that lie in a window (or the one before), with its label; a row may lie in several."""
         if self.bounds:

@@ -151,7 +151,8 @@ RELATIONS = {
 
 
 def over_periods(name: str) -> str:
-    return f"{STAR}, {_PERIODS}{RELATIONS[name][0]}"
+    own = f"{STAR}, {_PERIODS}{RELATIONS[name][0]}"
+    return f"SELECT * EXCLUDE (is_lottery) FROM ({own})" if name == "items" else own
 
 
 def over_range(name: str) -> str:

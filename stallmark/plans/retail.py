@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import Quantity, surrogate_key
 from ..operators.staging import stg_category_overrides, stg_vendor_costs
 from ..operators.star import Star
+from ..sources.gold import gold_root
 
 AS_OF = dt.date(2001, 8, 2)
 START, END = dt.date(2001, 5, 1), dt.date(2001, 7, 31)
@@ -101,11 +103,17 @@ def stg_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "region").select(F.concat(F.lit("LOC"), F.col("r_regionkey").cast("string")).alias("location_id"), F.col("r_name").alias("location_name"), F.lit("ACTIVE").alias("status"), zone.alias("timezone"))
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
+def build(spark: SparkSession, sf_dir: str) -> Star:
     lines = stg_lines(spark, sf_dir)
     overrides = spark.createDataFrame(list(OVERRIDES), "raw_category string, canonical_category string")
     staged = {
         "locations": stg_locations(spark, sf_dir), "order_lines": lines, "payments": stg_payments(spark, sf_dir, lines), "inventory_snapshots": stg_inventory(spark, sf_dir),
         "vendor_costs": stg_vendor_costs(vendor_costs(spark, sf_dir)), "category_overrides": stg_category_overrides(overrides), "snapshot": catalog_snapshot(spark, sf_dir),
     }
-    return Star(staged, AS_OF, LOTTERY)
+    return Star(staged, AS_OF, LOTTERY, gold_root(spark, sf_dir))
+
+
+@functools.lru_cache(maxsize=8)
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star of a folder, built once for a session: its facts are written as gold tables at their first use."""
+    return build(spark, sf_dir)
