@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import kpi
 from .merge import as_of_join
 from .star import Star, as_date
+from .windows import Windows
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -54,7 +56,12 @@ def forecast_is_sane(forecast: DataFrame) -> DataFrame:
 
 
 def history_fan_out(star: Star) -> DataFrame:
-    return as_of_join(star.lines.where("closed_at is not null"), star.item_history).groupBy("order_line_key").agg(F.count("*").alias("n")).where("n > 1")
+    return history_fan_out_of(star.lines, star.item_history)
+
+
+def history_fan_out_of(lines: DataFrame, history: DataFrame) -> DataFrame:
+    """Lines that meet more than one version of their item."""
+    return as_of_join(lines.where("closed_at is not null"), history).groupBy("order_line_key").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def history_well_formed(history: DataFrame) -> DataFrame:
@@ -68,10 +75,15 @@ def history_well_formed(history: DataFrame) -> DataFrame:
 
 
 def local_time_is_right(star: Star) -> DataFrame:
-    """Lines whose local time is missing, whose day differs from it, or that lie off by other than whole quarter hours within a day."""
-    apart = F.timestamp_diff("MINUTE", F.col("closed_at"), F.col("closed_at_local"))
-    lines = star.lines.where("closed_at is not null")
-    return lines.where(F.col("closed_at_local").isNull() | (F.col("sale_date") != F.to_date("closed_at_local")) | (F.abs(apart) > 14 * 60) | (apart % 15 != 0)).select("order_line_key", "closed_at", "closed_at_local", "sale_date")
+    """Lines with a closing time but no date or the reverse; and at stores with a zone other than UTC, lines whose
+    date is not that of their local time or whose local time is not 1 to 23 hours off."""
+    zones = star.locations.select("location_key", "timezone")
+    hours = F.abs(F.timestamp_diff("HOUR", F.col("closed_at_local"), F.col("closed_at")))
+    one_sided = F.col("closed_at").isNull() != F.col("sale_date").isNull()
+    off = F.col("closed_at").isNotNull() & F.col("timezone").isNotNull() & (F.col("timezone") != "UTC") & ((F.col("sale_date") != F.to_date("closed_at_local")) | ~hours.between(1, 23))
+    failure = F.when(one_sided, "nullability_mismatch").when(off, "offset_or_date_mismatch")
+    lines = star.lines.join(zones, "location_key", "left").withColumn("failure", failure)
+    return lines.where("failure is not null").select("failure", "order_line_key", "closed_at", "closed_at_local", "sale_date")
 
 
 def short_payments(reconciled: DataFrame, severity: str = "warn") -> DataFrame:
@@ -104,6 +116,32 @@ def compare_by_key(a: DataFrame, b: DataFrame, keys: list[str], columns: list[st
     return both.select(*keys, F.explode(F.array_compact(F.array(*parts))).alias("d")).select(*keys, "d.*")
 
 
+#: Relations that exist for periods and for ranges, with the columns that tell their rows apart.
+RELATION_KEYS = {"summary": [], "category": ["category_name"], "weekday": ["day_of_week"], "hour": ["hour_of_day"], "payments": ["source_type"], "items": ["variation_id"]}
+
+
+def ranges_equal_periods(star: Star) -> DataFrame:
+    """relation, period_label, key, column, a, b: where a relation over a period's days as a range differs from the period's own rows.
+
+    All relations, periods and figures; of prior figures only where the period has a prior window (All time has none,
+    a range over its days does), and items' weekly average not for All time, likewise.
+    """
+    periods = [(r.period_label, r.period_start, r.period_end, r.period_days) for r in star.periods.collect()]  # five rows
+    out = None
+    for name, key in RELATION_KEYS.items():
+        own = kpi.RANGES[name](star, Windows(star.periods))
+        for label, start, end, days in periods:
+            a, b = own.where(F.col("period_label") == label), kpi.over_range(kpi.RANGES[name], star, start, end)
+            left = {"prior_start", "prior_end", "period_days", "period_start", "period_end", "avg_weekly_units"} if days is None else set()
+            columns = [c for c in b.columns if c in a.columns and c not in key and c not in left]
+            one = F.lit("all").alias("key")
+            at = F.concat_ws("|", *(F.col(c).cast("string") for c in key)).alias("key") if key else one
+            diff = compare_by_key(a.select(at, *columns), b.select(at, *columns), ["key"], columns)
+            diff = diff.select(F.lit(name).alias("relation"), F.lit(label).alias("period_label"), "key", "column", "a", "b")
+            out = diff if out is None else out.unionByName(diff)
+    return out
+
+
 def is_fresh(star: Star, most_days: int = 2, as_of: dt.date | None = None) -> DataFrame:
     today = as_date(as_of or star.as_of)
     return star.lines.agg(F.max("sale_date").alias("last_sale")).where(F.col("last_sale").isNull() | (F.datediff(today, F.col("last_sale")) > most_days))
@@ -121,6 +159,7 @@ def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def period_coverage(df: DataFrame, periods: DataFrame) -> DataFrame:
+    """Periods without a row."""
     return periods.join(df.select("period_label").distinct(), "period_label", "left_anti").select("period_label")
 
 
@@ -131,7 +170,3 @@ def single_row(df: DataFrame) -> DataFrame:
 def flagged(rows: DataFrame, check: str, severity: str = "error") -> DataFrame:
     """check, severity, failures of a check's rows."""
     return rows.agg(F.count("*").alias("failures")).select(F.lit(check).alias("check"), F.lit(severity).alias("severity"), "failures")
-
-
-def condition(df: DataFrame, failing: Column) -> DataFrame:
-    return df.where(failing)

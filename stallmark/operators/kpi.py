@@ -255,7 +255,7 @@ def over_periods(operator, star: Star, periods: list[tuple[str, dt.date, dt.date
 
 
 def publish(star: Star, start: dt.date, end: dt.date, prefix: str = "range_") -> list[str]:
-    """Registers every range relation of one window as a temporary view; rows are ordered by the caller."""
+    """Registers every range relation of one window as a temporary view (for SQL that joins several); rows are ordered by the caller."""
     names = []
     for name, operator in RANGES.items():
         over_range(operator, star, start, end).createOrReplaceTempView(prefix + name)

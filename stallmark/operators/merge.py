@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,24 +15,46 @@ TRACKED = ("item_name", "variation_name", "category_name", "price_cents", "sku",
 
 
 class VersionedTable:
-    """A Parquet table whose content changes at once: a new folder is written, then a pointer names it."""
+    """A Parquet table whose content changes at once.
+
+    A version is a folder of its own; when it is whole, a numbered pointer file appears by a rename. The table is
+    what the pointer with the largest number names, so a writer that dies leaves the last version in
+    place, and of two writers that begin from one version the second is refused.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/pointers")
+        self._fs = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _file(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self._folder, name)
+
+    def version(self) -> int:
+        """The number of the newest version, 0 if there is none."""
+        if not self._fs.exists(self._folder):
+            return 0
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._folder)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
 
     def current(self) -> DataFrame | None:
-        try:
-            row = self.spark.read.text(f"{self.path}/current").first()
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
-                raise
+        n = self.version()
+        if not n:
             return None
-        return self.spark.read.parquet(f"{self.path}/{row.value}") if row else None
+        name = self.spark.read.text(self._file(f"{n:012d}").toString()).first().value
+        return self.spark.read.parquet(f"{self.path}/{name}")
 
-    def publish(self, df: DataFrame) -> None:
+    def publish(self, df: DataFrame, after: int | None = None) -> None:
+        """Makes df the content, as the version that follows `after` (the newest one if not given)."""
+        n = (self.version() if after is None else after) + 1
         name = f"version-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{name}")
-        self.spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/current")
+        part, pointer = self._file(f".{name}"), self._file(f"{n:012d}")
+        out = self._fs.create(part, False)
+        out.write(bytearray(name.encode()))
+        out.close()
+        if self._fs.exists(pointer) or not self._fs.rename(part, pointer):
+            raise FileExistsError(f"version {n} of {self.path} is already there: another writer was faster")
 
 
 def merge_delta(target: DataFrame, source: DataFrame, updated: str = "order_updated_at", lookback: int = LOOKBACK_DAYS) -> DataFrame:
@@ -55,11 +76,27 @@ def merge(target: DataFrame, source: DataFrame, key: str = "order_line_key", upd
 
 def incremental(table: VersionedTable, source: DataFrame, full_refresh: bool = False) -> DataFrame:
     """Merges into a stored table, or rebuilds it; the table's new content."""
+    n = table.version()
     now = None if full_refresh else table.current()
-    table.publish(source if now is None else merge(now, source))
+    table.publish(source if now is None else merge(now, source), n)
     return table.current()
 
 
+def newest_wins(target: DataFrame, batch: DataFrame, key: str = "order_line_key", updated: str = "order_updated_at") -> DataFrame:
+    """The target with the rows of a batch that are at least as new as its own of that key, however late they come.
+
+    The batch is only a part of the source, so there is no lookback; of several rows of a key the newest counts
+    (undated ones as the oldest).
+    """
+    columns = batch.columns
+    row = F.struct(*columns)
+    rows = batch.groupBy(key).agg(F.max_by(row, F.coalesce(F.col(updated).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))).alias("row")).select("row.*")
+    old = target.select(F.col(key), F.col(updated).alias("_old"), F.lit(True).alias("_known"))
+    late = F.col("_known") & F.col("_old").isNotNull() & (F.col(updated).isNull() | (F.col(updated) < F.col("_old")))
+    win = rows.join(old, key, "left").where(~F.coalesce(late, F.lit(False))).select(*columns)
+    return target.join(win.select(key), key, "left_anti").unionByName(win, allowMissingColumns=True).select(*columns)
+
+
 def _differs(columns: tuple[str, ...]) -> Column:
     out = F.lit(False)
     for c in columns:
@@ -81,6 +118,21 @@ def scd2(history: DataFrame, source: DataFrame, captured_at: dt.datetime, key: s
     return history.where("valid_to is not null").unionByName(closed).unionByName(fresh.select(*columns))
 
 
+def scd2_snapshot(table: VersionedTable, source: DataFrame, captured_at: dt.datetime, full_refresh: bool = False, key: str = "variation_id", tracked: tuple[str, ...] = TRACKED) -> DataFrame:
+    """Captures the source into a stored history; its new content. A history cannot be made again, so a full refresh is refused."""
+    if full_refresh:
+        raise ValueError("a history holds what its source no longer has; it is never rebuilt")
+    n, now = table.version(), table.current()
+    if now is None:
+        times = F.lit(None).cast("timestamp_ntz")
+        now = source.limit(0).select(F.lit("").alias("item_version_key"), *source.columns, *(times.alias(c) for c in ("valid_from", "valid_to", "version_captured_at")))
+    last = now.agg(F.max(F.greatest("valid_from", "valid_to"))).first()[0]
+    if last is not None and last >= captured_at:
+        raise ValueError(f"the history already reaches {last}; a capture must be later")
+    table.publish(scd2(now, source, captured_at, key, tracked), n)
+    return table.current()
+
+
 def as_of_join(facts: DataFrame, history: DataFrame, at: str = "closed_at", key: str = "item_key") -> DataFrame:
     """Each fact with the version that was valid at its time; none is legal, facts then drop out."""
     h = history.select(*(F.col(c).alias(f"h_{c}") for c in history.columns))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import forecast, kpi
 from ..operators.star import Star
 from ..operators.windows import Windows
-from . import oracle, stateful
+from . import oracle, raw, stateful
 from .oracle import PERIOD_NAMES
 from .retail import END, START, star
 
@@ -29,8 +29,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name, operator in kpi.RANGES.items():
         of_star[PERIOD_NAMES[name]] = lambda s, f=operator: f(s, Windows(s.periods))
         of_star[f"range_{name}"] = lambda s, f=operator: kpi.over_range(f, s, START, END)
-    return {name: _over_star(make) for name, make in of_star.items()} | stateful.queries()
+    return {name: _over_star(make) for name, make in of_star.items()} | stateful.queries() | raw.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql() | stateful.oracle_sql()
+    return oracle.oracle_sql() | stateful.oracle_sql() | raw.SQL

@@ -13,7 +13,7 @@ from ..operators.merge import as_of_join, merge, scd2
 from ..operators.star import Star, dim_item_history
 from ..operators.windows import Windows
 from ..sources import bronze
-from .oracle import QUERIES, STAR, over_range
+from .oracle import QUERIES, STAR, over_periods, over_range
 from .retail import AS_OF, END, LOTTERY, START, catalog_snapshot, star, table
 
 CAPTURED = dt.datetime(1998, 6, 1)
@@ -92,12 +92,14 @@ def _search(s: Star) -> DataFrame:
     return views.item_search(_range_items(s), "RED", ("STANDARD", "SEASONAL"), 5, "revenue", 25).select("variation_id", "item_name", "category_name", "units", "net_sales_cents")
 
 
-def range_equals_period(s: Star) -> DataFrame:
-    """Categories of which the period table and the range over the same days differ."""
-    days = s.periods.where("period_label = 'Last 90 days'")
-    start, end = days.select("period_start", "period_end").first()
-    columns = ["category_name", "orders", "net_sales_cents"]
-    return checks.compare_by_key(kpi.by_category(s, Windows(days)).select(*columns), kpi.over_range(kpi.by_category, s, start, end).select(*columns), columns[:1], columns[1:])
+def category_over_periods(s: Star) -> DataFrame:
+    """The range relation called for each canonical period."""
+    periods = [(r.period_label, r.period_start, r.period_end) for r in s.periods.collect()]  # five rows
+    return kpi.over_periods(kpi.by_category, s, periods)
+
+
+def margin_rows(s: Star) -> DataFrame:
+    return views.margin_rows(s.margin).select("order_line_key", "gross_profit_cents")
 
 
 def queries() -> dict:
@@ -125,7 +127,11 @@ def queries() -> dict:
         "check_period_nesting": _over(lambda s: checks.narrower_within_wider(kpi.summary(s, Windows(s.periods)))),
         "check_peak_hour": _over(lambda s: checks.peak_hour_in(kpi.over_range(kpi.by_hour, s, START, END), 8, 12)),
         "check_freshness": _over(lambda s: checks.is_fresh(s, 2, AS_OF + dt.timedelta(10))),
-        "check_range_equals_period": _over(range_equals_period),
+        "check_range_equals_period": _over(checks.ranges_equal_periods), "range_category_over_periods": _over(category_over_periods), "view_margin_rows": _over(margin_rows),
+        "check_history_fan_out": lambda spark, d: checks.history_fan_out_of(star(spark, d).lines, history_of(spark, d, star(spark, d))),
+        "check_item_grain": _over(lambda s: checks.period_grain(kpi.by_item(s, Windows(s.periods)), "variation_id")),
+        "check_period_coverage": _over(lambda s: checks.period_coverage(kpi.summary(s, Windows(s.periods)), s.periods)),
+        "check_coverage_is_one_row": _over(lambda s: checks.single_row(kpi.data_coverage(s))),
     }
 
 
@@ -142,7 +148,34 @@ _SCD = """scd AS (
 def oracle_sql() -> dict[str, str]:
     items, popular = over_range("items"), over_range("popular_times")
     ahead = QUERIES["kpi_revenue_forecast_daily"]
+    periods = over_periods("summary")
     return {
+        "check_calendar": f"""{STAR}, s AS (SELECT min(sale_date) AS first_sale, max(sale_date) AS last_sale FROM lines), d AS (SELECT min(date_day) AS first_day, max(date_day) AS last_day, count(*) AS days, count(DISTINCT date_day) AS distinct_days FROM dim_date)
+  SELECT * FROM s, d WHERE first_sale < first_day OR last_sale > last_day OR days <> distinct_days OR days <> last_day - first_day + 1""",
+        "check_fact_matches_source": f"""{STAR}, f AS (SELECT count(*) AS n, sum(net_sales_cents) AS net, sum(tax_cents) AS tax, sum(quantity) AS units, count(DISTINCT order_line_key) AS keys FROM fact_order_line),
+  s AS (SELECT count(*) AS n, sum(net_sales_cents) AS net, sum(tax_cents) AS tax, sum(quantity) AS units, count(DISTINCT (order_id, line_item_uid)) AS keys FROM stg_lines),
+  both_ AS (SELECT unnest(['rows', 'net', 'tax', 'units', 'keys']) AS "column", unnest([f.n::VARCHAR, f.net::VARCHAR, f.tax::VARCHAR, f.units::VARCHAR, f.keys::VARCHAR]) AS a, unnest([s.n::VARCHAR, s.net::VARCHAR, s.tax::VARCHAR, s.units::VARCHAR, s.keys::VARCHAR]) AS b FROM f, s)
+  SELECT 1 AS k, * FROM both_ WHERE a IS DISTINCT FROM b""",
+        "check_forecast_is_sane": f"SELECT * FROM ({QUERIES['kpi_item_forecast']}) WHERE forecast_units IS NULL OR isnan(forecast_units) OR forecast_units < 0",
+        "check_local_time": f"""{STAR}, l AS (SELECT f.*, timezone FROM fact_order_line f LEFT JOIN places USING (location_key))
+  SELECT CASE WHEN (closed_at IS NULL) <> (sale_date IS NULL) THEN 'nullability_mismatch' ELSE 'offset_or_date_mismatch' END AS failure, order_line_key, closed_at, closed_at_local, sale_date FROM l
+  WHERE (closed_at IS NULL) <> (sale_date IS NULL) OR (closed_at IS NOT NULL AND timezone <> 'UTC' AND (sale_date <> CAST(closed_at_local AS DATE) OR abs(date_sub('hour', closed_at_local, closed_at)) NOT BETWEEN 1 AND 23))""",
+        "check_history_well_formed": f"""WITH {_SCD}, v AS (SELECT md5(variation_id) AS item_key, valid_from, valid_to, lead(valid_from) OVER (PARTITION BY variation_id ORDER BY valid_from) AS next_from FROM scd)
+  SELECT item_key, CASE WHEN valid_to <= valid_from THEN 'backwards' WHEN next_from < valid_to THEN 'overlap' WHEN next_from > valid_to THEN 'gap' ELSE 'open_before_end' END AS fault FROM v
+  WHERE valid_to <= valid_from OR next_from <> valid_to OR (valid_to IS NULL AND next_from IS NOT NULL)
+  UNION ALL SELECT item_key, 'several_open' FROM v WHERE valid_to IS NULL GROUP BY 1 HAVING count(*) > 1""",
+        "check_period_nesting": f"""WITH p AS ({periods}) SELECT a.period_label AS narrow, b.period_label AS wide FROM p a JOIN p b ON a.period_order < b.period_order AND a.period_start >= b.period_start
+  AND (a.orders > b.orders OR a.units > b.units OR a.gross_sales_cents > b.gross_sales_cents)""",
+        "check_range_equals_period": f"""WITH k AS ({over_periods("category")}), f AS ({STAR} SELECT l.sale_date, square_order_id, quantity, net_sales_cents, coalesce(category_name, 'Uncategorized') AS category_name FROM lines l LEFT JOIN dim_item USING (item_key)),
+  p AS ({QUERIES["dim_period"]}), r AS (SELECT period_label, category_name, count(DISTINCT square_order_id) AS orders, CAST(sum(net_sales_cents) AS BIGINT) AS net_sales_cents FROM f JOIN p ON sale_date BETWEEN period_start AND period_end GROUP BY 1, 2)
+  SELECT 'category' AS relation, period_label, category_name AS "key", 'orders or net_sales_cents' AS "column", CAST(k.orders AS VARCHAR) AS a, CAST(r.orders AS VARCHAR) AS b FROM k FULL JOIN r USING (period_label, category_name)
+  WHERE k.orders IS DISTINCT FROM r.orders OR k.net_sales_cents IS DISTINCT FROM r.net_sales_cents""",
+        "range_category_over_periods": f"SELECT * EXCLUDE (period_order) FROM ({over_periods('category')})",
+        "view_margin_rows": f"{STAR} SELECT order_line_key, gross_profit_cents FROM fact_order_line_margin WHERE gross_profit_cents IS NOT NULL",
+        "check_history_fan_out": f"""{STAR}, {_SCD} SELECT order_line_key, count(*) AS n FROM fact_order_line f JOIN scd v ON f.catalog_object_id = v.variation_id AND closed_at >= valid_from AND (valid_to IS NULL OR closed_at < valid_to) WHERE item_key IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
+        "check_item_grain": f"SELECT period_label, variation_id, count(*) AS n FROM ({over_periods('items')}) GROUP BY 1, 2 HAVING count(*) > 1",
+        "check_period_coverage": f"WITH s AS ({periods}), p AS ({QUERIES['dim_period']}) SELECT period_label FROM p WHERE period_label NOT IN (SELECT period_label FROM s)",
+        "check_coverage_is_one_row": f"SELECT count(*) AS n FROM ({QUERIES['kpi_data_coverage']}) HAVING count(*) <> 1",
         "merge_order_lines": f"""{STAR} SELECT order_line_key, order_updated_at, net_sales_cents + CASE WHEN order_updated_at < (SELECT CAST(max(order_updated_at) AS DATE) - 7 FROM fact_order_line WHERE order_updated_at < TIMESTAMP '{OLD_STATE}') THEN 1 ELSE 0 END AS net_sales_cents FROM fact_order_line""",
         "scd2_history": f"WITH {_SCD} SELECT * FROM scd",
         "as_of_sales_by_version": f"""{STAR}, {_SCD}, versions AS (

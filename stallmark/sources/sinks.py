@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,21 +11,23 @@ from ..functions.scalar import normalize_category
 
 
 def append_bronze(pages: DataFrame, root: str, entity: str, source: str = "square") -> int:
-    """Appends pages (metadata, payload) under extracted_date; a page that is there already is refused."""
+    """Appends pages (metadata, payload) under extracted_date; a page that is there already is refused. Only the days of the new pages are read."""
     spark = pages.sparkSession
     path = f"{root}/{source}/{entity}"
     keys = pages.select("metadata.run_id", "metadata.page_number")
     total = keys.count()
     if keys.distinct().count() != total:
         raise ValueError("a page occurs twice in one write")
+    day = F.to_date(F.substring("metadata.extracted_at", 1, 10))
+    days = [r.day for r in pages.select(day.alias("day")).distinct().collect()]  # the days of one run
     try:
-        old = spark.read.schema(schemas.struct(metadata=schemas.METADATA)).option("recursiveFileLookup", True).json(path)
+        old = spark.read.schema("metadata struct<run_id string, page_number long>, extracted_date date").json(path).where(F.col("extracted_date").isin(days) | F.col("extracted_date").isNull())
         if not keys.join(old.select("metadata.run_id", "metadata.page_number"), ["run_id", "page_number"], "left_semi").isEmpty():
             raise FileExistsError(f"a page of this run is already in {path}")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
             raise
-    pages.withColumn("extracted_date", F.to_date(F.substring("metadata.extracted_at", 1, 10))).write.mode("append").partitionBy("extracted_date").json(path)
+    pages.withColumn("extracted_date", day).write.mode("append").partitionBy("extracted_date").json(path)
     return total
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.merge import VersionedTable, merge
+from ..operators.merge import VersionedTable, newest_wins
 
 
 def page_stream(spark: SparkSession, root: str, entity: str, source: str = "square") -> DataFrame:
@@ -18,10 +18,10 @@ def page_stream(spark: SparkSession, root: str, entity: str, source: str = "squa
 
 
 def merge_stream(stream: DataFrame, to_fact: Callable[[DataFrame], DataFrame], table: VersionedTable, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch, turned into fact rows, is merged into the table: replays of a batch change nothing."""
+    """Each micro-batch, turned into fact rows, is merged into the table, the newest row of each key winning: neither late rows nor replays of a batch lose or revert any."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        rows, now = to_fact(batch), table.current()
-        table.publish(rows if now is None else merge(now, rows))
+        rows, n, now = to_fact(batch), table.version(), table.current()
+        table.publish(newest_wins(rows.limit(0) if now is None else now, rows), n)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

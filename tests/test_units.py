@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from stallmark import schemas
 from stallmark.functions import scalar
-from stallmark.operators import checks, merge, silver, staging, star, views
-from stallmark.sources import bronze, sinks
+from stallmark.operators import checks, kpi, merge, silver, staging, star, views, windows
+from stallmark.plans import retail
+from stallmark.sources import bronze, gold, sinks
 from stallmark.streaming import bronze_stream
 
 T1, T2 = "2026-01-01T00:00:00Z", "2026-01-02T00:00:00Z"
@@ -186,3 +187,103 @@ def test_stream_merges_pages(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         bronze_stream.merge_stream(bronze_stream.page_stream(spark, str(tmp_path), "orders"), to_fact, t, str(tmp_path / "check")).awaitTermination()
     assert [r.net_sales_cents for r in t.current().collect()] == [2000]
+
+
+def test_a_writer_that_dies_leaves_the_table(spark, tmp_path):
+    t = merge.VersionedTable(spark, str(tmp_path / "t"))
+    rows = lambda n: spark.createDataFrame([(str(n), dt.datetime(2026, 1, 1), n)], LINE)
+    t.publish(rows(1))
+    (tmp_path / "t" / "version-torn").mkdir()  # a version that was never named
+    (tmp_path / "t" / "pointers" / ".version-torn").write_text("version-torn")  # and a pointer that never appeared
+    assert [r.net_sales_cents for r in t.current().collect()] == [1] and t.version() == 1
+    t.publish(rows(2))
+    old = t.current()
+    with pytest.raises(FileExistsError):  # a second writer that began from version 1
+        t.publish(rows(3), 1)
+    assert [r.net_sales_cents for r in t.current().collect()] == [2] and t.version() == 2
+    t.publish(rows(4))
+    assert [r.net_sales_cents for r in old.collect()] == [2]  # who reads an old version keeps it
+
+
+def test_late_rows_of_a_stream(spark):
+    day = lambda n: dt.datetime(2026, 1, n)
+    target = spark.createDataFrame([("a", day(20), 1), ("b", day(20), 2), ("u", None, 3)], LINE)
+    batch = spark.createDataFrame([("a", day(10), 9), ("late", day(2), 4), ("b", day(21), 5), ("b", day(19), 8), ("u", day(1), 6), ("n", None, 7)], LINE)
+    want = {"a": 1, "b": 5, "u": 6, "late": 4, "n": 7}  # no lookback, no older row over a newer one, the newest of a batch
+    got = merge.newest_wins(target, batch)
+    assert {r.order_line_key: r.net_sales_cents for r in got.collect()} == want
+    assert {r.order_line_key: r.net_sales_cents for r in merge.newest_wins(got, batch).collect()} == want
+
+
+def test_history_sink(spark, tmp_path):
+    v = "variation_id string, item_name string, variation_name string, category_name string, price_cents long, currency string, sku string, is_deleted boolean"
+    source = lambda *rows: spark.createDataFrame([(k, n, "R", "BEER", 1, "USD", None, False) for k, n in rows], v)
+    t = merge.VersionedTable(spark, str(tmp_path / "h"))
+    t1, t2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)
+    assert merge.scd2_snapshot(t, source(("a", "A"), ("b", "B")), t1).count() == 2
+    got = merge.scd2_snapshot(t, source(("a", "New"), ("b", "B")), t2)
+    assert sorted((r.variation_id, r.item_name, r.valid_from, r.valid_to) for r in got.collect() if r.variation_id == "a") == [("a", "A", t1, t2), ("a", "New", t2, None)] and got.count() == 3
+    with pytest.raises(ValueError):
+        merge.scd2_snapshot(t, source(("a", "A")), dt.datetime(2026, 3, 1), full_refresh=True)
+    with pytest.raises(ValueError):
+        merge.scd2_snapshot(t, source(("a", "A")), t2)  # the same capture again
+    assert t.current().count() == 3
+
+
+def test_checks_see_what_is_spoiled(spark, sf):
+    """Each check of the star passes on the data and fails once that is spoiled."""
+    s = retail.build(spark, sf)
+    spoiled = lambda **tables: checks_star(s, **tables)
+    day = F.to_date(F.lit("1980-01-01"))
+    first = s.lines.where("closed_at is not null and item_key is not null").orderBy("order_line_key").first().order_line_key
+    one = F.col("order_line_key") == first
+    early = s.lines.withColumn("sale_date", F.when(one, day).otherwise(F.col("sale_date")))
+    assert checks.calendar_covers_sales(spoiled(lines=early, dates=s.dates)).count() == 1 and checks.local_time_is_right(spoiled(lines=early)).count() >= 1
+    undated = s.lines.withColumn("sale_date", F.when(~one, F.col("sale_date")))
+    assert [r.failure for r in checks.local_time_is_right(spoiled(lines=undated)).collect()] == ["nullability_mismatch"]
+    unmoved = s.lines.withColumn("closed_at_local", F.col("closed_at"))
+    assert {r.failure for r in checks.local_time_is_right(spoiled(lines=unmoved)).collect()} == {"offset_or_date_mismatch"}
+    assert checks.item_key_resolves(spoiled(lines=s.lines.withColumn("catalog_object_id", F.when(one, "Q").otherwise(F.col("catalog_object_id"))))).count() == 1
+    assert {r["column"] for r in checks.fact_matches_source(spoiled(lines=s.lines.where(~one))).collect()} >= {"rows", "keys", "net"}
+    f = spark.createDataFrame([(1.0,), (-1.0,), (None,), (float("nan"),)], "forecast_units double")
+    assert checks.forecast_is_sane(f).count() == 3
+    p = spark.createDataFrame([("7", 1, dt.date(2026, 1, 3), 5, 1, 1), ("30", 2, dt.date(2026, 1, 1), 4, 1, 1)], "period_label string, period_order int, period_start date, orders long, units long, gross_sales_cents long")
+    assert [(r.narrow, r.wide) for r in checks.narrower_within_wider(p).collect()] == [("7", "30")]
+    assert checks.period_coverage(p.where("period_order = 1"), p).count() == 1 and checks.period_grain(p.union(p)).count() == 2
+    wrong = spoiled(periods=s.periods.withColumn("period_start", F.when(F.col("period_order") == 2, F.date_sub("period_start", 40)).otherwise(F.col("period_start"))))
+    wrong.__dict__["lines"] = s.lines
+    own = kpi.RANGES["weekday"](s, windows.Windows(s.periods)).where("period_order = 2")
+    longer = kpi.RANGES["weekday"](wrong, windows.Windows(wrong.periods)).where("period_order = 2")
+    assert checks.compare_by_key(own, longer, ["day_of_week"], ["net_sales_cents"]).count() >= 5
+    history = s.item_history.unionByName(s.item_history)
+    assert checks.history_fan_out_of(s.lines.where(one), history).count() == 1
+
+
+def checks_star(s, **tables):
+    """A star with some of its tables replaced."""
+    out = star.Star(s.staged, s.as_of, s.lottery)
+    out.__dict__.update(tables)
+    return out
+
+
+def test_gold_tables(spark, sf, tmp_path):
+    """Every table of the star is written and rebuilt; a day's filter reaches the files."""
+    s = retail.build(spark, sf)
+    rows = gold.written_tables(s, str(tmp_path))
+    assert rows["fact_order_line"] == rows["fact_order_line_margin"] == s.lines.count() and rows["dim_period"] == 5
+    assert gold.written_tables(s, str(tmp_path)) == rows
+    read = spark.read.parquet(str(tmp_path / "fact_order_line")).where("sale_date = date'2001-07-01'")
+    assert "PushedFilters: [IsNotNull(sale_date), EqualTo(sale_date" in read._jdf.queryExecution().toString()
+
+
+def test_only_active_and_catalogue(spark):
+    places = spark.createDataFrame([("L", "ACTIVE"), ("M", "CLOSED")], "location_id string, status string")
+    assert [r.location_id for r in bronze.only_active(spark.createDataFrame([("L",), ("M",), ("N",)], "location_id string"), places).collect()] == ["L"]
+    assert {r.relation for r in star.range_catalogue(spark).collect()} == {"range_window", *(f"range_{n}" for n in kpi.RANGES)}
+
+
+def test_published_relations(spark, sf):
+    s = retail.build(spark, sf)
+    names = kpi.publish(s, dt.date(2001, 5, 1), dt.date(2001, 5, 31))
+    assert {"range_window", "range_summary"} <= set(names) and all(spark.table(n).columns for n in names)
+    assert spark.sql("select count(*) as n from range_summary join range_window using (period_start)").first().n == 1
