@@ -154,7 +154,7 @@ class Star:
     lottery: tuple[str, ...] = LOTTERY
     root: str | None = None
 
-    def _gold(self, df: DataFrame, name: str, day: str) -> DataFrame:
+    def _gold(self, df: DataFrame, name: str, day: str | None = None) -> DataFrame:
         return materialised(df, self.root, name, day) if self.root else df
 
     @cached_property
@@ -195,8 +195,8 @@ class Star:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return dim_date(self.lines, self.as_of)
+        return self._gold(dim_date(self.lines, self.as_of), "dim_date")
 
     @cached_property
     def periods(self) -> DataFrame:
-        return dim_period(self.lines, self.as_of)
+        return self._gold(dim_period(self.lines, self.as_of), "dim_period")

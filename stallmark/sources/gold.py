@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _roots: dict[tuple[str, str], str] = {}
 
@@ -27,11 +28,15 @@ def gold_root(spark: SparkSession, name: str) -> str:
 
 
 def materialised(df: DataFrame, root: str, name: str, day: str | None = None) -> DataFrame:
-    """Drops and rebuilds a gold table and reads it. With a day column, rows of a day lie together, so that file statistics skip other days."""
-    path = f"{root}/{name}"
+    """Drops and rebuilds a gold table and reads it.
+
+    With a day column, rows of a month lie together, sorted by day, so that file statistics skip other days; Spark splits
+    months that are large for one task and joins small ones (rebalance), without a pass to find bounds.
+    """
+    path, out = f"{root}/{name}", df
     if day:
-        df = df.repartitionByRange(day).sortWithinPartitions(day)
-    df.write.mode("overwrite").parquet(path)
+        out = df.withColumn("_month", F.trunc(day, "month")).hint("rebalance", "_month").sortWithinPartitions(day).drop("_month")
+    out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
