@@ -156,7 +156,8 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     tokens = F.slice(F.when(F.col("kind") == VERBATIM, F.col("clean")).otherwise(F.col("template")), F.col("at") + 1, F.col("size"))
     each = each.select("item_id", "kind", "size", "at", F.transform(tokens, lambda x: F.xxhash64(x)).alias("h"))
     each = each.withColumnRenamed("size", "own_size")
-    every = windows_of(each, list(range(1, WINDOW + 1)), "item_id", "kind", "own_size", "at")
+    sizes = [r[0] for r in items.select(F.least(F.lit(WINDOW), F.size("template"))).distinct().collect()]  # at most WINDOW
+    every = windows_of(each, sorted(sizes) or [WINDOW], "item_id", "kind", "own_size", "at")
     return items, every.where("size = own_size").select("item_id", "kind", "size", "at", "w")
 
 
