@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 MASK48 = np.uint64((1 << 48) - 1)
 
 #: Bytes of text that one bucket stands for, and the least number of buckets.
-BUCKET_BYTES, LEAST_BUCKETS = 24 << 20, 16
+BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 16
 
 
 def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, text: str = "text") -> int:
@@ -72,7 +72,10 @@ def by_bucket(rows: DataFrame, buckets: int, merge: Callable[[pa.Table], pa.Tabl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if got:
-            yield from merge(pa.Table.from_batches(got)).to_batches()
+            out = merge(pa.Table.from_batches(got))
+            del got
+            pa.default_memory_pool().release_unused()  # the worker may serve other tasks after this one
+            yield from out.to_batches()
 
     return rows.repartitionById(buckets, "bucket").mapInArrow(run, schema)
 
