@@ -18,6 +18,11 @@ A document is the set of its distinct word shingles (64-bit hashes). Documents l
    leader R the overlap of B and C is at most min(|B R|, |C R|) + min(|B - R|, |C - R|), counted without
    shingles of one document; pairs below the threshold are skipped, the others are verified exactly.
 
+Lists are gathered by hash bucket, a task for each. A list may be long only if its shingle is in more than
+LONGEST documents. Entries of such shingles stay rows: their leader is an aggregate, its comparisons a salted
+join, and step 4 cuts the list into blocks of LONG_BLOCK nodes that meet in groups of their own; what lies in the
+list's largest component is not compared with itself.
+
 Pairs within a component are never expanded, so a group of copies costs a star, and no link
 between different components is lost. Only counters reach the driver.
 
@@ -46,6 +51,10 @@ HELD_SHINGLES = 4_000_000
 #: Nodes of an index list in one block.
 BLOCK = 64
 SALTS = 32
+#: A shingle of more documents than this has its list spread over tasks, in blocks of this many nodes.
+LONGEST, LONG_BLOCK = 20_000, 4096
+#: The fields of an entry of an index list.
+FIELDS = ("node", "n", "rare", "place", "central", "component", "leader", "overlap")
 _MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -81,8 +90,8 @@ def least_of_self(n: np.ndarray) -> np.ndarray:
     return -(-NUMERATOR * n // DENOMINATOR)
 
 
-def shared_shingles(docs: DataFrame, buckets: int, words: int = WORDS) -> Arrays:
-    """Step 1: the shingles (48 bits) in two documents or more, with their frequency.
+def shared_shingles(docs: DataFrame, buckets: int, words: int = WORDS, longest: int = LONGEST) -> tuple[Arrays, int]:
+    """Step 1: the shingles (48 bits) in two documents or more, with their frequency; and how many are in more than `longest`.
 
     A clash of two shingles in 48 bits only makes a list longer; sets are compared by 64 bits.
     """
@@ -119,10 +128,11 @@ def shared_shingles(docs: DataFrame, buckets: int, words: int = WORDS) -> Arrays
         s, n = s[first], np.add.reduceat(n, first)
         bucket = got.column("bucket")[0].as_py()
         save(folder, str(bucket), key=s[n > 1], count=smallest(n[n > 1]))
-        return pa.table([pa.array([bucket])], names=["n"])
+        return pa.table([pa.array([bucket]), pa.array([int((n > longest).sum())])], names=["n", "frequent"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, shingle binary, n binary")
-    return Arrays(folder, buckets, [r.n for r in by_bucket(packed, buckets, merge, "n long").collect()])
+    done = by_bucket(packed, buckets, merge, "n long, frequent long").collect()
+    return Arrays(folder, buckets, [r.n for r in done]), sum(r.frequent for r in done)
 
 
 def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFrame:
@@ -167,29 +177,105 @@ def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFra
     return own.mapInArrow(run, "doc_id long, n_shingles long, node long, rare long, central long, shingles binary")
 
 
-def index_lists(nodes: DataFrame, buckets: int) -> DataFrame:
-    """Prefix entries packed by hash bucket. nodes: node, n, rare, central, shingles, component, leader, overlap (the last three may be null)."""
+def _prefixes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix shingles of a batch of nodes, ascending, and the FIELDS of each."""
+    node, n, rare, central, comp, leader, overlap = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in FIELDS if c != "place")
+    length = n - least_of_self(n) + 1 - rare
+    sets = [np.frombuffer(x, "<u8") for x in batch.column("shingles").to_pylist()]
+    take = np.minimum(length, [len(x) for x in sets])
+    entries = np.concatenate([x[:k] for x, k in zip(sets, take)])
+    owner = np.repeat(np.arange(len(node)), take)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(take) - take, take) + rare[owner]
+    order = np.argsort(entries)
+    o = owner[order]
+    return entries[order], np.stack([node[o], n[o], rare[o], place[order], central[o], comp[o], leader[o], overlap[o]])
+
+
+def _frequent(entries: np.ndarray, known: Arrays, longest: int) -> np.ndarray:
+    """Whether each shingle is in more than `longest` documents."""
+    low = entries & MASK48
+    order = np.argsort(low)
+    out = np.zeros(len(low), bool)
+    out[order] = known.lookup(low[order], bucket48(low[order], known.buckets), ("count",))[1] > longest
+    return out
+
+
+def index_lists(nodes: DataFrame, buckets: int, known: Arrays | None = None, longest: int = LONGEST) -> DataFrame:
+    """Prefix entries packed by hash bucket, with `known` without those of frequent shingles. nodes: node, n, rare, central, shingles, component, leader, overlap (the last three may be null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, rare, central, comp, leader, overlap = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("node", "n", "rare", "central", "component", "leader", "overlap"))
-            length = n - least_of_self(n) + 1 - rare
-            sets = [np.frombuffer(x, "<u8") for x in batch.column("shingles").to_pylist()]
-            take = np.minimum(length, [len(x) for x in sets])
-            entries = np.concatenate([x[:k] for x, k in zip(sets, take)])
-            owner = np.repeat(np.arange(len(node)), take)
-            place = np.arange(len(owner)) - np.repeat(np.cumsum(take) - take, take) + rare[owner]
-            order = np.argsort(entries)
-            entries, owner, place = entries[order], owner[order], place[order]
-            bucket = bucket64(entries, buckets)
-            rows = []
-            for b, lo, hi in ranges(bucket):
-                o = owner[lo:hi]
-                rows.append((b, entries[lo:hi].tobytes(), np.stack([node[o], n[o], rare[o], place[lo:hi], central[o], comp[o], leader[o], overlap[o]]).tobytes()))
+            entries, fields = _prefixes(batch)
+            if known is not None:
+                short = ~_frequent(entries, known, longest)
+                entries, fields = entries[short], fields[:, short]
+            rows = [(b, entries[lo:hi].tobytes(), fields[:, lo:hi].tobytes()) for b, lo, hi in ranges(bucket64(entries, buckets))]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((), (), ()), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "entry", "fields"])
 
-    kept = nodes.select("node", "n", "rare", "central", "shingles", "component", "leader", "overlap")
-    return kept.mapInArrow(run, "bucket int, entry binary, fields binary")
+    return nodes.select("shingles", *(c for c in FIELDS if c != "place")).mapInArrow(run, "bucket int, entry binary, fields binary")
+
+
+def long_lists(nodes: DataFrame, known: Arrays, longest: int = LONGEST) -> DataFrame:
+    """The entries that index_lists leaves out: a row of entry and FIELDS for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries, fields = _prefixes(batch)
+            long = _frequent(entries, known, longest)
+            yield pa.RecordBatch.from_arrays([pa.array(entries[long].astype(np.int64)), *map(pa.array, fields[:, long])], names=["entry", *FIELDS])
+
+    return nodes.select("shingles", *(c for c in FIELDS if c != "place")).mapInArrow(run, "entry long, " + ", ".join(f"{c} long" for c in FIELDS))
+
+
+def _beside(entries: DataFrame, lists: DataFrame) -> DataFrame:
+    """The entries joined with a row for each list; a list's entries lie in SALTS partitions."""
+    salted = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["entry", "salt"]).drop("salt")
+
+
+def long_star_pairs(entries: DataFrame) -> DataFrame:
+    """Step 3 for long lists: a, b as of star_pairs."""
+    first = F.max_by(F.struct("node", "n", "place"), F.struct("central", F.bitwise_not("node"))).alias("head")
+    each = _beside(entries, entries.groupBy("entry").agg(first))
+    enough = (NUMERATOR + DENOMINATOR) * F.least(F.col("n") - F.col("place"), F.expr("head.n - head.place")) >= NUMERATOR * (F.col("n") + F.col("head.n"))
+    return each.where((F.col("node") != F.col("head.node")) & enough).select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+
+
+def long_cross_pairs(entries: DataFrame, block: int = LONG_BLOCK) -> DataFrame:
+    """Steps 4 and 5 for long lists: every node outside a list's largest component meets all of the list, block by block."""
+    parts = entries.groupBy("entry", "component").agg(F.count("*").alias("nodes"))
+    lists = parts.groupBy("entry").agg(F.sum("nodes").alias("nodes"), F.max("nodes").alias("most"), F.max_by("component", F.struct("nodes", "component")).alias("main"))
+    lists = lists.where("most < nodes")  # else the whole list is answered
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    lists = lists.select("entry", "main", blocks(F.col("nodes") - F.col("most")).alias("minor_blocks"), blocks(F.col("nodes")).alias("all_blocks"))
+    each = _beside(entries, lists)
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keep = ["entry", *FIELDS]
+    minor = each.where("component <> main").select(*keep, F.lit(True).alias("minor"), own("minor_blocks").alias("i"), every("all_blocks").alias("j"))
+    rest = each.select(*keep, F.lit(False).alias("minor"), every("minor_blocks").alias("i"), own("all_blocks").alias("j"))
+    return minor.union(rest).groupBy("entry", "i", "j").applyInArrow(block_pairs, "a long, b long")
+
+
+def block_pairs(got: pa.Table) -> pa.Table:
+    """The pairs of two blocks of a list, across components, that sizes, places and known answers leave open."""
+    minor = got.column("minor").to_numpy(zero_copy_only=False).astype(bool)
+    fields = np.stack([got.column(c).to_numpy() for c in FIELDS])
+    own, others = fields[:, minor], fields[:, ~minor]
+    node, n, rare, place, _, comp, leader, overlap = others[:, np.argsort(others[1], kind="stable")]
+    found = []
+    for node_i, n_i, rare_i, place_i, _, comp_i, leader_i, overlap_i in own.T:
+        lo, hi = np.searchsorted(n, least_of_self(n_i)), np.searchsorted(n, n_i * DENOMINATOR // NUMERATOR, "right")
+        j = slice(lo, hi)
+        need = least_overlap(n_i, n[j])
+        can = (comp[j] != comp_i) & (np.minimum(n_i - place_i, n[j] - place[j]) >= need)
+        if leader_i:
+            bound = np.minimum(overlap_i, overlap[j]) + np.minimum(n_i - rare_i - overlap_i, n[j] - rare[j] - overlap[j])
+            can &= (leader[j] != leader_i) | (bound >= need)
+        if can.any():
+            other = node[j][can]
+            found.append(np.stack([np.minimum(node_i, other), np.maximum(node_i, other)]))
+    return _pairs(found)
 
 
 def _lists(got: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
@@ -287,10 +373,11 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").mapInArrow(run, "a long, b long, overlap long, link boolean")
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = WORDS, longest: int = LONGEST, block: int = LONG_BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
     buckets = bucket_count(docs)
-    sets = written(document_sets(docs, shared_shingles(docs, buckets, words), words), "sets")
+    shared, frequent = shared_shingles(docs, buckets, words, longest)
+    sets = written(document_sets(docs, shared, words), "sets")
     live = sets.where("node is not null")
     # Copies meet in tasks first: one row with shingles for each node and task.
     least = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -298,7 +385,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     nodes = written(bodies, "nodes")
 
     none = nodes.withColumns({c: F.lit(None).cast("long") for c in ("component", "leader", "overlap")})
-    stars = by_bucket(index_lists(none, buckets), buckets, star_pairs, "a long, b long").distinct()
+    apart = shared if frequent else None  # without frequent shingles no list is long
+    stars = by_bucket(index_lists(none, buckets, apart, longest), buckets, star_pairs, "a long, b long")
+    if frequent:
+        stars = stars.union(long_star_pairs(written(long_lists(none, shared, longest), "long")))
+    stars = stars.distinct()
     checked = written(verified(stars, nodes), "stars")
     components = connected_components(checked.where("link"))
     leaders = checked.groupBy("b").agg(F.max_by(F.struct("a", "overlap"), F.struct("overlap", "a")).alias("l")).select(F.col("b").alias("node"), F.col("l.a").alias("leader"), F.col("l.overlap").alias("overlap"))
@@ -309,7 +400,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         "overlap": F.when(F.col("is_head"), F.col("n") - F.col("rare")).otherwise(F.col("overlap")),
         "leader": F.when(F.col("is_head"), F.col("node")).otherwise(F.col("leader")),
     })
-    crossing = by_bucket(index_lists(known, buckets), buckets, cross_pairs, "a long, b long").distinct()
+    crossing = by_bucket(index_lists(known, buckets, apart, longest), buckets, cross_pairs, "a long, b long")
+    if frequent:
+        crossing = crossing.union(long_cross_pairs(written(long_lists(known, shared, longest), "long"), block))
+    crossing = crossing.distinct()
     crossing = crossing.join(checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = verified(crossing, nodes).where("link").select("a", "b")
     links = checked.where("link").select("a", "b").union(more)

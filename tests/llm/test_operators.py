@@ -3,11 +3,13 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stallmark.llm import decontamination, hash_arrays, kneser_ney, packing, quality, set_join, sharding, suffix_dedup, top_k, toxicity, url_filter
@@ -55,9 +57,10 @@ def by_id(df):
     return {r.doc_id: r for r in df.collect() if r.doc_id is not None}
 
 
-def test_jaccard_components(docs, empty):
+def brute_components(all_texts):
+    """n_shingles and component of each text, by comparing all pairs."""
     sets = {}
-    for k, t in enumerate(texts()):
+    for k, t in enumerate(all_texts):
         w = WORD.findall(lower(t or ""))
         sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
     parent = {k: k for k in sets}
@@ -72,12 +75,58 @@ def test_jaccard_components(docs, empty):
             if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
+    return {k: (len(s), root(k)) for k, s in sets.items()}
+
+
+def test_jaccard_components(docs, empty):
     got = by_id(set_join.jaccard_components(docs))
-    assert {k: (r.n_shingles, r.component_id) for k, r in got.items()} == {k: (len(s), root(k)) for k, s in sets.items()}
+    assert {k: (r.n_shingles, r.component_id) for k, r in got.items()} == brute_components(texts())
     assert set_join.jaccard_components(docs).count() == docs.count()
     assert set_join.jaccard_components(empty).count() == 0
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    """Families that share a passage: lists that span components, long ones at `longest` = 3, cut into blocks of two or more nodes."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    passage = [word() for _ in range(40)]
+    family = []
+    for _ in range(6):
+        tail = [word() for _ in range(16)]
+        for _ in range(7):
+            own = list(tail)
+            for _ in range(rng.randrange(3)):
+                own[rng.randrange(len(own))] = word()
+            family.append(" ".join(passage + own + [word() for _ in range(rng.randrange(6))]))
+    family += [family[3]] * 3 + [None, ""]
+    want = brute_components(family)
+    assert 6 < len({c for _, c in want.values()}) < len(family) - 5
+    docs = spark.createDataFrame(list(enumerate(family)), "doc_id long, text string").repartition(3)
+    for longest, block in ((3, 2), (5, 16)):
+        got = by_id(set_join.jaccard_components(docs, longest=longest, block=block))
+        assert {k: (r.n_shingles, r.component_id) for k, r in got.items()} == want, (longest, block)
+
+
+def test_long_lists_give_the_pairs_of_short_ones(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for entry, components in ((-7, 4), (9, 1), (11, 2)):
+        for node in rng.permutation(200)[:60] - 100:
+            n = int(rng.integers(20, 34))
+            rare, main = int(rng.integers(0, 3)), rng.random() < 0.6
+            rows.append((entry, int(node), n, rare, int(rng.integers(rare, 7)), int(rng.integers(0, 4)), 1 if main else int(rng.integers(1, components + 1)), int(rng.integers(0, 3)), int(rng.integers(15, n - rare))))
+    fields = np.array(rows, np.int64).T
+    packed = pa.table([pa.array([fields[0].astype("<i8").tobytes()]), pa.array([fields[1:].tobytes()])], names=["entry", "fields"])
+    pairs = lambda t: set(zip(*(t.column(c).to_pylist() for c in "ab")))
+    entries = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ("entry", *set_join.FIELDS)))
+    stars, crossing = pairs(set_join.star_pairs(packed)), pairs(set_join.cross_pairs(packed))
+    assert stars and 100 < len(crossing) < 60 * 59
+    assert {tuple(r) for r in set_join.long_star_pairs(entries).collect()} == stars
+    for block in (3, 1000):
+        assert {tuple(r) for r in set_join.long_cross_pairs(entries, block).collect()} == crossing
+    assert set_join.long_cross_pairs(entries.where("entry = 9")).count() == 0
+
+
 def brute_removed(all_texts, n=50):
     first, out = {}, {}
     data = {k: (t or "").encode() for k, t in enumerate(all_texts)}
