@@ -57,11 +57,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of("packing").best_fit(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("merkle").verified(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("chat").chat_formatting(table(spark, sf_dir, "conversations"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of("alignment").cross_alignment(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_top_k, op3_quality, op4_jaccard_join, op5_suffix_dedup, op6_url_filter, op7_sharding, op8_decontamination, op9_lm_scoring, op10_packing)
+    own += (op11_merkle_manifest, op12_chat_formatting, op13_alignment)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    modules = {"op2_top_k": "top_k", "op4_jaccard_join": "set_join", "op5_suffix_dedup": "suffix_dedup", "op6_url_filter": "url_filter"}
-    return {name: _of(module).ORACLE_SQL for name, module in modules.items()}
+    modules = {"op2_top_k": "top_k", "op4_jaccard_join": "set_join", "op5_suffix_dedup": "suffix_dedup", "op6_url_filter": "url_filter", "op12_chat_formatting": "chat"}
+    return {name: _of(module).ORACLE_SQL for name, module in modules.items()} | {"op11_merkle_manifest": _of("merkle").oracle_sql()}
