@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +73,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def file_place(df: DataFrame) -> Column | None:
+    """Where a row lies: the hash of its file and its number there, the same however files are split; None if df is not read from Parquet files."""
+    try:
+        own = df.metadataColumn("_metadata")
+        place = F.struct(F.xxhash64(own["file_path"]).alias("file"), own["row_index"].alias("at"))
+        df.select(place)  # names are resolved here
+    except AnalysisException:
+        return None
+    return place
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts

@@ -9,9 +9,11 @@ alignment does not count. Numbers are parameters of their own: two that were equ
 reverse. A document is contaminated by an item if consistent alignments match at least MIN_WINDOWS of its
 windows (or all, if it has fewer).
 
-Benchmark windows with fewer than MIN_LITERALS ordinary tokens match too easily as templates: they are joined by
-their tokens as written, so verbatim copies of them count. An item without any other window is also found by its
-whole template (joined by its window with most ordinary tokens, then compared in full) if that holds at least
+Copies as written are found whatever their letter case (a title-cased copy has other names): windows of the lower-cased
+tokens, without placeholders, are hashed in the same pass over the texts and joined with those of all items.
+
+Benchmark windows with fewer than MIN_LITERALS ordinary tokens match too easily as templates: only their tokens as
+written count. An item without any other window is also found by its whole template (joined by its window with most ordinary tokens, then compared in full) if that holds at least
 MIN_ITEM_LITERALS of them, and then its numbers too must be consistent, as there are few words to go by; with
 fewer, any row of numbers would be a match and only verbatim copies count. An
 item with fewer than WINDOW tokens is one window. The benchmark is broadcast only if its counted windows
@@ -42,8 +44,8 @@ UNITS = (
     "yards", "acres", "gallons", "ounces", "pints", "tons", "tonnes", "kilometers", "kilometres", "kilograms", "volts", "watts",
 )
 
-#: How a benchmark window is joined: as a template, as written, or as the anchor of a whole item's template.
-TEMPLATE, VERBATIM, ANCHOR = 0, 1, 2
+#: How a benchmark window is joined: as a template, by its lower-cased tokens, or as the anchor of a whole item's template.
+TEMPLATE, LITERAL, ANCHOR = 0, 1, 2
 
 #: Placeholders, from a private range of characters.
 _NUMBER, _NAME, _UNIT = "\ue001", "\ue002", "\ue003"
@@ -93,37 +95,35 @@ def templated(rows: DataFrame, key: str) -> DataFrame:
     return arrays_of(rows, key).select(key, F.transform("clean", lambda w: F.lower(w)).alias("words"), "template")
 
 
-def token_hashes(rows: DataFrame, key: str, verbatim: bool = False) -> DataFrame:
-    """key, h: the hashes of the template's tokens, or of the tokens as written; of each name its first word only."""
+def token_hashes(rows: DataFrame, key: str) -> DataFrame:
+    """key, template and literal: the hashes of the template's tokens (of each name its first word only) and of all lower-cased tokens."""
     none, name = F.xxhash64(F.lit("")), F.xxhash64(F.lit(_NAME))
-    if verbatim:
-        both = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.struct(F.xxhash64(canonical(w, i)).alias("t"), F.xxhash64(w).alias("w"))))
-        both = both.select(key, F.filter("h", lambda x: x["w"] != none).alias("h"))
-        both = both.select(key, F.filter("h", lambda x, i: (x["t"] != name) | F.coalesce(F.get("h", i - 1)["t"] != name, F.lit(True))).alias("h"))
-        return both.select(key, F.transform("h", lambda x: x["w"]).alias("h"))
-    own = tokenised(rows, key).withColumn("h", F.transform("clean", lambda w, i: F.xxhash64(canonical(w, i))))
-    own = own.select(key, F.array_remove("h", none).alias("h"))
-    return own.select(key, F.filter("h", lambda x, i: (x != name) | F.coalesce(F.get("h", i - 1) != name, F.lit(True))).alias("h"))
+    both = F.transform("clean", lambda w, i: F.struct(F.xxhash64(canonical(w, i)).alias("t"), F.xxhash64(F.lower(w)).alias("l")))
+    own = tokenised(rows, key).select(key, both.alias("h"))
+    own = own.select(key, F.array_remove(F.col("h.t"), none).alias("t"), F.array_remove(F.col("h.l"), none).alias("literal"))
+    return own.select(key, F.filter("t", lambda x, i: (x != name) | F.coalesce(F.get("t", i - 1) != name, F.lit(True))).alias("template"), "literal")
 
 
-def windows_of(rows: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
-    """size, place, w for each window of the sizes over the token hashes h: one pass, whatever the number of sizes.
+def windows_of(rows: DataFrame, sizes: dict[str, list[int]], *keep: str) -> DataFrame:
+    """literal, size, place, w for each window of the sizes over the named columns of token hashes: one pass, whatever the number of sizes.
 
-    A window's hash is built by doubling (two tokens, four, eight): each step reads one more place. The outer
-    explode and the late filter keep Spark from deriving a filter that would compute the arrays again.
+    A window's hash is built by doubling (two tokens, four, eight): each step reads one more place. Windows of one column
+    and size are one array; all are exploded together. The outer explode and the late filter keep Spark from
+    deriving a filter that would compute the arrays again.
     """
-    own = rows.select(*keep, F.col("h").alias("h1"), F.size("h").alias("n"))
     half = lambda k: 1 << ((k - 1).bit_length() - 1) if k > 1 else 0
-    done = 1
-    while done < max(half(k) for k in sizes):
-        own, done = own.withColumn(f"h{2 * done}", _doubled(f"h{done}", done)), 2 * done
-    whole = {k: _doubled(f"h{half(k)}", k - half(k)) if k > 1 else F.col("h1") for k in sizes}
-    if len(sizes) == 1:
-        each = own.select(*keep, "n", F.lit(sizes[0]).alias("size"), F.posexplode_outer(whole[sizes[0]]).alias("place", "w"))
-    else:
-        told = lambda k: F.transform(whole[k], lambda w, i: F.struct(F.lit(k).alias("size"), i.alias("place"), w.alias("w")))
-        each = own.select(*keep, "n", F.explode_outer(F.concat(*map(told, sizes))).alias("x")).select(*keep, "n", "x.*")
-    return each.where(F.col("place") <= F.col("n") - F.col("size")).select(*keep, "size", "place", "w")
+    own, each = rows, []
+    for column, wanted in sizes.items():
+        own, done = own.withColumn(f"{column}1", F.col(column)), 1
+        while done < max(half(k) for k in wanted):
+            own, done = own.withColumn(f"{column}{2 * done}", _doubled(f"{column}{done}", done)), 2 * done
+        for k in wanted:
+            whole = _doubled(f"{column}{half(k)}", k - half(k)) if k > 1 else F.col(f"{column}1")
+            told = F.struct(F.lit(column == "literal").alias("literal"), F.lit(k).alias("size"), F.size(column).alias("n"), whole.alias("ws"))
+            each.append(told)
+    runs = own.select(*keep, F.explode(F.array(*each)).alias("x")).select(*keep, "x.*")
+    out = runs.select(*keep, "literal", "size", "n", F.posexplode_outer("ws").alias("place", "w"))
+    return out.where(F.col("place") <= F.col("n") - F.col("size")).select(*keep, "literal", "size", "place", "w")
 
 
 def _doubled(h: str, step: int) -> Column:
@@ -148,40 +148,40 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = each.join(best, text)
     kinds = F.array_compact(
         F.array(
-            F.when(F.col("usable"), TEMPLATE).otherwise(VERBATIM),
+            F.when(F.col("usable"), TEMPLATE),
             F.when(~F.col("any") & (F.col("at") == F.col("best")) & (F.col("item_literals") >= MIN_ITEM_LITERALS), ANCHOR),
         )
     )
-    each = each.select("item_id", "template", "clean", "size", "at", F.explode(kinds).alias("kind"))
-    tokens = F.slice(F.when(F.col("kind") == VERBATIM, F.col("clean")).otherwise(F.col("template")), F.col("at") + 1, F.col("size"))
-    each = each.select("item_id", "kind", "size", "at", F.transform(tokens, lambda x: F.xxhash64(x)).alias("h"))
-    each = each.withColumnRenamed("size", "own_size")
-    sizes = [r[0] for r in items.select(F.least(F.lit(WINDOW), F.size("template"))).distinct().collect()]  # at most WINDOW
-    every = windows_of(each, sorted(sizes) or [WINDOW], "item_id", "kind", "own_size", "at")
-    return items, every.where("size = own_size").select("item_id", "kind", "size", "at", "w")
+    each = each.select("item_id", "template", "size", "at", F.explode(kinds).alias("kind"))
+    tokens = F.slice("template", F.col("at") + 1, F.col("size"))
+    each = each.select("item_id", "kind", "at", F.col("size").alias("own_size"), F.transform(tokens, lambda x: F.xxhash64(x)).alias("template"))
+    every = windows_of(each, {"template": list(range(1, WINDOW + 1))}, "item_id", "kind", "own_size", "at")
+    every = every.where("size = own_size").select("item_id", "kind", "size", "at", "w")
+    written_out = token_hashes(repeated, "item_id").select("item_id", "literal", F.least(F.lit(WINDOW), F.size("literal")).alias("own_size"))
+    written_out = windows_of(written_out, {"literal": list(range(1, WINDOW + 1))}, "item_id", "own_size").where("size = own_size")
+    return items, every.unionByName(written_out.select("item_id", F.lit(LITERAL).alias("kind"), "size", F.col("place").alias("at"), "w"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows of every contamination."""
     items, windows = benchmark_windows(benchmark)
     windows = written(windows, "benchmark")
-    sizes = [(r["verbatim"], r["size"], r["n"]) for r in windows.groupBy((F.col("kind") == VERBATIM).alias("verbatim"), "size").agg(F.count("*").alias("n")).collect()]  # at most 2 * WINDOW rows
-    of = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
-    usable = windows.groupBy("item_id").agg(of(TEMPLATE).alias("usable"), F.count(F.when(F.col("kind") != ANCHOR, 1)).alias("every"))
-    found = None
-    for verbatim in (False, True):
-        own_sizes = [(k, n) for v, k, n in sizes if v == verbatim]
-        if not own_sizes:
-            continue
-        own = windows.where((F.col("kind") == VERBATIM) == F.lit(verbatim)).select("item_id", "kind", F.col("size").alias("own_size"), "at", "w")
-        each = windows_of(token_hashes(docs, "doc_id", verbatim), sorted(k for k, _ in own_sizes), "doc_id")
-        part = each.join(broadcast_if_small(own, sum(n for _, n in own_sizes), BROADCAST_ROWS), "w").where("size = own_size")
-        part = part.select("doc_id", "item_id", "kind", (F.col("place") - F.col("at")).alias("shift"), "at", "size")
-        found = part if found is None else found.union(part)
-    if found is None:
+    literal = F.col("kind") == LITERAL
+    counted = windows.groupBy(literal.alias("literal"), "size").agg(F.count("*").alias("n")).collect()  # at most 2 * WINDOW rows
+    if not counted:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long")
-    aligned = found.groupBy("doc_id", "item_id", "kind", "shift", "size").agg(F.collect_set("at").alias("ats"))
-    aligned = written(aligned, "aligned")
+    n_windows = sum(r.n for r in counted)
+    sizes = {name: sorted(r["size"] for r in counted if r.literal == is_literal) for name, is_literal in (("template", False), ("literal", True))}
+    of = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
+    usable = windows.groupBy("item_id").agg(of(TEMPLATE).alias("usable"), of(LITERAL).alias("every"))
+    own = windows.select("item_id", "kind", literal.alias("own_literal"), F.col("size").alias("own_size"), "at", "w")
+    each = windows_of(token_hashes(docs, "doc_id"), {k: v for k, v in sizes.items() if v}, "doc_id")
+    found = each.join(broadcast_if_small(own, n_windows, BROADCAST_ROWS), "w").where("size = own_size and literal = own_literal")
+    # Of a literal window it only counts that it is there, wherever.
+    shift = F.when(F.col("kind") == LITERAL, 0).otherwise(F.col("place") - F.col("at")).alias("shift")
+    aligned = found.select("doc_id", "item_id", "kind", shift, "at", "size").groupBy("doc_id", "item_id", "kind", "shift", "size").agg(F.collect_set("at").alias("ats"))
+    all_aligned = written(aligned, "aligned")
+    aligned = all_aligned.where(F.col("kind") != LITERAL)
 
     ids = written(aligned.select("doc_id").distinct(), "matched")
     few = broadcast_if_small(ids, ids.count(), BROADCAST_ROWS)
@@ -199,12 +199,16 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # Consistent: as many pairs as values on either side.
     sides = [F.size(F.array_distinct(F.col(f"pairs.{s}"))) for s in ("item", "doc")]
     good = full.where((F.size("pairs") == sides[0]) & (F.size("pairs") == sides[1]))
-    at = good.select("doc_id", "item_id", "kind", F.explode("ats").alias("at")).groupBy("doc_id", "item_id")
-    total = at.agg(F.countDistinct("at").alias("n_windows"), F.countDistinct(F.when(F.col("kind") == TEMPLATE, F.col("at"))).alias("templates"), F.max(F.col("kind") == ANCHOR).alias("whole"))
-    total = total.join(F.broadcast(usable) if sum(r[-1] for r in sizes) <= BROADCAST_ROWS else usable, "item_id")
+    ats = good.select("doc_id", "item_id", "kind", "ats").union(all_aligned.where(literal).select("doc_id", "item_id", "kind", "ats"))
+    at = ats.select("doc_id", "item_id", "kind", F.explode("ats").alias("at")).groupBy("doc_id", "item_id")
+    total = at.agg(
+        F.countDistinct(F.when(~literal, F.col("at"))).alias("by_template"), F.countDistinct(F.when(F.col("kind") == TEMPLATE, F.col("at"))).alias("templates"),
+        F.countDistinct(F.when(literal, F.col("at"))).alias("literals"), F.max(F.col("kind") == ANCHOR).alias("whole"),
+    )
+    total = total.join(F.broadcast(usable) if n_windows <= BROADCAST_ROWS else usable, "item_id")
     by_template = (F.col("usable") > 0) & (F.col("templates") >= F.least(F.lit(MIN_WINDOWS), F.col("usable")))
-    by_all = F.col("n_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("every"))
-    return total.where(by_template | by_all | F.col("whole")).select("doc_id", "item_id", "n_windows")
+    by_literal = F.col("literals") >= F.least(F.lit(MIN_WINDOWS), F.col("every"))
+    return total.where(by_template | by_literal | F.col("whole")).select("doc_id", "item_id", F.greatest("by_template", "literals").alias("n_windows"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

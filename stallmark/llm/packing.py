@@ -155,7 +155,9 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BI
 
 
 def sequences(docs: DataFrame, placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The packed sequences themselves: (sequence_id, ids), from documents with unique ids and their placement."""
+    """The packed sequences themselves: (sequence_id, ids), from documents and their placement; ids that occur twice are refused."""
+    if not placed.groupBy("doc_id", "piece").count().where("count > 1 or doc_id is null").isEmpty():
+        raise ValueError("pieces meet their ids by doc_id: give every document an id of its own")
     ids = pieces(docs, capacity, with_ids=True).select("doc_id", "piece", "ids")
     joined = placed.select("doc_id", "piece", "sequence_id", "offset").join(ids, ["doc_id", "piece"])
     rows = F.array_sort(F.collect_list(F.struct("offset", "ids")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import free_name, shared_folder, written
+from .common import file_place, free_name, shared_folder, written
 
 BLOCKS = 4096
 OLD_SHARDS = 12
@@ -61,13 +61,18 @@ def even(total: int, parts: int) -> list[int]:
 
 
 def reshard(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW_SHARDS, blocks: int = BLOCKS, capacities: list[int] | None = None) -> DataFrame:
-    """row (its number), doc_id, size, text_crc32, old_shard, shard, slot for every row; see the module's text."""
+    """row (its number), doc_id, size, text_crc32, old_shard, shard, slot and place for every row; see the module's text.
+
+    place is where the row lies in its file (common.file_place), null if docs is not read from Parquet files.
+    """
+    place = file_place(docs)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.monotonically_increasing_id().alias("row"),
+        (F.lit(None).cast("struct<file:long,at:long>") if place is None else place).alias("place"),
     )
     rows = written(rows, "rows").withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
     order = W.partitionBy("block").orderBy("row")
@@ -109,21 +114,31 @@ def reshard(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int = NEW
         at_[shard] = at_.get(shard, 0) + n
     base_df = spark.createDataFrame(base, "shard int, block int, base long")
     out = moved.join(F.broadcast(base_df), ["shard", "block"])
-    return out.select("row", "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rn")).alias("slot"))
+    return out.select("row", "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("base") + F.col("rn")).alias("slot"), "place")
 
 
 def rewrite_affected(docs: DataFrame, placed: DataFrame, out: str | None = None) -> str:
     """Writes, by shard, the files of every shard whose rows change; unaffected shards keep theirs.
 
-    Rows meet their places by their number, so rows without an id and repeated rows are written once each;
-    docs must be the table that was placed, read from files as then.
+    Rows meet their places by where they lie in their Parquet files, so rows without an id and repeated rows are written
+    once each, and files may be split in another way than when they were placed. Rows that come from elsewhere
+    meet by their number, which holds only while they are dealt out as then. What was written is read
+    again: a shard whose rows or texts (count, sum of the crc32) are not those that were placed is an error.
     """
     out = out or shared_folder(docs.sparkSession, "shards")
     changed = placed.where("shard <> old_shard")
     affected = changed.select("shard").union(changed.select(F.col("old_shard").alias("shard"))).distinct()  # at most old and new shards
     target = placed.join(F.broadcast(affected), "shard", "left_semi")
-    own = {c: free_name(docs, c) for c in ("row", "shard", "slot")}
-    target = target.select(*(F.col(c).alias(to) for c, to in own.items()))
-    rows = docs.withColumn(own["row"], F.monotonically_increasing_id()).join(target, own["row"]).drop(own["row"])
+    place = file_place(docs)
+    by = "row" if place is None or not placed.where("place is null").isEmpty() else "place"
+    own = {c: free_name(docs, c) for c in (by, "shard", "slot")}
+    met = target.select(*(F.col(c).alias(to) for c, to in own.items()))
+    rows = docs.withColumn(own[by], F.monotonically_increasing_id() if by == "row" else place).join(met, own[by]).drop(own[by])
     rows.repartition(own["shard"], F.floor(F.col(own["slot"]) / 100_000)).write.partitionBy(own["shard"]).parquet(out)
+    sums = lambda crc: (F.count("*").alias("n"), F.sum(crc).alias("crc"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    want = {tuple(r) for r in target.groupBy("shard").agg(*sums("text_crc32")).collect()}  # a row for each new shard
+    got = {tuple(r) for r in docs.sparkSession.read.schema(rows.schema).parquet(out).groupBy(own["shard"]).agg(*sums(F.crc32(text))).collect()} if want else want
+    if got != want:
+        raise RuntimeError(f"{out} does not hold the rows that were placed: shards {sorted(x[0] for x in got ^ want)} (shard, rows, crc32 sums) differ")
     return out
