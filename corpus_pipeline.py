@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), returns a DataFrame, and works on all that the stage before
 kept; run() writes each result as Parquet to the shared folder and reads it for the next. Stages add
 their own columns under names that docs does not have, so any further column passes through; only doc_id and
-text must be there. docs must come from files, as run() gives it: rows are told apart by their place there.
+text must be there. Where rows must be told apart they are numbered once, in a stored copy.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of any length are compared whole; an empty table stays empty.
     """
     row = free_name(docs, "row")
-    keyed = docs.withColumn(row, F.monotonically_increasing_id())
+    keyed = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")  # one number, whatever reads it and however often
     found = written(set_join.jaccard_components(keyed.select(F.col(row).alias("doc_id"), "text")), "components")
     linked = found.where("component_id < doc_id").select(F.col("doc_id").alias("member"), F.col("component_id").alias("in_group"))
     linked = linked.unionByName(linked.select(F.col("in_group").alias("member"), "in_group").distinct())
