@@ -4,59 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.scalar import surrogate_key
+from ..sources.versions import HASHES, Segment, VersionedTable, content_hashes
 
 LOOKBACK_DAYS = 7
+#: Rows of changes (or closed versions) that lie beside their files until they are folded in, as a share of the rows there.
+FOLD_SHARE = 0.2
+BROADCAST_ROWS = 200_000
 TRACKED = ("item_name", "variation_name", "category_name", "price_cents", "sku", "is_deleted")
 
 
-class VersionedTable:
-    """A Parquet table whose content changes at once.
-
-    A version is a folder of its own; when it is whole, a numbered pointer file appears by a rename. The table is
-    what the pointer with the largest number names, so a writer that dies leaves the last version in
-    place, and of two writers that begin from one version the second is refused.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/pointers")
-        self._fs = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _file(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(self._folder, name)
-
-    def version(self) -> int:
-        """The number of the newest version, 0 if there is none."""
-        if not self._fs.exists(self._folder):
-            return 0
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._folder)]
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def current(self) -> DataFrame | None:
-        n = self.version()
-        if not n:
-            return None
-        name = self.spark.read.text(self._file(f"{n:012d}").toString()).first().value
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def publish(self, df: DataFrame, after: int | None = None) -> None:
-        """Makes df the content, as the version that follows `after` (the newest one if not given)."""
-        n = (self.version() if after is None else after) + 1
-        name = f"version-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{name}")
-        part, pointer = self._file(f".{name}"), self._file(f"{n:012d}")
-        out = self._fs.create(part, False)
-        out.write(bytearray(name.encode()))
-        out.close()
-        if self._fs.exists(pointer) or not self._fs.rename(part, pointer):
-            raise FileExistsError(f"version {n} of {self.path} is already there: another writer was faster")
-
-
 def merge_delta(target: DataFrame, source: DataFrame, updated: str = "order_updated_at", lookback: int = LOOKBACK_DAYS) -> DataFrame:
     """The source rows to merge: not dated, or from `lookback` days before the target's latest update on.
 
@@ -74,26 +37,131 @@ def merge(target: DataFrame, source: DataFrame, key: str = "order_line_key", upd
     return kept.unionByName(delta, allowMissingColumns=True).select(*source.columns)
 
 
-def incremental(table: VersionedTable, source: DataFrame, full_refresh: bool = False) -> DataFrame:
-    """Merges into a stored table, or rebuilds it; the table's new content."""
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def replaced(table: VersionedTable, segments: list[Segment], schema: StructType, rows: DataFrame, key: str) -> list[Segment]:
+    """The segments after rows took the place of those of their key, and others were added: copy on write.
+
+    Rows that are stored with the same content are left out. Of the base only the key, the hashes and the place in a file
+    are read; the files that hold a changed key are written again without it, all others are named again.
+    """
+    base = table.read(segments, schema, "base")
+    stored = base.select(F.col(key).alias("_key"), *(F.col(h).alias(f"old{h}") for h in HASHES), table.file_of(base).alias("_file"))
+    new = rows.withColumns(content_hashes(rows.columns))
+    same = F.col("old_h1").eqNullSafe(F.col("_h1")) & F.col("old_h2").eqNullSafe(F.col("_h2"))
+    changed = new.join(stored, new[key].eqNullSafe(stored["_key"]), "left").where(F.col("_file").isNull() | ~same).select(*rows.columns, "_file")
+    staging = f"{table.path}/staging/{uuid.uuid4().hex}"
+    changed.write.parquet(staging)
+    changed = table.spark.read.schema(changed.schema).parquet(staging)
+    n = changed.count()
+    if n:
+        touched = [r["_file"] for r in changed.select("_file").where("_file is not null").distinct().collect()]  # at most the table's files
+        fresh = changed.drop("_file").distinct()
+        if touched:
+            own = table.spark.read.schema(base.schema).parquet(*(f"{table.path}/data/{f}" for f in touched)).drop(*HASHES)
+            keys = _few(changed.select(F.col(key).alias("_key")).distinct(), n)
+            kept = own.join(keys, own[key].eqNullSafe(F.col("_key")), "left_anti")
+            fresh = kept.unionByName(fresh)
+        added = table.write(fresh.select(*schema.names), ordered=True)
+        segments = [*table.without(segments, touched), *([added] if added else [])]
+    path = table.spark._jvm.org.apache.hadoop.fs.Path(staging)
+    table._fs.delete(path, True)
+    return [s for s in segments if not (s.part == "base" and s.gone and table.read([s], schema, "base").isEmpty())]
+
+
+def incremental(table: VersionedTable, source: DataFrame, full_refresh: bool = False, key: str = "order_line_key", updated: str = "order_updated_at", lookback: int = LOOKBACK_DAYS) -> DataFrame:
+    """Merges into a stored table, or rebuilds it; the table's new content. What is written follows the files that hold changed keys."""
     n = table.version()
-    now = None if full_refresh else table.current()
-    table.publish(source if now is None else merge(now, source), n)
+    segments, schema = table.state(n)
+    if full_refresh or schema is None:
+        table.publish(source, n)
+        return table.current()
+    now = table.current()
+    if now.select(*sorted(now.columns)).dtypes != source.select(*sorted(source.columns)).dtypes:
+        table.publish(merge(now, source, key, updated, lookback), n)  # other columns: every file changes
+        return table.current()
+    if any(s.part == "changes" for s in segments):
+        segments = folded(table, segments, schema, key, updated)
+    delta = merge_delta(now, source, updated, lookback)
+    table.commit(replaced(table, segments, schema, delta.select(*schema.names), key), schema, n)
     return table.current()
 
 
-def newest_wins(target: DataFrame, batch: DataFrame, key: str = "order_line_key", updated: str = "order_updated_at") -> DataFrame:
+# Changes of a stream: rows that lie beside the base until they are folded in.
+
+
+def append_changes(table: VersionedTable, rows: DataFrame, key: str = "order_line_key", updated: str = "order_updated_at") -> None:
+    """Adds the newest row of each key of a batch as changes: what it reads and writes is the batch, whatever the table's size.
+
+    Readers resolve changes (with_changes). When these are more than FOLD_SHARE of the base, they are folded into its
+    files, so that the work for each row stays bounded.
+    """
+    n = table.version()
+    segments, schema = table.state(n)
+    if schema is None:
+        table.publish(newest_rows(rows, key, updated), n)
+        return
+    own = newest_rows(rows, key, updated).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    added = table.write(own, "changes")
+    if added is None:
+        return
+    segments = [*segments, added]
+    rows_of = lambda part: sum(s.rows for s in segments if s.part == part)
+    if rows_of("changes") > FOLD_SHARE * rows_of("base"):
+        segments = folded(table, segments, schema, key, updated)
+    table.commit(segments, schema, n)
+
+
+def _numbered_changes(table: VersionedTable, segments: list[Segment], schema: StructType) -> DataFrame:
+    """The changes with _seq, the place of their segment: a later batch wins where rows are equally new."""
+    own = [s for s in segments if s.part == "changes"]
+    rows = table.read(own, schema, "changes")
+    places = F.create_map(*(F.lit(x) for k, s in enumerate(own) for x in (s.folder.split("/")[1], k)))
+    return rows.withColumn("_seq", places[F.substring_index(table.file_of(rows), "/", 1)]).drop(*HASHES)
+
+
+def with_changes(table: VersionedTable, segments: list[Segment], schema: StructType, key: str = "order_line_key", updated: str = "order_updated_at") -> DataFrame:
+    """The base with its changes, the newest row of each key."""
+    base = table.read(segments, schema, "base").drop(*HASHES)
+    return newest_wins(base, _numbered_changes(table, segments, schema), key, updated, "_seq").select(*schema.names)
+
+
+def folded(table: VersionedTable, segments: list[Segment], schema: StructType, key: str, updated: str) -> list[Segment]:
+    """The segments after the changes went into the base's files, copy on write."""
+    base = table.read(segments, schema, "base")
+    win = winners(base, _numbered_changes(table, segments, schema), key, updated, "_seq").select(*schema.names)
+    base_only = [s for s in segments if s.part != "changes"]
+    return replaced(table, base_only, schema, win, key)
+
+
+_BEGINNING = "0001-01-01"
+
+
+def newest_rows(batch: DataFrame, key: str, updated: str, order: str | None = None) -> DataFrame:
+    """The newest row of each key (undated ones as the oldest); by `order` where two are equally new."""
+    at = F.coalesce(F.col(updated).cast("timestamp_ntz"), F.lit(_BEGINNING).cast("timestamp_ntz"))
+    by = F.struct(at, F.col(order)) if order else at
+    return batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), by).alias("row")).select("row.*")
+
+
+def winners(target: DataFrame, batch: DataFrame, key: str, updated: str, order: str | None = None) -> DataFrame:
+    """The newest row of each key of a batch that is at least as new as the target's."""
+    rows = newest_rows(batch, key, updated, order)
+    old = target.select(F.col(key), F.col(updated).alias("_old"), F.lit(True).alias("_known"))
+    late = F.col("_known") & F.col("_old").isNotNull() & (F.col(updated).isNull() | (F.col(updated) < F.col("_old")))
+    return rows.join(old, key, "left").where(~F.coalesce(late, F.lit(False))).select(*batch.columns)
+
+
+def newest_wins(target: DataFrame, batch: DataFrame, key: str = "order_line_key", updated: str = "order_updated_at", order: str | None = None) -> DataFrame:
     """The target with the rows of a batch that are at least as new as its own of that key, however late they come.
 
     The batch is only a part of the source, so there is no lookback; of several rows of a key the newest counts
     (undated ones as the oldest).
     """
-    columns = batch.columns
-    row = F.struct(*columns)
-    rows = batch.groupBy(key).agg(F.max_by(row, F.coalesce(F.col(updated).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))).alias("row")).select("row.*")
-    old = target.select(F.col(key), F.col(updated).alias("_old"), F.lit(True).alias("_known"))
-    late = F.col("_known") & F.col("_old").isNotNull() & (F.col(updated).isNull() | (F.col(updated) < F.col("_old")))
-    win = rows.join(old, key, "left").where(~F.coalesce(late, F.lit(False))).select(*columns)
+    columns = [c for c in batch.columns if c != order]
+    win = winners(target, batch, key, updated, order).select(*columns)
     return target.join(win.select(key), key, "left_anti").unionByName(win, allowMissingColumns=True).select(*columns)
 
 
@@ -118,18 +186,52 @@ def scd2(history: DataFrame, source: DataFrame, captured_at: dt.datetime, key: s
     return history.where("valid_to is not null").unionByName(closed).unionByName(fresh.select(*columns))
 
 
+# A stored history. Versions are in three parts: `open`, `closing` (closed versions whose open rows still lie in the files of
+# `open`) and `closed` (those whose open rows are gone). None of them is written again when a capture closes others.
+
+
+def history_rows(table: VersionedTable, segments: list[Segment], schema: StructType) -> DataFrame:
+    """All versions of a stored history."""
+    done = table.read(segments, schema, "closed", "closing").drop(*HASHES)
+    return open_versions(table, segments, schema).unionByName(done)
+
+
+def open_versions(table: VersionedTable, segments: list[Segment], schema: StructType) -> DataFrame:
+    """The versions that are still open: the rows of `open` but for those that were closed since they were written."""
+    closing = table.read(segments, schema, "closing").select("item_version_key")
+    closing = _few(closing, sum(s.rows for s in segments if s.part == "closing"))
+    return table.read(segments, schema, "open").drop(*HASHES).join(closing, "item_version_key", "left_anti")
+
+
 def scd2_snapshot(table: VersionedTable, source: DataFrame, captured_at: dt.datetime, full_refresh: bool = False, key: str = "variation_id", tracked: tuple[str, ...] = TRACKED) -> DataFrame:
-    """Captures the source into a stored history; its new content. A history cannot be made again, so a full refresh is refused."""
+    """Captures the source into a stored history; its new content. A history cannot be made again, so a full refresh is refused.
+
+    Only open versions are compared with the source; what is written are the versions that close and those that open. When
+    closed versions are more than FOLD_SHARE of the rows of `open`, the open ones are written once without them.
+    """
     if full_refresh:
         raise ValueError("a history holds what its source no longer has; it is never rebuilt")
-    n, now = table.version(), table.current()
-    if now is None:
+    n = table.version()
+    segments, schema = table.state(n)
+    if schema is None:
         times = F.lit(None).cast("timestamp_ntz")
-        now = source.limit(0).select(F.lit("").alias("item_version_key"), *source.columns, *(times.alias(c) for c in ("valid_from", "valid_to", "version_captured_at")))
-    last = now.agg(F.max(F.greatest("valid_from", "valid_to"))).first()[0]
-    if last is not None and last >= captured_at:
-        raise ValueError(f"the history already reaches {last}; a capture must be later")
-    table.publish(scd2(now, source, captured_at, key, tracked), n)
+        schema = source.limit(0).select(F.lit("").alias("item_version_key"), *source.columns, *(times.alias(c) for c in ("valid_from", "valid_to", "version_captured_at"))).schema
+    else:
+        last = table.read(segments, schema, "open", "closing", "closed").agg(F.max(F.greatest("valid_from", "valid_to"))).first()[0]
+        if last is not None and last >= captured_at:
+            raise ValueError(f"the history already reaches {last}; a capture must be later")
+    now = open_versions(table, segments, schema)
+    after = scd2(now, source, captured_at, key, tracked)
+    at = F.lit(captured_at).cast("timestamp_ntz")
+    changes = after.where((F.col("valid_from") == at) | F.col("valid_to").isNotNull())
+    added = [table.write(changes.where("valid_to is not null"), "closing"), table.write(changes.where("valid_to is null"), "open")]
+    segments = [*segments, *(s for s in added if s)]
+    rows_of = lambda part: sum(s.rows for s in segments if s.part == part)
+    if rows_of("closing") > FOLD_SHARE * rows_of("open"):
+        left = table.write(open_versions(table, segments, schema), "open")
+        done = [replace(s, part="closed") if s.part == "closing" else s for s in segments if s.part != "open"]
+        segments = [*done, *([left] if left else [])]
+    table.commit(segments, schema, n)
     return table.current()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.merge import VersionedTable, newest_wins
+from ..operators.merge import VersionedTable, append_changes
 
 
 def page_stream(spark: SparkSession, root: str, entity: str, source: str = "square") -> DataFrame:
@@ -18,10 +18,12 @@ def page_stream(spark: SparkSession, root: str, entity: str, source: str = "squa
 
 
 def merge_stream(stream: DataFrame, to_fact: Callable[[DataFrame], DataFrame], table: VersionedTable, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch, turned into fact rows, is merged into the table, the newest row of each key winning: neither late rows nor replays of a batch lose or revert any."""
+    """Each micro-batch, turned into fact rows, is added to the table's changes, the newest row of each key winning: neither late rows nor replays of a batch lose or revert any.
+
+    A batch costs what its own rows cost, whatever the table's size; see merge.append_changes.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
-        rows, n, now = to_fact(batch), table.version(), table.current()
-        table.publish(newest_wins(rows.limit(0) if now is None else now, rows), n)
+        append_changes(table, to_fact(batch))
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
