@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import kpi
+from . import kpi, range_functions
 from .merge import as_of_join
 from .star import Star, as_date
 from .windows import Windows
@@ -120,25 +120,27 @@ def compare_by_key(a: DataFrame, b: DataFrame, keys: list[str], columns: list[st
 RELATION_KEYS = {"summary": [], "category": ["category_name"], "weekday": ["day_of_week"], "hour": ["hour_of_day"], "payments": ["source_type"], "items": ["variation_id"]}
 
 
+#: Figures of a range that All time does not have.
+OWN_OF_RANGES = {"prior_start", "prior_end", "period_days", "period_start", "period_end", "avg_weekly_units"}
+
+
 def ranges_equal_periods(star: Star) -> DataFrame:
     """relation, period_label, key, column, a, b: where a relation over a period's days as a range differs from the period's own rows.
 
-    All relations, periods and figures; of prior figures only where the period has a prior window (All time has none,
+    Each relation is called for all periods at once, by a lateral call of its SQL function, and compared once. All relations, periods and figures; of prior figures only where the period has a prior window (All time has none,
     a range over its days does), and items' weekly average not for All time, likewise.
     """
-    periods = [(r.period_label, r.period_start, r.period_end, r.period_days) for r in star.periods.collect()]  # five rows
+    undated = [r.period_label for r in star.periods.where("period_days is null").collect()]  # of five rows
     out = None
     for name, key in RELATION_KEYS.items():
-        own = kpi.RANGES[name](star, Windows(star.periods))
-        for label, start, end, days in periods:
-            a, b = own.where(F.col("period_label") == label), kpi.over_range(kpi.RANGES[name], star, start, end)
-            left = {"prior_start", "prior_end", "period_days", "period_start", "period_end", "avg_weekly_units"} if days is None else set()
-            columns = [c for c in b.columns if c in a.columns and c not in key and c not in left]
-            one = F.lit("all").alias("key")
-            at = F.concat_ws("|", *(F.col(c).cast("string") for c in key)).alias("key") if key else one
-            diff = compare_by_key(a.select(at, *columns), b.select(at, *columns), ["key"], columns)
-            diff = diff.select(F.lit(name).alias("relation"), F.lit(label).alias("period_label"), "key", "column", "a", "b")
-            out = diff if out is None else out.unionByName(diff)
+        own, ranges = kpi.RANGES[name](star, Windows(star.periods)), range_functions.over_table(star, name)
+        columns = [c for c in ranges.columns if c in own.columns and c not in (*key, "period_label", "period_order")]
+        at = F.concat_ws("|", *(F.col(c).cast("string") for c in key)).alias("key") if key else F.lit("all").alias("key")
+        held = lambda c: F.when(~F.col("period_label").isin(undated), F.col(c)).alias(c) if c in OWN_OF_RANGES else F.col(c)  # noqa: E731, B023
+        a, b = (df.select("period_label", at, *(held(c) for c in columns)) for df in (own, ranges))
+        diff = compare_by_key(a, b, ["period_label", "key"], columns)
+        diff = diff.select(F.lit(name).alias("relation"), "period_label", "key", "column", "a", "b")
+        out = diff if out is None else out.unionByName(diff)
     return out
 
 

@@ -60,7 +60,7 @@ SELECT n, s, e, ps, pe, orders, coalesce(units, 0), {", ".join(f"coalesce({c}, 0
   rl_change(coalesce(net_sales_cents, 0), p_net, full_prior), rl_change(orders, CASE WHEN p_lines > 0 THEN p_orders END, full_prior), rl_change(coalesce(units, 0), p_units, full_prior), cogs_cents, gross_profit_cents,
   CASE WHEN costed > 0 THEN rl_pct(gross_profit_cents, costed, 2) END, CASE WHEN all_net > 0 THEN rl_pct(costed, all_net, 1) END FROM one""",
     "category": f""", c AS (
-  SELECT category_name, {_ORDERS} AS orders, {_now("quantity")} AS units, {_now("net_sales_cents")} AS net, {_prior("net_sales_cents")} AS p_net {_BOTH}
+  SELECT category_name, {_ORDERS} AS orders, {_now("quantity")} AS units, {_now("net_sales_cents")} AS net, {_prior("net_sales_cents")} AS p_net {_BOTH.replace("rl_line", "rl_category_line")}
   GROUP BY category_name HAVING {_now("1", "count")} > 0
 ), t AS (SELECT *, sum(net) OVER () AS total FROM c)
 SELECT category_name, orders, units, net, rl_pct(net, CASE WHEN total > 0 THEN total END, 2), CASE WHEN full_prior THEN p_net END, rl_change(net, p_net, full_prior) FROM t CROSS JOIN f""",
@@ -93,12 +93,13 @@ def register(star: Star) -> list[str]:
         return names
     dated = star.lines.where("sale_date is not null")
     category = star.items.select("item_key", F.col("category_name").alias("category"))
-    lines = dated.join(category, "item_key", "left").withColumn("category_name", F.coalesce("category", F.lit("Uncategorized"))).drop("category")
+    by_category = dated.join(category, "item_key", "left").withColumn("category_name", F.coalesce("category", F.lit("Uncategorized")))
     variation = item_key_or_custom("catalog_object_id", "item_name").alias("variation_id")
     own = dated.select(variation, "quantity", "sale_date")
     life = own.groupBy("variation_id").agg(F.sum("quantity").alias("units_all_time"), F.min("sale_date").alias("first_sold_at"), F.max("sale_date").alias("last_sold_at"))
     views = {
-        "rl_line": lines.select("sale_date", "closed_at_local", "square_order_id", variation, "item_name", "variation_name", "category_name", "quantity", *_SUMS), "rl_payment": star.payments, "rl_life": life,
+        "rl_line": dated.select("sale_date", "closed_at_local", "square_order_id", variation, "item_name", "variation_name", "quantity", *_SUMS),
+        "rl_category_line": by_category.select("sale_date", "square_order_id", "category_name", "quantity", "net_sales_cents"), "rl_payment": star.payments, "rl_life": life,
         "rl_margin": star.dated_margin.where("sale_date is not null"), "rl_item": star.items.select(F.col("square_catalog_object_id").alias("variation_id"), "category_name", "is_lottery"),
         "rl_span": dated.agg(F.coalesce(F.min("sale_date"), as_date(star.as_of)).alias("first_sale_date")),
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import Quantity, surrogate_key
 from ..operators.staging import stg_category_overrides, stg_vendor_costs
 from ..operators.star import Star
-from ..sources.gold import gold_root
+from ..sources import gold
 
 AS_OF = dt.date(2001, 8, 2)
 START, END = dt.date(2001, 5, 1), dt.date(2001, 7, 31)
@@ -103,17 +103,36 @@ def stg_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "region").select(F.concat(F.lit("LOC"), F.col("r_regionkey").cast("string")).alias("location_id"), F.col("r_name").alias("location_name"), F.lit("ACTIVE").alias("status"), zone.alias("timezone"))
 
 
-def build(spark: SparkSession, sf_dir: str) -> Star:
+def build(spark: SparkSession, sf_dir: str, mark: str | None = None) -> Star:
+    """A star of its own (or that of a mark) over the tables as they are now."""
     lines = stg_lines(spark, sf_dir)
     overrides = spark.createDataFrame(list(OVERRIDES), "raw_category string, canonical_category string")
     staged = {
         "locations": stg_locations(spark, sf_dir), "order_lines": lines, "payments": stg_payments(spark, sf_dir, lines), "inventory_snapshots": stg_inventory(spark, sf_dir),
         "vendor_costs": stg_vendor_costs(vendor_costs(spark, sf_dir)), "category_overrides": stg_category_overrides(overrides), "snapshot": catalog_snapshot(spark, sf_dir),
     }
-    return Star(staged, AS_OF, LOTTERY, gold_root(spark, sf_dir))
+    return Star(staged, AS_OF, LOTTERY, gold.gold_root(spark, sf_dir, uuid.uuid4().hex if mark is None else mark))
+
+
+#: Tables that the star reads.
+SOURCES = ("region", "nation", "customer", "part", "orders", "lineitem")
+_stars: dict[tuple[str, str], tuple[str, Star]] = {}
 
 
-@functools.lru_cache(maxsize=8)
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star of a folder, built once for a session: its facts are written as gold tables at their first use."""
-    return build(spark, sf_dir)
+    """The star of a folder, built once for a session and state of its files: its facts are written as gold tables at their first use.
+
+    When a source file is another (path, length or time) a new star is built; gold.release removes tables that nobody reads.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    mark = gold.fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in SOURCES])
+    if key not in _stars or _stars[key][0] != mark or _stars[key][1].staged["order_lines"].sparkSession is not spark:
+        _stars[key] = (mark, build(spark, sf_dir, mark))
+    return _stars[key][1]
+
+
+def build_gold(spark: SparkSession, sf_dir: str) -> Star:
+    """The star with all its gold tables written, as a step of its own."""
+    out = star(spark, sf_dir)
+    gold.built(out)
+    return out

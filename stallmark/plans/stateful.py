@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import item_label, normalize_category
-from ..operators import checks, forecast, kpi, silver, views
-from ..operators.merge import as_of_join, merge, scd2
+from ..operators import checks, forecast, kpi, range_functions, silver, views
+from ..operators.merge import VersionedTable, as_of_join, incremental, merge, scd2, scd2_snapshot
 from ..operators.star import Star, dim_item_history
 from ..operators.windows import Windows
 from ..sources import bronze
-from .oracle import QUERIES, STAR, over_periods, over_range
-from .retail import AS_OF, END, LOTTERY, START, catalog_snapshot, star, table
+from ..streaming.bronze_stream import merge_stream
+from .oracle import PERIOD_NAMES, QUERIES, STAR, over_periods, over_range
+from .retail import AS_OF, END, LOTTERY, START, VERSION_TIME, catalog_snapshot, star, table
 
 CAPTURED = dt.datetime(1998, 6, 1)
 OLD_STATE = "2001-07-20"
@@ -26,6 +28,41 @@ def merged_lines(s: Star) -> DataFrame:
     return merge(old, s.lines).select("order_line_key", "order_updated_at", "net_sales_cents")
 
 
+def _old_lines(s: Star) -> DataFrame:
+    return s.lines.where(F.col("order_updated_at") < F.lit(OLD_STATE).cast("timestamp_ntz")).withColumn("net_sales_cents", F.col("net_sales_cents") + 1)
+
+
+def _stored(s: Star, cluster: str | None = None) -> VersionedTable:
+    return VersionedTable(s.lines.sparkSession, f"{s.root}/stored-{uuid.uuid4().hex}", cluster)
+
+
+def merged_stored_lines(s: Star) -> DataFrame:
+    """As merged_lines, in a stored table of which only the files with changed keys are written again."""
+    stored = _stored(s, "order_updated_at")
+    stored.publish(_old_lines(s))
+    return incremental(stored, s.lines).select("order_line_key", "order_updated_at", "net_sales_cents")
+
+
+def streamed_lines(s: Star) -> DataFrame:
+    """An old state of the fact, stored, after a stream of all lines was added to it file by file."""
+    stored = _stored(s)
+    stored.publish(_old_lines(s))
+    spark = s.lines.sparkSession
+    stream = spark.readStream.schema(s.lines.schema).option("maxFilesPerTrigger", 4).parquet(f"{s.root}/fact_order_line")
+    merge_stream(stream, lambda batch: batch, stored, f"{stored.path}/checkpoint").awaitTermination()
+    return stored.current().select("order_line_key", "order_updated_at", "net_sales_cents")
+
+
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of captured_history from two captures into a stored table, with all columns."""
+    full = catalog_snapshot(spark, sf_dir).drop("item_version_key", "valid_from", "valid_to", "version_captured_at")
+    key = F.substring("variation_id", 2, 20).cast("long")
+    stored = _stored(star(spark, sf_dir))
+    scd2_snapshot(stored, full.where(key % 10 != 3), dt.datetime.fromisoformat(VERSION_TIME))
+    later = full.where(key % 10 != 7).withColumn("category_name", F.when(key % 3 == 0, "Wine").otherwise(F.col("category_name")))
+    return scd2_snapshot(stored, later, CAPTURED)
+
+
 def captured_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog's history after a later capture in which parts changed, vanished and came."""
     key = F.substring("variation_id", 2, 20).cast("long")
@@ -102,8 +139,22 @@ def margin_rows(s: Star) -> DataFrame:
     return views.margin_rows(s.margin).select("order_line_key", "gross_profit_cents")
 
 
+#: What a lateral call gives for All time and the relation of the period does not.
+_LATERAL_DROP = {"summary": ("period_days", "prior_start", "prior_end"), "items": ("avg_weekly_units", "is_lottery")}
+
+
+def _called(name: str):
+    return lambda s: range_functions.called(s, name, START, END)
+
+
+def _lateral(name: str):
+    own = ("period_order",) if name == "popular_times" else ()
+    return lambda s: range_functions.over_table(s, name).drop(*own, *_LATERAL_DROP.get(name, ()))
+
+
 def queries() -> dict:
-    return {
+    return {f"sql_range_{n}": _over(_called(n)) for n in range_functions.BODIES} | {f"lateral_range_{n}": _over(_lateral(n)) for n in PERIOD_NAMES} | {
+        "merge_stored_lines": _over(merged_stored_lines), "stream_stored_lines": _over(streamed_lines), "scd2_stored_history": stored_history,
         "merge_order_lines": _over(merged_lines),
         "scd2_history": lambda spark, sf_dir: captured_history(spark, sf_dir).select("variation_id", "category_name", "valid_from", "valid_to"),
         "as_of_sales_by_version": sales_by_version, "latest_version_dedupe": newest_lines, "store_day_events": store_day, "category_override_starter": category_starter,
@@ -149,7 +200,15 @@ def oracle_sql() -> dict[str, str]:
     items, popular = over_range("items"), over_range("popular_times")
     ahead = QUERIES["kpi_revenue_forecast_daily"]
     periods = over_periods("summary")
-    return {
+    called = {f"sql_range_{n}": QUERIES["range_window"] if n == "window" else over_range(n) for n in range_functions.BODIES}
+    drop = lambda n: f" EXCLUDE ({', '.join(c for c in _LATERAL_DROP[n] if c != 'is_lottery')})" if n in _LATERAL_DROP else ""
+    lateral = {f"lateral_range_{n}": f"SELECT *{drop(n)} FROM ({over_periods(n)})" for n in PERIOD_NAMES}
+    merged = f"""{STAR} SELECT order_line_key, order_updated_at, net_sales_cents + CASE WHEN order_updated_at < (SELECT CAST(max(order_updated_at) AS DATE) - 7 FROM fact_order_line WHERE order_updated_at < TIMESTAMP '{OLD_STATE}') THEN 1 ELSE 0 END AS net_sales_cents FROM fact_order_line"""
+    return called | lateral | {
+        "merge_stored_lines": merged, "stream_stored_lines": f"{STAR} SELECT order_line_key, order_updated_at, net_sales_cents FROM fact_order_line",
+        "scd2_stored_history": f"""WITH {_SCD} SELECT md5(variation_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S')) AS item_version_key, variation_id, p_name AS item_name, p_brand AS variation_name, category_name,
+  CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) AS price_cents, 'USD' AS currency, 'SKU' || p_partkey AS sku, p_partkey % 41 = 0 AS is_deleted, valid_from, valid_to, valid_from AS version_captured_at
+  FROM scd JOIN part ON variation_id = 'P' || p_partkey""",
         "check_calendar": f"""{STAR}, s AS (SELECT min(sale_date) AS first_sale, max(sale_date) AS last_sale FROM lines), d AS (SELECT min(date_day) AS first_day, max(date_day) AS last_day, count(*) AS days, count(DISTINCT date_day) AS distinct_days FROM dim_date)
   SELECT * FROM s, d WHERE first_sale < first_day OR last_sale > last_day OR days <> distinct_days OR days <> last_day - first_day + 1""",
         "check_fact_matches_source": f"""{STAR}, f AS (SELECT count(*) AS n, sum(net_sales_cents) AS net, sum(tax_cents) AS tax, sum(quantity) AS units, count(DISTINCT order_line_key) AS keys FROM fact_order_line),

@@ -2,31 +2,63 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_roots: dict[tuple[str, str], str] = {}
+_roots: dict[tuple[str, str, str], str] = {}
 
 
-def gold_root(spark: SparkSession, name: str) -> str:
-    """A folder for the gold tables of `name`, one for each application: under spark.checkpoint.dir, else the warehouse.
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """A digest of the files of tables: of each its path, length and time of change. Folders are listed in Spark, a single file by its status."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    told, folders = [], []
+    for p in paths:
+        fs = path(p).getFileSystem(conf)
+        if fs.exists(path(p)):
+            status = fs.getFileStatus(path(p))
+            if status.isDirectory():
+                folders.append(p)
+            else:
+                told.append((p, status.getLen(), status.getModificationTime()))
+    if folders:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+        each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        told.append(tuple(files.agg(F.count("*"), F.sum(each)).first()))
+    return hashlib.sha256(repr((sorted(paths), told)).encode()).hexdigest()
+
+
+def gold_root(spark: SparkSession, name: str, mark: str = "") -> str:
+    """A folder for the gold tables of `name`, one for each application and mark (see fingerprint), under spark.checkpoint.dir.
 
     Only a local master without that setting (tests) gets a local folder.
     """
-    key = (spark.sparkContext.applicationId, name)
+    key = (spark.sparkContext.applicationId, name, mark)
     if key not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            local = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
-            base = "file://" + tempfile.mkdtemp(prefix="stallmark-gold-") if local else spark.conf.get("spark.sql.warehouse.dir")
+            master = spark.sparkContext.master
+            if not re.fullmatch(r"local(\[.*\])?", master):
+                raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+            base = "file://" + tempfile.mkdtemp(prefix="stallmark-gold-")
         _roots[key] = f"{base.rstrip('/')}/gold-{uuid.uuid4().hex}"
     return _roots[key]
 
 
+def release(spark: SparkSession, name: str | None = None) -> int:
+    """Removes the gold tables of this application (of one name, or all), for when nothing reads them any more; how many folders."""
+    keys = [k for k in _roots if k[0] == spark.sparkContext.applicationId and name in (None, k[1])]
+    for k in keys:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_roots.pop(k))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(keys)
+
+
 def materialised(df: DataFrame, root: str, name: str, day: str | None = None) -> DataFrame:
     """Drops and rebuilds a gold table and reads it.
 
@@ -47,3 +79,10 @@ def written_tables(star, root: str) -> dict[str, int]:
         "fact_order_line": star.lines, "fact_payment": star.payments, "fact_inventory_snapshot": star.inventory, "fact_order_line_margin": star.margin,
     }
     return {name: materialised(df, root, name).count() for name, df in tables.items()}
+
+
+def built(star) -> None:
+    """Writes the gold tables of a star: dimensions first, then the facts that do not need one another side by side, then those that follow."""
+    for step in (("locations", "items", "vendors"), ("lines", "payments", "inventory"), ("dated_margin", "dates", "periods")):
+        with ThreadPoolExecutor(len(step)) as pool:
+            list(pool.map(lambda name: getattr(star, name), step))
