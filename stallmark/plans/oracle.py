@@ -186,14 +186,16 @@ QUERIES = {
   SELECT CAST(date_trunc('week', sale_date) AS DATE) AS week_start, variation_id, max(item_name) AS item_name, sum(quantity)::DOUBLE AS units FROM lines
   WHERE date_trunc('week', sale_date) < date_trunc('week', {_TODAY}) AND date_trunc('week', sale_date) >= date_trunc('week', {_TODAY}) - INTERVAL 56 DAY GROUP BY 1, 2
 ), spans AS (SELECT variation_id, max(item_name) AS item_name, min(week_start) AS first_week FROM weekly GROUP BY 1),
-fit AS (
-  SELECT s.variation_id, s.item_name, (CAST(date_trunc('week', {_TODAY}) AS DATE) - first_week)::DOUBLE / 7 AS n, sum(units) AS sy, sum((week_start - first_week)::DOUBLE / 7 * units) AS sxy
-  FROM spans s JOIN weekly w USING (variation_id) GROUP BY ALL
-), slopes AS (SELECT *, (n * sxy - n * (n - 1) / 2 * sy) / nullif(n * (n * (n - 1) * (2 * n - 1) / 6) - (n * (n - 1) / 2) * (n * (n - 1) / 2), 0) AS slope FROM fit),
-based AS (SELECT *, (sy - slope * (n * (n - 1) / 2)) / n AS base FROM slopes)
+grid AS (
+  SELECT s.variation_id, s.item_name, CAST(w AS DATE) AS week_start, (CAST(w AS DATE) - first_week)::DOUBLE / 7 AS x
+  FROM spans s, unnest(generate_series(first_week, CAST(date_trunc('week', {_TODAY}) AS DATE) - 7, INTERVAL 7 DAY)) t(w)
+), fit AS (
+  SELECT variation_id, g.item_name, count(*) AS n, avg(coalesce(units, 0)) AS average, regr_slope(coalesce(units, 0)::DOUBLE, x) AS slope, regr_intercept(coalesce(units, 0)::DOUBLE, x) AS base
+  FROM grid g LEFT JOIN weekly w USING (variation_id, week_start) GROUP BY ALL
+)
 SELECT variation_id, item_name, CAST(date_trunc('week', {_TODAY}) AS DATE) + 7 * h AS forecast_week_start, h AS weeks_ahead, CAST(n AS BIGINT) AS weeks_of_history,
-  greatest(0.0, CASE WHEN n >= 2 AND slope IS NOT NULL THEN {_r("base + slope * (n - 1 + 1 + h)")} ELSE {_r("sy / n")} END) AS forecast_units,
-  CASE WHEN n >= 2 AND slope IS NOT NULL THEN 'linear_trend' ELSE 'avg_fallback' END AS method FROM based, (SELECT CAST(unnest(range(1, 5)) AS INTEGER) AS h)""",
+  greatest(0.0, CASE WHEN n >= 2 AND slope IS NOT NULL THEN {_r("round(base + slope * (n + h), 9)")} ELSE {_r("average")} END) AS forecast_units,
+  CASE WHEN n >= 2 AND slope IS NOT NULL THEN 'linear_trend' ELSE 'avg_fallback' END AS method FROM fit, (SELECT CAST(unnest(range(1, 5)) AS INTEGER) AS h)""",
     "kpi_revenue_forecast_daily": f"{STAR}, {_FORECAST_DAILY} SELECT * FROM forecast_daily",
     "kpi_revenue_forecast": f"""{STAR}, {_FORECAST_DAILY}, {_BACKTEST}
 SELECT horizon_label, horizon_days, horizon_order, min(forecast_date) AS period_start, max(forecast_date) AS period_end, {_sum("forecast_net_sales_cents")},

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import silver, staging
-from .retail import table
+from ..sources import bronze, sinks
+from .retail import located_orders, star, stg_locations, table
 
 
 def _text(*parts) -> Column:
@@ -73,17 +76,22 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("order_id", "line_item_uid", "catalog_object_id", "quantity", "gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents", "order_state", "order_created_at", "closed_at")
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as payments with two fees, one of them without money."""
-    o = table(spark, sf_dir, "orders")
+def _payment_records(o: DataFrame, amount: Column, **card_fields: Column) -> DataFrame:
+    """Orders with a payment record."""
     day, k = _iso(F.col("o_orderdate")), F.col("o_orderkey")
     fees = F.array(F.struct(_money(k % 50).alias("amount_money")), F.struct(F.lit(None).cast("struct<amount:bigint,currency:string>").alias("amount_money")), F.struct(_money(F.lit(7)).alias("amount_money")))
-    card = F.struct(F.struct(F.lit("VISA").alias("card_brand"), F.lpad((k % 10_000).cast("string"), 4, "0").alias("last_4")).alias("card"))
+    card = F.struct(F.struct(F.lit("VISA").alias("card_brand"), F.lpad((k % 10_000).cast("string"), 4, "0").alias("last_4"), *(c.alias(n) for n, c in card_fields.items())).alias("card"))
     record = F.struct(
-        _text("PAY", k).alias("id"), k.cast("string").alias("order_id"), F.lit("LOC0").alias("location_id"), _money(F.col("o_totalprice") * 100).alias("amount_money"), F.lit("COMPLETED").alias("status"),
+        _text("PAY", k).alias("id"), k.cast("string").alias("order_id"), F.lit("LOC0").alias("location_id"), _money(amount).alias("amount_money"), F.lit("COMPLETED").alias("status"),
         F.col("o_orderpriority").alias("source_type"), F.when(k % 4 != 0, fees).alias("processing_fee"), card.alias("card_details"), day.alias("created_at"), day.alias("updated_at"),
     )
-    out = staging.stg_payments(silver.payments(_pages(o, record, F.lit("2026-01-01T00:00:00Z"), F.lit(0))))
+    return o.withColumn("record", record)
+
+
+def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as payments with two fees, one of them without money."""
+    o = _payment_records(table(spark, sf_dir, "orders"), F.col("o_totalprice") * 100)
+    out = staging.stg_payments(silver.payments(_pages(o, F.col("record"), F.lit("2026-01-01T00:00:00Z"), F.lit(0))))
     return out.select("payment_id", "order_id", "amount_cents", "source_type", "card_brand", "card_last_4", "processing_fee_cents", "created_at")
 
 
@@ -98,7 +106,87 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("variation_id", "location_id", "state", "quantity", "calculated_at")
 
 
+# The same from pages that are written as JSON and scanned: sources and sinks end to end.
+
+PAGE_ROWS = 200
+#: Two extractions of the payments.
+RUNS = (("2026-01-01T00:00:00Z", "run-1"), ("2026-01-02T00:00:00Z", "run-2"))
+_written: set[str] = set()
+
+
+def _enveloped(rows: DataFrame, list_key: str, entity: str, key: Column, at: str, run: str) -> DataFrame:
+    """Pages of up to PAGE_ROWS records (by number ranges of the key), in the order of the key."""
+    page = F.floor(key / PAGE_ROWS).cast("long")
+    held = rows.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(F.struct(key.alias("key"), "record"))).alias("rs"))
+    meta = F.struct(F.lit("square").alias("source"), F.lit(entity).alias("entity"), F.col("page").alias("page_number"), F.lit(at).alias("extracted_at"), F.lit(run).alias("run_id"), F.lit("test").alias("environment"))
+    return held.select(meta.alias("metadata"), F.struct(F.col("rs.record").alias(list_key)).alias("payload"))
+
+
+def raw_root(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of raw pages, written once for a star: payments in two extractions (the first with other amounts, both as fresh,
+    each card with a fingerprint and a BIN), counts of inventory; catalog and orders have no pages."""
+    root = f"{star(spark, sf_dir).root}/raw"
+    if root not in _written:
+        k = F.col("o_orderkey")
+        for n, (at, run) in enumerate(RUNS):
+            own = _payment_records(table(spark, sf_dir, "orders"), F.col("o_totalprice") * 100 + (1 - n), fingerprint=_text("FP-", k), bin=F.lit("411111"))
+            sinks.append_bronze(_enveloped(own, "payments", "payments", k, at, run), root, "payments")
+        k = F.col("p_partkey")
+        record = F.struct(_text("P", k).alias("catalog_object_id"), _text("LOC", k % 5).alias("location_id"), F.lit("IN_STOCK").alias("state"), F.col("p_size").cast("string").alias("quantity"), F.lit(RUNS[0][0]).alias("calculated_at"))
+        sinks.append_bronze(_enveloped(table(spark, sf_dir, "part").withColumn("record", record), "counts", "inventory", k, *RUNS[0]), root, "inventory")
+        _written.add(root)
+    return root
+
+
+def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan of the payments' pages: every record with its place in its page."""
+    pages = bronze.bronze_pages(spark, raw_root(spark, sf_dir), "payments")
+    return pages.select(F.col("record.id").alias("payment_id"), "extracted_at", F.col("position").cast("int").alias("position"), F.col("record.amount_money.amount").alias("amount_cents"))
+
+
+def raw_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of a rebuild of all flattened tables: of two equally fresh records the one of the later file."""
+    root = raw_root(spark, sf_dir)
+    silver.rebuild(spark, root, f"{root}-silver")
+    return bronze.silver_table(spark, f"{root}-silver", "payments").select("payment_id", "amount_cents", "card_brand", "card_last_4", "processing_fee_cents", "updated_at")
+
+
+def raw_rebuild_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each rebuilt table; a table without pages is empty."""
+    root = raw_root(spark, sf_dir)
+    silver.rebuild(spark, root, f"{root}-silver-counts")
+    out = None
+    for name in silver.TABLES:
+        part = bronze.silver_table(spark, f"{root}-silver-counts", name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def raw_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that hold card fingerprints, and flattened payments that hold one or a BIN in any column."""
+    root = raw_root(spark, sf_dir)
+    raw = spark.read.option("recursiveFileLookup", True).text(f"{root}/square/payments").where(F.col("value").contains("FP-"))
+    rows = silver.payments(bronze.bronze_pages(spark, root, "payments"))
+    text = F.concat_ws("|", *(F.col(c).cast("string") for c in rows.columns))
+    leaked = rows.where(text.contains("FP-") | text.contains("411111")).agg(F.count("*").alias("leaked"))
+    return raw.agg(F.count("*").alias("planted_pages")).crossJoin(leaked)  # one row each
+
+
+def active_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of active locations; two of five are closed."""
+    status = F.when(F.col("location_id").isin("LOC1", "LOC3"), "CLOSED").otherwise("ACTIVE")
+    places = stg_locations(spark, sf_dir).withColumn("status", status)
+    return bronze.only_active(located_orders(spark, sf_dir), places).select(F.col("o_orderkey").alias("order_key"), "location_id")
+
+
+def recent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders placed within 90 days before a time."""
+    o = located_orders(spark, sf_dir)
+    return bronze.updated_within(o, "placed_at", 90, dt.datetime(2001, 7, 1)).select(F.col("o_orderkey").alias("order_key"), "placed_at")
+
+
 QUERIES = {"silver_locations": locations, "silver_catalog_items": catalog_items, "silver_order_lines": order_lines, "silver_payments": payments, "silver_inventory": inventory}
+QUERIES |= {"raw_scan": raw_scan, "raw_rebuild": raw_rebuild, "raw_rebuild_counts": raw_rebuild_counts, "raw_fingerprints": raw_fingerprints, "source_active_orders": active_orders, "source_recent_orders": recent_orders}
 
 _GROSS = "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
 _DISCOUNT = "CASE WHEN l_discount > 0 THEN CAST(floor(l_extendedprice * 100 * l_discount + 0.5) AS BIGINT) ELSE 0 END"
@@ -113,4 +201,12 @@ SQL = {
   lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS card_last_4, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 50 + 7 ELSE 0 END AS processing_fee_cents, CAST(o_orderdate AS TIMESTAMP) AS created_at FROM orders""",
     "silver_inventory": """SELECT 'P' || p_partkey AS variation_id, 'LOC' || (p_partkey % 5) AS location_id, CASE WHEN p_partkey % 2 = 0 THEN 'IN_STOCK' END AS state, CASE WHEN p_partkey % 11 = 0 THEN 0.0::DOUBLE ELSE p_size::DOUBLE END AS quantity,
   TIMESTAMP '2026-01-02' AS calculated_at FROM part WHERE p_partkey % 13 <> 0""",
+    "raw_scan": f"""SELECT 'PAY' || o_orderkey AS payment_id, extracted AS extracted_at, CAST(row_number() OVER (PARTITION BY extracted, o_orderkey // {PAGE_ROWS} ORDER BY o_orderkey) - 1 AS INTEGER) AS position,
+  CAST(floor(o_totalprice * 100 + more + 0.5) AS BIGINT) AS amount_cents FROM orders, (VALUES ('{RUNS[0][0]}', 1), ('{RUNS[1][0]}', 0)) v(extracted, more)""",
+    "raw_rebuild": """SELECT 'PAY' || o_orderkey AS payment_id, CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS amount_cents, 'VISA' AS card_brand, lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS card_last_4,
+  CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 50 + 7 ELSE 0 END AS processing_fee_cents, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS updated_at FROM orders""",
+    "raw_rebuild_counts": "SELECT 'payments' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'inventory_snapshots', count(*) FROM part UNION ALL SELECT unnest(['locations', 'catalog_items', 'order_lines']), 0",
+    "raw_fingerprints": f"SELECT 2 * count(DISTINCT o_orderkey // {PAGE_ROWS}) AS planted_pages, 0 AS leaked FROM orders",
+    "source_active_orders": "SELECT o_orderkey AS order_key, 'LOC' || n_regionkey AS location_id FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey NOT IN (1, 3)",
+    "source_recent_orders": "SELECT o_orderkey AS order_key, o_orderdate + INTERVAL (o_orderkey % 24) HOUR AS placed_at FROM orders WHERE o_orderdate + INTERVAL (o_orderkey % 24) HOUR BETWEEN TIMESTAMP '2001-04-02' AND TIMESTAMP '2001-07-01'",
 }

@@ -63,6 +63,16 @@ def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_snapshot(stored, later, CAPTURED)
 
 
+def differing_lines(s: Star, tolerance: float = 0.0) -> DataFrame:
+    """Where the merge of merged_lines left other amounts than the fact has, beyond a relative tolerance."""
+    return checks.compare_by_key(s.lines.select("order_line_key", "net_sales_cents"), merged_lines(s), ["order_line_key"], ["net_sales_cents"], tolerance)
+
+
+def lost_lines(s: Star) -> DataFrame:
+    """Rows of the merged fact that the fact does not hold."""
+    return checks.row_differences(merged_lines(s), s.lines.select("order_line_key", "order_updated_at", "net_sales_cents"))
+
+
 def captured_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog's history after a later capture in which parts changed, vanished and came."""
     key = F.substring("variation_id", 2, 20).cast("long")
@@ -154,6 +164,7 @@ def _lateral(name: str):
 
 def queries() -> dict:
     return {f"sql_range_{n}": _over(_called(n)) for n in range_functions.BODIES} | {f"lateral_range_{n}": _over(_lateral(n)) for n in PERIOD_NAMES} | {
+        "check_lines_that_differ": _over(differing_lines), "check_lines_that_differ_by_more": _over(lambda s: differing_lines(s, 1e-6)),
         "merge_stored_lines": _over(merged_stored_lines), "stream_stored_lines": _over(streamed_lines), "scd2_stored_history": stored_history,
         "merge_order_lines": _over(merged_lines),
         "scd2_history": lambda spark, sf_dir: captured_history(spark, sf_dir).select("variation_id", "category_name", "valid_from", "valid_to"),
@@ -205,6 +216,11 @@ def oracle_sql() -> dict[str, str]:
     lateral = {f"lateral_range_{n}": f"SELECT *{drop(n)} FROM ({over_periods(n)})" for n in PERIOD_NAMES}
     merged = f"""{STAR} SELECT order_line_key, order_updated_at, net_sales_cents + CASE WHEN order_updated_at < (SELECT CAST(max(order_updated_at) AS DATE) - 7 FROM fact_order_line WHERE order_updated_at < TIMESTAMP '{OLD_STATE}') THEN 1 ELSE 0 END AS net_sales_cents FROM fact_order_line"""
     return called | lateral | {
+        "check_lines_that_differ": f"""WITH m AS ({merged}), f AS ({STAR} SELECT order_line_key, net_sales_cents FROM fact_order_line)
+  SELECT order_line_key, 'net_sales_cents' AS "column", CAST(f.net_sales_cents AS VARCHAR) AS a, CAST(m.net_sales_cents AS VARCHAR) AS b FROM f JOIN m USING (order_line_key) WHERE f.net_sales_cents <> m.net_sales_cents""",
+        "check_lines_that_differ_by_more": f"""WITH m AS ({merged}), f AS ({STAR} SELECT order_line_key, net_sales_cents FROM fact_order_line)
+  SELECT order_line_key, 'net_sales_cents' AS "column", CAST(f.net_sales_cents AS VARCHAR) AS a, CAST(m.net_sales_cents AS VARCHAR) AS b FROM f JOIN m USING (order_line_key)
+  WHERE abs(f.net_sales_cents::DOUBLE - m.net_sales_cents::DOUBLE) > 1e-6::DOUBLE * greatest(abs(f.net_sales_cents::DOUBLE), abs(m.net_sales_cents::DOUBLE))""",
         "merge_stored_lines": merged, "stream_stored_lines": f"{STAR} SELECT order_line_key, order_updated_at, net_sales_cents FROM fact_order_line",
         "scd2_stored_history": f"""WITH {_SCD} SELECT md5(variation_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S')) AS item_version_key, variation_id, p_name AS item_name, p_brand AS variation_name, category_name,
   CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) AS price_cents, 'USD' AS currency, 'SKU' || p_partkey AS sku, p_partkey % 41 = 0 AS is_deleted, valid_from, valid_to, valid_from AS version_captured_at

@@ -27,7 +27,8 @@ def append_bronze(pages: DataFrame, root: str, entity: str, source: str = "squar
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
             raise
-    pages.withColumn("extracted_date", day).write.mode("append").partitionBy("extracted_date").json(path)
+    # A page is a document and a file of its own: the scan reads documents, of a file with several lines only the first.
+    pages.withColumn("extracted_date", day).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("extracted_date").json(path)
     return total
 
 

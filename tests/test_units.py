@@ -40,6 +40,14 @@ def test_page_is_never_overwritten(spark, tmp_path):
         write(spark, tmp_path, "locations", [{"id": "M"}])
 
 
+def test_every_page_of_a_write_is_read(spark, tmp_path):
+    key = schemas.LIST_KEYS["locations"]
+    meta = lambda n: {"source": "square", "entity": "locations", "page_number": n, "extracted_at": T1, "run_id": "r", "environment": "test"}
+    pages = spark.createDataFrame([{"metadata": meta(n), "payload": {key: [{"id": f"L{n}"}]}} for n in range(20)], schemas.envelope(key)).coalesce(1)
+    assert sinks.append_bronze(pages, str(tmp_path), "locations") == 20
+    assert bronze.bronze_pages(spark, str(tmp_path), "locations").select("record.id").distinct().count() == 20
+
+
 def test_catalog(spark, tmp_path):
     write(spark, tmp_path, "catalog", [
         {"type": "ITEM_VARIATION", "id": "V", "updated_at": T1, "is_deleted": False, "item_variation_data": {"item_id": "I", "name": "Six", "sku": "S", "price_money": money(1299)}},
