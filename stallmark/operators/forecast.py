@@ -30,7 +30,8 @@ def item_forecast(star: Star) -> DataFrame:
     fit = fit.withColumn("slope", slope).withColumn("base", (F.col("sy") - F.col("slope") * sx) / F.col("n"))
     trend = (F.col("n") >= 2) & F.col("slope").isNotNull()
     at = F.col("n") - 1 + 1 + F.col("weeks_ahead")
-    units = F.when(trend, rounded(F.col("base") + F.col("slope") * at)).otherwise(rounded(F.col("sy") / F.col("n")))
+    # The line is fitted in doubles: nine places are kept before halves are rounded, so that noise does not decide them.
+    units = F.when(trend, rounded(F.round(F.col("base") + F.col("slope") * at, 9))).otherwise(rounded(F.col("sy") / F.col("n")))
     return fit.withColumn("weeks_ahead", F.explode(F.sequence(F.lit(1), F.lit(HORIZON)))).select(
         "variation_id", "item_name", F.date_add(this_week, F.col("weeks_ahead") * 7).alias("forecast_week_start"), "weeks_ahead", F.col("n").cast("long").alias("weeks_of_history"),
         F.greatest(F.lit(0.0), units).alias("forecast_units"), F.when(trend, "linear_trend").otherwise("avg_fallback").alias("method"),
