@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalar import Units, day_name, day_of_week_iso, item_key_or_custom, pct_change, percent, rounded, week_start
+from ..functions.scalar import Units, day_name, day_of_week_iso, pct_change, percent, rounded, week_start
+from .daily import orders_of, with_split
 from .star import Star, as_date
 from .windows import LABEL, Windows
 
@@ -33,10 +34,6 @@ def _per_order(cents: Column, orders: Column) -> Column:
     return F.when(orders > 0, rounded(cents.cast("double") / orders.cast("double"))).otherwise(0.0)
 
 
-def _dated(star: Star) -> DataFrame:
-    return star.lines.where("sale_date is not null")
-
-
 def _when_complete(c: str) -> Column:
     return F.when(F.col("prior_window_complete"), F.col(c))
 
@@ -49,15 +46,11 @@ def _side_by_side(both: DataFrame, key: list[str], now: tuple[str, ...], prior:
 
 def summary(star: Star, windows: Windows) -> DataFrame:
     sums = ("gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents")
-    sold = windows.attach_both(_dated(star).select("sale_date", "square_order_id", "quantity", *sums), "sale_date").groupBy(LABEL, "is_prior").agg(
-        F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), *(_total(c).alias(c) for c in sums),
-    )
+    days = with_split(star.day_slots.select("sale_date", "orders", "units", *sums), star.split_lines)
+    sold = windows.attach_both(days, "sale_date").groupBy(LABEL, "is_prior").agg(orders_of(days).alias("orders"), _units("units").alias("units"), *(_total(c).alias(c) for c in sums))
     sold = _side_by_side(sold, [LABEL], ("orders", "units", *sums), {"orders": "p_orders", "units": "p_units", "net_sales_cents": "p_net"})
-    paid = windows.attach(star.payments, "pay_date").groupBy(LABEL).agg(_total("amount_cents").alias("collected_cents"), _total("processing_fee_cents").alias("processing_fee_cents"))
-    m = star.dated_margin.where("sale_date is not null").select("has_cost", "cogs_cents", "gross_profit_cents", "net_sales_cents", "sale_date")
-    costed = windows.attach(m, "sale_date").groupBy(LABEL).agg(
-        F.sum(F.when(F.col("has_cost"), F.col("net_sales_cents"))).alias("costed"), _total("cogs_cents").alias("cogs_cents"), _total("gross_profit_cents").alias("gross_profit_cents"), F.sum("net_sales_cents").alias("all_net"),
-    )
+    paid = windows.attach(star.day_tenders, "pay_date").groupBy(LABEL).agg(_total("amount_cents").alias("collected_cents"), _total("processing_fee_cents").alias("processing_fee_cents"))
+    costed = windows.attach(star.day_margins, "sale_date").groupBy(LABEL).agg(*(_total(c).alias(c) for c in ("costed", "cogs_cents", "gross_profit_cents", "all_net")))
     out = windows.frame
     for part in (sold, paid, costed):
         out = out.join(F.broadcast(part), LABEL, "left")  # at most one row for each window
@@ -82,10 +75,9 @@ def _share(part: str, whole: Column, windows: Windows) -> Column:
 
 
 def by_category(star: Star, windows: Windows) -> DataFrame:
-    lines = _dated(star).join(star.items.select("item_key", "category_name"), "item_key", "left")
-    lines = lines.withColumn("category_name", F.coalesce("category_name", F.lit("Uncategorized"))).select("sale_date", "square_order_id", "quantity", "net_sales_cents", "category_name")
+    days = with_split(star.day_categories, star.split_lines, "category_name")
     key = [LABEL, "category_name"]
-    sold = windows.attach_both(lines, "sale_date").groupBy(*key, "is_prior").agg(F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), _total("net_sales_cents").alias("net_sales_cents"))
+    sold = windows.attach_both(days, "sale_date").groupBy(*key, "is_prior").agg(orders_of(days).alias("orders"), _units("units").alias("units"), _total("net_sales_cents").alias("net_sales_cents"))
     sold = _side_by_side(sold, key, ("orders", "units", "net_sales_cents"), {"net_sales_cents": "p_net"}).where("not only_prior")
     out = sold.join(F.broadcast(windows.frame), LABEL)
     total = F.sum("net_sales_cents").over(W.partitionBy(LABEL))
@@ -97,8 +89,8 @@ def by_category(star: Star, windows: Windows) -> DataFrame:
 
 def _sold(star: Star, windows: Windows, *by: Column) -> DataFrame:
     """Orders and net sales by the given columns within each window."""
-    lines = windows.attach(_dated(star).select("sale_date", "closed_at_local", "square_order_id", "net_sales_cents"), "sale_date")
-    out = lines.groupBy(LABEL, *by).agg(F.countDistinct("square_order_id").alias("orders"), _total("net_sales_cents").alias("net_sales_cents"))
+    days = with_split(star.day_slots.select("sale_date", "hour_of_day", "orders", "net_sales_cents"), star.split_lines, "hour_of_day")
+    out = windows.attach(days, "sale_date").groupBy(LABEL, *by).agg(orders_of(days).alias("orders"), _total("net_sales_cents").alias("net_sales_cents"))
     return out.join(F.broadcast(windows.frame.select(LABEL, "period_order")), LABEL)
 
 
@@ -109,13 +101,13 @@ def by_weekday(star: Star, windows: Windows) -> DataFrame:
 
 
 def by_hour(star: Star, windows: Windows) -> DataFrame:
-    return _sold(star, windows, F.hour("closed_at_local").alias("hour_of_day")).select(LABEL, "period_order", "hour_of_day", "orders", "net_sales_cents")
+    return _sold(star, windows, F.col("hour_of_day")).select(LABEL, "period_order", "hour_of_day", "orders", "net_sales_cents")
 
 
 def popular_times(star: Star, windows: Windows) -> DataFrame:
-    lines = windows.attach(_dated(star).select("sale_date", "closed_at_local", "square_order_id", "net_sales_cents"), "sale_date")
-    slot = lines.groupBy(LABEL, day_of_week_iso("sale_date").alias("day_of_week"), day_name("sale_date").alias("day_name"), F.hour("closed_at_local").alias("hour_of_day")).agg(
-        F.countDistinct("sale_date").alias("days_observed"), F.countDistinct("square_order_id").alias("orders"), _total("net_sales_cents").alias("net_sales_cents"),
+    days = with_split(star.day_slots.select("sale_date", "hour_of_day", "orders", "net_sales_cents"), star.split_lines, "hour_of_day")
+    slot = windows.attach(days, "sale_date").groupBy(LABEL, day_of_week_iso("sale_date").alias("day_of_week"), day_name("sale_date").alias("day_name"), "hour_of_day").agg(
+        F.countDistinct("sale_date").alias("days_observed"), orders_of(days).alias("orders"), _total("net_sales_cents").alias("net_sales_cents"),
     )
     peak = F.max("orders").over(W.partitionBy(LABEL, "day_of_week"))
     return slot.select(
@@ -125,8 +117,8 @@ def popular_times(star: Star, windows: Windows) -> DataFrame:
 
 
 def by_payment(star: Star, windows: Windows) -> DataFrame:
-    out = windows.attach(star.payments, "pay_date").groupBy(LABEL, "source_type").agg(
-        F.count("*").alias("payments"), _total("amount_cents").alias("amount_collected_cents"), _total("processing_fee_cents").alias("processing_fee_cents"),
+    out = windows.attach(star.day_tenders, "pay_date").groupBy(LABEL, "source_type").agg(
+        F.sum("payments").alias("payments"), _total("amount_cents").alias("amount_collected_cents"), _total("processing_fee_cents").alias("processing_fee_cents"),
     )
     total = F.sum("amount_collected_cents").over(W.partitionBy(LABEL))
     return out.join(F.broadcast(windows.frame.select(LABEL, "period_order")), LABEL).select(
@@ -135,14 +127,14 @@ def by_payment(star: Star, windows: Windows) -> DataFrame:
 
 
 def by_item(star: Star, windows: Windows) -> DataFrame:
-    lines = _dated(star).select("sale_date", item_key_or_custom("catalog_object_id", "item_name").alias("variation_id"), "item_name", "variation_name", "square_order_id", "quantity", "net_sales_cents")
+    days = with_split(star.day_items, star.split_lines, "variation_id")
     key = [LABEL, "variation_id"]
-    sold = windows.attach_both(lines, "sale_date").groupBy(*key, "is_prior").agg(
-        F.max("item_name").alias("item_name"), F.max("variation_name").alias("variation_name"), F.countDistinct("square_order_id").alias("orders"), _units().alias("units"), _total("net_sales_cents").alias("net_sales_cents"),
+    sold = windows.attach_both(days, "sale_date").groupBy(*key, "is_prior").agg(
+        F.max("item_name").alias("item_name"), F.max("variation_name").alias("variation_name"), orders_of(days).alias("orders"), _units("units").alias("units"), _total("net_sales_cents").alias("net_sales_cents"),
     )
     now = ("item_name", "variation_name", "orders", "units", "net_sales_cents")
     sold = _side_by_side(sold, key, now, {"units": "p_units", "net_sales_cents": "p_net"}).where("not only_prior")
-    life = lines.groupBy("variation_id").agg(_units().alias("units_all_time"), F.min("sale_date").alias("first_sold_at"), F.max("sale_date").alias("last_sold_at"))
+    life = star.day_items.groupBy("variation_id").agg(_units("units").alias("units_all_time"), F.min("sale_date").alias("first_sold_at"), F.max("sale_date").alias("last_sold_at"))
     items = star.items.select(F.col("square_catalog_object_id").alias("variation_id"), "category_name", "is_lottery")
     out = sold.join(F.broadcast(windows.frame), LABEL).join(life, "variation_id", "left").join(items, "variation_id", "left")
     full, days = F.col("prior_window_complete"), F.col("period_days").cast("double")
@@ -157,7 +149,8 @@ def by_item(star: Star, windows: Windows) -> DataFrame:
 
 def daily_sales(star: Star) -> DataFrame:
     sums = [_total(c).alias(c) for c in ("gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents")]
-    by_day = star.lines.groupBy(F.col("sale_date").alias("date_day")).agg(F.countDistinct("square_order_id").alias("orders"), F.count("*").alias("line_items"), _units().alias("units"), *sums)
+    days = with_split(star.day_slots, star.split_lines)
+    by_day = days.groupBy(F.col("sale_date").alias("date_day")).agg(orders_of(days).alias("orders"), F.sum("line_items").alias("line_items"), _units("units").alias("units"), *sums)
     out = star.dates.select("date_day", "day_name", "is_weekend").join(by_day, "date_day", "left").select(
         F.col("date_day").alias("sale_date"), "day_name", "is_weekend", _zero("orders"), _zero("line_items"), F.coalesce(F.col("units"), F.lit(0).cast(Units)).alias("units"),
         *(_zero(c) for c in ("gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents")),
@@ -169,27 +162,31 @@ def daily_sales(star: Star) -> DataFrame:
 
 
 def item_weekly_sales(star: Star) -> DataFrame:
-    return _dated(star).groupBy(week_start("sale_date").alias("week_start"), item_key_or_custom("catalog_object_id", "item_name").alias("variation_id")).agg(
-        F.max("item_name").alias("item_name"), F.max("variation_name").alias("variation_name"), F.countDistinct("square_order_id").alias("orders"), _units().alias("units_sold"), _total("net_sales_cents").alias("net_sales_cents"),
+    days = with_split(star.day_items, star.split_lines, "variation_id")
+    return days.groupBy(week_start("sale_date").alias("week_start"), "variation_id").agg(
+        F.max("item_name").alias("item_name"), F.max("variation_name").alias("variation_name"), orders_of(days).alias("orders"), _units("units").alias("units_sold"), _total("net_sales_cents").alias("net_sales_cents"),
     )
 
 
 def data_coverage(star: Star) -> DataFrame:
     today = as_date(star.as_of)
-    lines = _dated(star).select("sale_date", "closed_at_local", "square_order_id", item_key_or_custom("catalog_object_id", "item_name").alias("variation_id"), week_start("sale_date").alias("week"))
+    days = with_split(star.day_slots.select("sale_date", "orders", "last_order_at"), star.split_lines).withColumn("week", week_start("sale_date"))
     done = F.col("week") < week_start(today)
     first, last = F.min("sale_date"), F.max("sale_date")
-    return lines.agg(
-        first.alias("first_sale_date"), last.alias("last_sale_date"), F.max("closed_at_local").alias("last_order_at"), (F.datediff(last, first) + 1).cast("long").alias("days_covered"),
+    sold = star.day_items.agg(F.countDistinct("variation_id").alias("items_sold"))
+    out = days.agg(
+        first.alias("first_sale_date"), last.alias("last_sale_date"), F.max("last_order_at").alias("last_order_at"), (F.datediff(last, first) + 1).cast("long").alias("days_covered"),
         F.countDistinct("sale_date").alias("days_with_sales"), F.countDistinct("week").alias("weeks_covered"), F.countDistinct(F.when(done, F.col("sale_date"))).alias("days_in_complete_weeks"),
-        F.countDistinct(F.when(done, F.col("week"))).alias("complete_weeks_covered"), F.countDistinct("square_order_id").alias("orders"), F.countDistinct("variation_id").alias("items_sold"),
+        F.countDistinct(F.when(done, F.col("week"))).alias("complete_weeks_covered"), F.coalesce(orders_of(days), F.lit(0)).alias("orders"),
         F.greatest(F.lit(0), F.datediff(today, last)).cast("long").alias("days_since_last_sale"),
     )
+    return out.crossJoin(F.broadcast(sold)).select(*out.columns[:-1], "items_sold", out.columns[-1])  # one row each
 
 
 def reconciliation(star: Star) -> DataFrame:
-    orders = star.lines.groupBy("square_order_id").agg(F.sum(F.col("net_sales_cents") + F.col("tax_cents")).alias("order_total_cents"), F.lit(True).alias("o"))
-    paid = star.payments.where("square_order_id is not null").groupBy("square_order_id").agg(_total("amount_cents").alias("paid_cents"), F.lit(True).alias("p"))
+    """Totals and payments by order meet in their buckets: neither lines nor payments are shuffled."""
+    orders = star.order_totals.select("square_order_id", "order_total_cents", F.lit(True).alias("o"))
+    paid = star.order_payments.withColumn("p", F.lit(True))
     due, got = F.col("order_total_cents"), F.col("paid_cents")
     status = F.when(F.col("o").isNull(), "payment_without_order").when(F.col("p").isNull(), "order_without_payment").when(F.abs(due - got) <= 1, "matched").when(got > due, "overpaid").otherwise("short")
     return orders.join(paid, "square_order_id", "full").select(
@@ -233,11 +230,11 @@ def inventory_position(star: Star) -> DataFrame:
 
 
 def over_range(operator, star: Star, start: dt.date, end: dt.date) -> DataFrame:
-    return operator(star, Windows.of_range(star.lines, start, end, star.as_of)).drop(LABEL, "period_order")
+    return operator(star, Windows.of_range(star.day_slots, start, end, star.as_of)).drop(LABEL, "period_order")
 
 
 def range_window(star: Star, start: dt.date, end: dt.date) -> DataFrame:
-    w = Windows.of_range(star.lines, start, end, star.as_of)
+    w = Windows.of_range(star.day_slots, start, end, star.as_of)
     return w.frame.select("period_start", "period_end", "period_days", "prior_start", "prior_end", "prior_window_complete")
 
 

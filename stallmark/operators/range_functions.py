@@ -2,7 +2,7 @@
 
 `register` creates them in the session: `SELECT * FROM range_summary(DATE '2001-05-01', DATE '2001-05-31')`, or for every
 row of a table `FROM dim_period p, LATERAL range_summary(p.period_start, p.period_end) r`. With literal dates the
-bounds reach the scan; in a lateral call the windows are a small table that each fact meets once. The bodies take the
+bounds reach the scan; in a lateral call the windows are a small table that each day table meets once. The bodies take the
 two dates in one place (w), so that Spark can turn a lateral call into joins. A window that ends before it
 starts has no rows, and zeros in the summary.
 """
@@ -14,8 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import item_key_or_custom
 from . import kpi
+from .daily import with_split
 from .star import Star, as_date
 
 #: Functions of one expression each that the bodies share.
@@ -26,8 +26,8 @@ _SCALAR = {
 }
 _W = """WITH w AS (SELECT p_start AS s, p_end AS e, datediff(p_end, p_start) + 1 AS n, date_sub(p_start, datediff(p_end, p_start) + 1) AS ps, date_sub(p_start, 1) AS pe),
 f AS (SELECT w.*, ps >= first_sale_date AS full_prior FROM w CROSS JOIN rl_span)"""
-_BOTH = "FROM rl_line JOIN w ON sale_date BETWEEN ps AND e"
-_NOW = "FROM rl_line JOIN w ON sale_date BETWEEN s AND e"
+_BOTH = "FROM rl_{} JOIN w ON sale_date BETWEEN ps AND e"
+_NOW = "FROM rl_slot JOIN w ON sale_date BETWEEN s AND e"
 
 
 def _now(what: str, agg: str = "sum") -> str:
@@ -38,20 +38,18 @@ def _prior(what: str, agg: str = "sum") -> str:
     return f"{agg}(CASE WHEN sale_date < s THEN {what} END)"
 
 
-def _distinct(of: str) -> str:
-    return of.replace("(CASE", "(DISTINCT CASE")
-
-
 _SUMS = ("gross_sales_cents", "discount_cents", "tax_cents", "net_sales_cents")
-_ORDERS = _distinct(_now("square_order_id", "count"))
+#: Distinct orders: those of one slot add up by day, the others (views have their ids by day) are counted in the window.
+_ORDERS = f"coalesce({_now('orders')}, 0) + {_now('split_order', 'count')}".replace("count(CASE", "count(DISTINCT CASE")
+_ALL_ORDERS = "sum(orders) + count(DISTINCT split_order)"
 BODIES = {
     "window": "SELECT s, e, n, ps, pe, full_prior FROM f",
     "summary": f""", sold AS (
-  SELECT {_ORDERS} AS orders, {_distinct(_prior("square_order_id", "count"))} AS p_orders, count(CASE WHEN sale_date < s THEN 1 END) AS p_lines, {_now("quantity")} AS units, {_prior("quantity")} AS p_units,
-    {", ".join(f"{_now(c)} AS {c}" for c in _SUMS)}, {_prior("net_sales_cents")} AS p_net {_BOTH}
+  SELECT {_ORDERS} AS orders, {_ORDERS.replace(">= s", "< s")} AS p_orders, count(CASE WHEN sale_date < s THEN 1 END) AS p_lines, {_now("units")} AS units, {_prior("units")} AS p_units,
+    {", ".join(f"{_now(c)} AS {c}" for c in _SUMS)}, {_prior("net_sales_cents")} AS p_net {_BOTH.format("slot")}
 ), paid AS (SELECT sum(amount_cents) AS collected_cents, sum(processing_fee_cents) AS processing_fee_cents FROM rl_payment JOIN w ON pay_date BETWEEN s AND e),
 costed AS (
-  SELECT sum(CASE WHEN has_cost THEN net_sales_cents END) AS costed, sum(cogs_cents) AS cogs_cents, sum(gross_profit_cents) AS gross_profit_cents, sum(net_sales_cents) AS all_net
+  SELECT sum(costed) AS costed, sum(cogs_cents) AS cogs_cents, sum(gross_profit_cents) AS gross_profit_cents, sum(all_net) AS all_net
   FROM rl_margin JOIN w ON sale_date BETWEEN s AND e
 ), one AS (SELECT * FROM f CROSS JOIN sold CROSS JOIN paid CROSS JOIN costed)
 SELECT n, s, e, ps, pe, orders, coalesce(units, 0), {", ".join(f"coalesce({c}, 0)" for c in _SUMS)},
@@ -60,22 +58,22 @@ SELECT n, s, e, ps, pe, orders, coalesce(units, 0), {", ".join(f"coalesce({c}, 0
   rl_change(coalesce(net_sales_cents, 0), p_net, full_prior), rl_change(orders, CASE WHEN p_lines > 0 THEN p_orders END, full_prior), rl_change(coalesce(units, 0), p_units, full_prior), cogs_cents, gross_profit_cents,
   CASE WHEN costed > 0 THEN rl_pct(gross_profit_cents, costed, 2) END, CASE WHEN all_net > 0 THEN rl_pct(costed, all_net, 1) END FROM one""",
     "category": f""", c AS (
-  SELECT category_name, {_ORDERS} AS orders, {_now("quantity")} AS units, {_now("net_sales_cents")} AS net, {_prior("net_sales_cents")} AS p_net {_BOTH.replace("rl_line", "rl_category_line")}
+  SELECT category_name, {_ORDERS} AS orders, {_now("units")} AS units, {_now("net_sales_cents")} AS net, {_prior("net_sales_cents")} AS p_net {_BOTH.format("category")}
   GROUP BY category_name HAVING {_now("1", "count")} > 0
 ), t AS (SELECT *, sum(net) OVER () AS total FROM c)
 SELECT category_name, orders, units, net, rl_pct(net, CASE WHEN total > 0 THEN total END, 2), CASE WHEN full_prior THEN p_net END, rl_change(net, p_net, full_prior) FROM t CROSS JOIN f""",
-    "weekday": f""", d AS (SELECT weekday(sale_date) + 1 AS dow, date_format(sale_date, 'EEEE') AS name, count(DISTINCT square_order_id) AS orders, sum(net_sales_cents) AS net {_NOW} GROUP BY ALL)
+    "weekday": f""", d AS (SELECT weekday(sale_date) + 1 AS dow, date_format(sale_date, 'EEEE') AS name, {_ALL_ORDERS} AS orders, sum(net_sales_cents) AS net {_NOW} GROUP BY ALL)
 SELECT dow, name, dow >= 6, orders, net, CASE WHEN orders > 0 THEN rl_round(CAST(net AS DOUBLE) / CAST(orders AS DOUBLE), 0) ELSE 0.0D END FROM d""",
-    "hour": f"SELECT hour(closed_at_local) AS h, count(DISTINCT square_order_id), sum(net_sales_cents) {_NOW} GROUP BY ALL",
+    "hour": f"SELECT hour_of_day AS h, {_ALL_ORDERS}, sum(net_sales_cents) {_NOW} GROUP BY ALL",
     "popular_times": f""", d AS (
-  SELECT weekday(sale_date) + 1 AS dow, date_format(sale_date, 'EEEE') AS name, hour(closed_at_local) AS h, count(DISTINCT sale_date) AS days, count(DISTINCT square_order_id) AS orders, sum(net_sales_cents) AS net {_NOW} GROUP BY ALL
+  SELECT weekday(sale_date) + 1 AS dow, date_format(sale_date, 'EEEE') AS name, hour_of_day AS h, count(DISTINCT sale_date) AS days, {_ALL_ORDERS} AS orders, sum(net_sales_cents) AS net {_NOW} GROUP BY ALL
 ), t AS (SELECT *, max(orders) OVER (PARTITION BY dow) AS peak FROM d)
 SELECT dow, name, h, days, orders, net, rl_round(CAST(orders AS DOUBLE) / CAST(days AS DOUBLE), 1), rl_pct(orders, peak, 0) FROM t""",
-    "payments": """, d AS (SELECT source_type, count(*) AS payments, sum(amount_cents) AS amount, sum(processing_fee_cents) AS fee FROM rl_payment JOIN w ON pay_date BETWEEN s AND e GROUP BY source_type),
+    "payments": """, d AS (SELECT source_type, sum(payments) AS payments, sum(amount_cents) AS amount, sum(processing_fee_cents) AS fee FROM rl_payment JOIN w ON pay_date BETWEEN s AND e GROUP BY source_type),
 t AS (SELECT *, sum(amount) OVER () AS total FROM d) SELECT source_type, payments, amount, fee, rl_pct(amount, CASE WHEN total > 0 THEN total END, 2) FROM t""",
     "items": f""", i AS (
-  SELECT variation_id, {_now("item_name", "max")} AS item_name, {_now("variation_name", "max")} AS variation_name, {_now("quantity")} AS units, {_ORDERS} AS orders, {_now("net_sales_cents")} AS net,
-    {_prior("quantity")} AS p_units, {_prior("net_sales_cents")} AS p_net {_BOTH} GROUP BY variation_id HAVING {_now("1", "count")} > 0
+  SELECT variation_id, {_now("item_name", "max")} AS item_name, {_now("variation_name", "max")} AS variation_name, {_now("units")} AS units, {_ORDERS} AS orders, {_now("net_sales_cents")} AS net,
+    {_prior("units")} AS p_units, {_prior("net_sales_cents")} AS p_net {_BOTH.format("sold_item")} GROUP BY variation_id HAVING {_now("1", "count")} > 0
 )
 SELECT i.variation_id, i.item_name, i.variation_name, a.category_name, coalesce(a.is_lottery, false), units, orders, net, rl_round(CAST(units AS DOUBLE) * 7.0D / CAST(n AS DOUBLE), 2),
   CASE WHEN full_prior THEN p_units END, CASE WHEN full_prior THEN p_net END, rl_change(units, p_units, full_prior), rl_change(net, p_net, full_prior), units_all_time, first_sold_at, last_sold_at
@@ -91,17 +89,16 @@ def register(star: Star) -> list[str]:
     names = [f"range_{n}" for n in BODIES]
     if _registered.get(id(spark)) is star:
         return names
-    dated = star.lines.where("sale_date is not null")
-    category = star.items.select("item_key", F.col("category_name").alias("category"))
-    by_category = dated.join(category, "item_key", "left").withColumn("category_name", F.coalesce("category", F.lit("Uncategorized")))
-    variation = item_key_or_custom("catalog_object_id", "item_name").alias("variation_id")
-    own = dated.select(variation, "quantity", "sale_date")
-    life = own.groupBy("variation_id").agg(F.sum("quantity").alias("units_all_time"), F.min("sale_date").alias("first_sold_at"), F.max("sale_date").alias("last_sold_at"))
+    split = star.split_lines
+    life = star.day_items.groupBy("variation_id").agg(F.sum("units").alias("units_all_time"), F.min("sale_date").alias("first_sold_at"), F.max("sale_date").alias("last_sold_at"))
     views = {
-        "rl_line": dated.select("sale_date", "closed_at_local", "square_order_id", variation, "item_name", "variation_name", "quantity", *_SUMS),
-        "rl_category_line": by_category.select("sale_date", "square_order_id", "category_name", "quantity", "net_sales_cents"), "rl_payment": star.payments, "rl_life": life,
-        "rl_margin": star.dated_margin.where("sale_date is not null"), "rl_item": star.items.select(F.col("square_catalog_object_id").alias("variation_id"), "category_name", "is_lottery"),
-        "rl_span": dated.agg(F.coalesce(F.min("sale_date"), as_date(star.as_of)).alias("first_sale_date")),
+        "rl_slot": with_split(star.day_slots, split, "hour_of_day"), "rl_category": with_split(star.day_categories, split, "category_name"), "rl_sold_item": with_split(star.day_items, split, "variation_id"),
+    }
+    if split is None:
+        views = {name: df.withColumn("split_order", F.lit(None).cast("string")) for name, df in views.items()}
+    views |= {
+        "rl_payment": star.day_tenders, "rl_life": life, "rl_margin": star.day_margins, "rl_item": star.items.select(F.col("square_catalog_object_id").alias("variation_id"), "category_name", "is_lottery"),
+        "rl_span": star.day_slots.agg(F.coalesce(F.min("sale_date"), as_date(star.as_of)).alias("first_sale_date")),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)

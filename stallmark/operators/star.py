@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import cents, day_name, day_of_week_iso, month_name, normalize_category, percent, surrogate_key, to_local_time, week_of_year
-from ..sources.gold import materialised
+from ..sources.gold import bucketed, materialised
+from . import daily
 
 #: Categories that count as lottery.
 LOTTERY = ("SCRATCHER", "LOTTO")
@@ -193,6 +194,56 @@ class Star:
     def margin(self) -> DataFrame:
         return self.dated_margin.drop("sale_date")
 
+    # By order and by day (see daily.py). With a root the tables by order are bucketed alike, so that they meet without an exchange.
+
+    @cached_property
+    def order_totals(self) -> DataFrame:
+        totals = daily.order_totals(self.lines)
+        return bucketed(totals, self.root, "order_totals", "square_order_id", self.lines.count()) if self.root else totals
+
+    @cached_property
+    def order_payments(self) -> DataFrame:
+        paid = daily.order_payments(self.payments)
+        return bucketed(paid, self.root, "order_payments", "square_order_id", self.lines.count()) if self.root else paid
+
+    @cached_property
+    def split_orders(self) -> DataFrame | None:
+        """The orders of several slots; None where a stored table shows that there are none."""
+        split = daily.split_orders(self.order_totals)
+        if not self.root:
+            return split
+        split = self._gold(split, "split_orders")
+        found = split.count()
+        return None if not found else F.broadcast(split) if found <= daily.BROADCAST_ROWS else split
+
+    @cached_property
+    def day_lines(self) -> DataFrame:
+        return daily.day_lines(self.lines, self.items)
+
+    @cached_property
+    def split_lines(self) -> DataFrame | None:
+        return None if self.split_orders is None else self._gold(daily.split_lines(self.day_lines, self.split_orders), "split_lines", "sale_date")
+
+    @cached_property
+    def day_slots(self) -> DataFrame:
+        return self._gold(daily.day_slots(daily.in_one_slot(self.day_lines, self.split_orders)), "day_slots", "sale_date")
+
+    @cached_property
+    def day_categories(self) -> DataFrame:
+        return self._gold(daily.day_categories(daily.in_one_slot(self.day_lines, self.split_orders)), "day_categories", "sale_date")
+
+    @cached_property
+    def day_items(self) -> DataFrame:
+        return self._gold(daily.day_items(daily.in_one_slot(self.day_lines, self.split_orders)), "day_items", "sale_date")
+
+    @cached_property
+    def day_tenders(self) -> DataFrame:
+        return self._gold(daily.day_tenders(self.payments), "day_tenders", "pay_date")
+
+    @cached_property
+    def day_margins(self) -> DataFrame:
+        return self._gold(daily.day_margins(self.dated_margin), "day_margins", "sale_date")
+
     @cached_property
     def dates(self) -> DataFrame:
         return self._gold(dim_date(self.lines, self.as_of), "dim_date")

@@ -236,6 +236,15 @@ SELECT square_catalog_object_id, item_name, category_name, p_size::DOUBLE AS qua
     "fact_inventory_snapshot": f"""{STAR} SELECT md5(square_catalog_object_id || '|LOC' || (p_partkey % 5) || '|IN_STOCK') AS inventory_snapshot_key, square_catalog_object_id, item_key, location_key, 'LOC' || (p_partkey % 5) AS square_location_id, 'IN_STOCK' AS state,
   p_size::DOUBLE AS quantity_on_hand, TIMESTAMP '2001-08-01 06:00:00' AS calculated_at FROM dim_item LEFT JOIN places ON location_id = 'LOC' || (p_partkey % 5)""",
     "fact_order_line_margin": f"{STAR} SELECT * FROM fact_order_line_margin",
+    "order_totals": f"""{STAR}, o AS (SELECT square_order_id, CAST(sum(net_sales_cents + tax_cents) AS BIGINT) AS order_total_cents, min(date_trunc('hour', closed_at_local)) AS lo, max(date_trunc('hour', closed_at_local)) AS hi FROM fact_order_line GROUP BY 1)
+SELECT square_order_id, order_total_cents, CAST(lo AS DATE) AS first_sale_date, CAST(hour(lo) AS INTEGER) AS first_hour_of_day, CAST(hi AS DATE) AS last_sale_date, CAST(hour(hi) AS INTEGER) AS last_hour_of_day FROM o""",
+    "day_slots": f"""{STAR} SELECT sale_date, CAST(hour(closed_at_local) AS INTEGER) AS hour_of_day, count(DISTINCT square_order_id) AS orders, {_UNITS} AS units, count(*) AS line_items, max(closed_at_local) AS last_order_at,
+  {_sum("gross_sales_cents")}, {_sum("discount_cents")}, {_sum("tax_cents")}, {_sum("net_sales_cents")} FROM lines GROUP BY 1, 2""",
+    "day_categories": f"{STAR} SELECT sale_date, coalesce(category_name, 'Uncategorized') AS category_name, count(DISTINCT square_order_id) AS orders, {_UNITS} AS units, {_sum('net_sales_cents')} FROM lines LEFT JOIN dim_item USING (item_key) GROUP BY 1, 2",
+    "day_items": f"{STAR} SELECT sale_date, variation_id, count(DISTINCT square_order_id) AS orders, {_UNITS} AS units, {_sum('net_sales_cents')}, max(item_name) AS item_name, max(variation_name) AS variation_name FROM lines GROUP BY 1, 2",
+    "day_tenders": f"{STAR} SELECT pay_date, source_type, count(*) AS payments, {_sum('amount_cents')}, {_sum('processing_fee_cents')} FROM fact_payment WHERE pay_date IS NOT NULL GROUP BY 1, 2",
+    "day_margins": f"""{STAR} SELECT sale_date, CAST(sum(CASE WHEN has_cost THEN m.net_sales_cents END) AS BIGINT) AS costed, {_sum("cogs_cents")}, {_sum("gross_profit_cents")}, CAST(sum(m.net_sales_cents) AS BIGINT) AS all_net
+  FROM fact_order_line_margin m JOIN lines l USING (order_line_key) GROUP BY 1""",
 }
 PERIOD_NAMES = {"summary": "kpi_summary", "category": "kpi_sales_by_category", "weekday": "kpi_sales_by_weekday", "hour": "kpi_sales_by_hour", "payments": "kpi_payment_methods", "items": "kpi_item_sales", "popular_times": "kpi_popular_times"}
 

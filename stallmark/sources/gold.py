@@ -11,7 +11,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of the fact for each bucket of a table by order.
+BUCKET_ROWS = 4_000_000
+
 _roots: dict[tuple[str, str, str], str] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
@@ -54,7 +58,10 @@ def release(spark: SparkSession, name: str | None = None) -> int:
     """Removes the gold tables of this application (of one name, or all), for when nothing reads them any more; how many folders."""
     keys = [k for k in _roots if k[0] == spark.sparkContext.applicationId and name in (None, k[1])]
     for k in keys:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_roots.pop(k))
+        root = _roots.pop(k)
+        for name in _tables.pop(root, ()):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return len(keys)
 
@@ -72,6 +79,22 @@ def materialised(df: DataFrame, root: str, name: str, day: str | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, root: str, name: str, key: str, rows: int) -> DataFrame:
+    """A gold table in buckets by hash of its key, one file each; tables of the same `rows` have buckets alike and are joined on the key in place.
+
+    Buckets follow the number of rows, up to Spark's bound (spark.sql.sources.bucketing.maxBuckets). Spark knows buckets
+    only of tables in its catalog; the table is an external one over the folder, and release drops it.
+    """
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    n = min(most, max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-rows // BUCKET_ROWS)))
+    table = f"{name}_{root.rsplit('-', 1)[-1]}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    df.repartition(n, key).write.mode("overwrite").format("parquet").bucketBy(n, key).option("path", f"{root}/{name}").saveAsTable(table)
+    _tables.setdefault(root, []).append(table)
+    return spark.table(table)
+
+
 def written_tables(star, root: str) -> dict[str, int]:
     """Writes every dimension and fact of a star under root; rows by table."""
     tables = {
@@ -83,6 +106,10 @@ def written_tables(star, root: str) -> dict[str, int]:
 
 def built(star) -> None:
     """Writes the gold tables of a star: dimensions first, then the facts that do not need one another side by side, then those that follow."""
-    for step in (("locations", "items", "vendors"), ("lines", "payments", "inventory"), ("dated_margin", "dates", "periods")):
+    steps = (
+        ("locations", "items", "vendors"), ("lines", "payments", "inventory"), ("dated_margin", "dates", "periods", "order_totals", "order_payments", "day_tenders"),
+        ("split_orders", "day_lines"), ("split_lines", "day_slots", "day_categories", "day_items", "day_margins"),
+    )
+    for step in steps:
         with ThreadPoolExecutor(len(step)) as pool:
             list(pool.map(lambda name: getattr(star, name), step))
