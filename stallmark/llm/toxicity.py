@@ -3,8 +3,10 @@
 A document's terms are its distinct words and their four- and five-letter beginnings, hashed to
 32 bits. The machine adds a weight for each term and, through factors, one for each pair of
 terms, so a pair can count for more than its two terms. It is fitted on a bounded sample of
-labelled rows: terms are screened there by their own chi-squared value and, so that a term which is neutral
-alone and counts beside another is kept, by the label's share among the rows that hold a pair; others weigh nothing.
+labelled rows (`SAMPLE_ROWS`, the only bound): every term of it whose own chi-squared value reaches `MIN_CHI2` takes part and,
+so that a term which is neutral alone and counts beside another is kept, every term of a pair whose share of
+positive labels reaches `MIN_PAIR_RATIO`; others carry no evidence in the sample and weigh nothing. The fit does not depend on the order
+of the rows.
 
 Defined cases: null and empty texts have no terms and score the machine's bias; terms count once
 however often they occur; repeated rows score alike; without labels of both kinds the score is the
@@ -28,7 +30,6 @@ from .common import fold, written
 from .sampling import HELD_OUT_PARTS, labelled_sample, sampled_features
 
 SAMPLE_ROWS = 20_000
-MAX_TERMS = 4096
 MIN_CHI2 = 12.0
 #: Least likelihood ratio (2 ln) of a pair's share of positive labels against that of either term alone.
 MIN_PAIR_RATIO = 40.0
@@ -84,17 +85,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def screen(found: DataFrame, most: int = MAX_TERMS, least: float = MIN_CHI2) -> np.ndarray:
-    """The sorted terms whose presence depends on the label, by chi-squared over (terms, label) rows; at most `most`."""
+def screen(found: DataFrame, least: float = MIN_CHI2) -> np.ndarray:
+    """The sorted terms whose presence depends on the label, by chi-squared (corrected for continuity, so that few rows show little) over (terms, label) rows."""
     n, p = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < p < n:
         return np.zeros(0, np.int64)
     counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("pos"))
     expected = F.col("df") * (p / n)
     spread = expected * (1 - p / n) * (n - F.col("df")) / max(n - 1, 1)
-    chi2 = (F.col("pos") - expected) * (F.col("pos") - expected) / F.greatest(spread, F.lit(1e-9))
-    best = counts.where("df >= 3").withColumn("chi2", chi2).where(F.col("chi2") >= least)
-    return np.sort(np.array([r.term for r in best.orderBy(F.col("chi2").desc(), "term").limit(most).collect()], np.int64))
+    apart = F.greatest(F.abs(F.col("pos") - expected) - 0.5, F.lit(0.0))
+    best = counts.where(apart * apart / F.greatest(spread, F.lit(1e-9)) >= least)
+    return best.select("term").orderBy("term").toArrow().column("term").to_numpy().astype(np.int64)
 
 
 def placed(found: DataFrame, terms: np.ndarray) -> pa.Table:
@@ -125,8 +126,8 @@ def pair_ratio(both: np.ndarray, pos: np.ndarray, a: np.ndarray, b: np.ndarray,
     return np.where(both > 0, 2 * (up + down), 0)
 
 
-def screen_pairs(found: DataFrame, most: int = MAX_TERMS, least: float = MIN_PAIR_RATIO) -> np.ndarray:
-    """The sorted terms of pairs that say more of the label than either term; at most `most`.
+def screen_pairs(found: DataFrame, least: float = MIN_PAIR_RATIO) -> np.ndarray:
+    """The sorted terms of pairs that say more of the label than either term.
 
     A pair of k positive rows reaches at most 2 k ln(1 / p), so rarer terms are left out without loss (likewise
     for negative rows). All pairs of the rest are counted, a block of terms in a task's memory at a time.
@@ -169,13 +170,12 @@ def screen_pairs(found: DataFrame, most: int = MAX_TERMS, least: float = MIN_PAI
                                 pos[a - lo] = c
                 ratio = pair_ratio(both, pos, alone[lo:hi, None], alone[None], share)
                 ratio[np.arange(hi - lo), np.arange(lo, hi)] = 0
-                best = ratio.max(1)
-                keep = np.flatnonzero(best >= least)
-                yield pa.RecordBatch.from_arrays([pa.array(lo + keep, pa.int64()), pa.array(best[keep], pa.float64())], names=["at", "ratio"])
+                keep = np.flatnonzero(ratio.max(1) >= least)
+                yield pa.RecordBatch.from_arrays([pa.array(lo + keep, pa.int64())], names=["at"])
 
     blocks = -(-len(terms) // PAIR_BLOCK)
-    best = spark.range(0, blocks, 1, min(blocks, 64)).mapInArrow(compare, "at long, ratio double").orderBy(F.col("ratio").desc(), "at").limit(most)
-    out = np.sort(terms[[r.at for r in best.collect()]].astype(np.int64))
+    best = spark.range(0, blocks, 1, min(blocks, 64)).mapInArrow(compare, "at long")
+    out = terms[np.sort(best.toArrow().column("at").to_numpy())]
     shared.destroy()
     return out
 
@@ -231,8 +231,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     found = written(sampled_features(docs, labelled_sample(labels, "toxic", sample_rows), extract, "terms array<long>, label int"), "terms")
     terms = np.union1d(screen(found), screen_pairs(found))
     got = placed(found, terms)
-    places = [np.array(x, np.int64) for x in got.column("places").to_pylist()]
-    return fit(places, got.column("label").to_numpy(), terms)
+    # In an order of their own: that of the files differs with the partitions.
+    rows = sorted(zip((x.tobytes() for x in got.column("places").to_numpy()), got.column("label").to_pylist()))
+    return fit([np.frombuffer(x, np.int32) for x, _ in rows], np.array([y for _, y in rows]), terms)
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
