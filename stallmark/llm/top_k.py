@@ -12,8 +12,8 @@ Queries lie in blocks of about `query_block`, which tasks write to the shared fo
 memory-map: one pass over the vectors meets all of them, and nothing that is broadcast (the rotation and the
 `FLOOR_ROWS` longest vectors) grows with the data.
 
-Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor
-do rows without an id; shorter vectors count as padded with zeros; ties go to the smaller vec_id; rows
+Defined cases: vectors that are null, or hold null or non-finite components take no part, nor
+do rows without an id; shorter vectors, empty ones included, count as padded with zeros; ties go to the smaller vec_id; rows
 are told apart by themselves, so each row of a repeated vec_id is a candidate and, where its id is
 asked for, a query with ranks of its own, which never meets itself; scores beyond a long are held at
 its limits; an empty table gives an empty result; further columns are ignored.
@@ -47,7 +47,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id, v (array of whole numbers as double), length: the rows that take part, repeated ones too."""
     x = F.col("embedding").cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    own = vectors.where(F.col("vec_id").isNotNull() & (F.size(x) > 0)).where(~bad)
+    own = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull()).where(~bad)
     # F.floor of a double gives a long; huge values stay whole doubles.
     v = F.transform(x, lambda c: F.when(F.abs(c) < 2.0**40, F.floor(c * scale).cast("double")).otherwise(c * scale))
     own = own.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
@@ -165,9 +165,9 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = K, scale: int = SCALE,
 ORACLE_SQL = """
 WITH q AS MATERIALIZED (
   SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
-  SELECT a.r AS r, a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  SELECT a.r AS r, a.vec_id AS query_id, b.vec_id AS vec_id, CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
   FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.r <> b.r
 ), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
