@@ -8,12 +8,12 @@ How strongly children lean on their parent is estimated from the spread of their
 the method of moments. A page without a rule is blocked if a lower posterior bound of its host's
 share of blocked pages (mean less z standard deviations) is above a threshold.
 
-The table of hosts is made once and stored, as are the levels above it; their moments are one row each, read as
-literals. Pages of the at most HOT_HOSTS busiest hosts get their verdict by a broadcast, other pages without
+Urls are parsed and judged by the rules once, and what is found is stored for the passes that follow. The table of hosts
+is stored too, as are the levels above it; their moments are one row each, read as literals. Pages of the at most HOT_HOSTS busiest hosts get their verdict by a broadcast, other pages without
 a rule by a join, pages with a rule by neither.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and counts as a host
-of its own; a repeated page counts each time; a null page_id is kept; an empty table gives an
+of its own; urls of any length are read whole; a repeated page counts each time; a null page_id is kept; an empty table gives an
 empty result; further columns are ignored.
 """
 
@@ -103,7 +103,7 @@ def reputation(judged_pages: DataFrame) -> DataFrame:
 
 def url_filter(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict for every page."""
-    own = judged(pages, rules)
+    own = written(judged(pages, rules), "judged")
     verdicts = written(reputation(own).where("free > 0").select("host", "free", F.when(F.col("bound") > threshold, "block").otherwise("allow").alias("host_verdict")), "verdicts")
     free = verdicts.agg(F.sum("free")).first()[0] or 0
     is_hot = F.col("free") * HOT_HOSTS > free
