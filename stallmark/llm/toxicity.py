@@ -26,15 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import fold, written
+from .common import fold, shared_folder, written
+from .hash_arrays import Arrays, by_bucket, save
 from .sampling import HELD_OUT_PARTS, labelled_sample, sampled_features
 
 SAMPLE_ROWS = 20_000
 MIN_CHI2 = 12.0
 #: Least likelihood ratio (2 ln) of a pair's share of positive labels against that of either term alone.
 MIN_PAIR_RATIO = 40.0
-#: Terms that a task compares with all others at a time.
-PAIR_BLOCK = 128
+#: Terms that a task compares with all others at a time, and sampled rows whose terms one stored file holds.
+PAIR_BLOCK, POSTING_ROWS = 128, 2_500
 FACTORS = 8
 EPOCHS = 12
 CACHE = 400_000
@@ -85,20 +86,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def screen(found: DataFrame, least: float = MIN_CHI2) -> np.ndarray:
+def term_counts(found: DataFrame) -> DataFrame:
+    """(term, df, pos): the rows that hold each term, and the positive ones of these, over (terms, label) rows."""
+    return found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("pos"))
+
+
+def screen(found: DataFrame, least: float = MIN_CHI2, counts: DataFrame | None = None) -> np.ndarray:
     """The sorted terms whose presence depends on the label, by chi-squared (corrected for continuity, so that few rows show little) over (terms, label) rows."""
     n, p = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < p < n:
         return np.zeros(0, np.int64)
-    counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("pos"))
     expected = F.col("df") * (p / n)
     spread = expected * (1 - p / n) * (n - F.col("df")) / max(n - 1, 1)
     apart = F.greatest(F.abs(F.col("pos") - expected) - 0.5, F.lit(0.0))
-    best = counts.where(apart * apart / F.greatest(spread, F.lit(1e-9)) >= least)
+    best = (term_counts(found) if counts is None else counts).where(apart * apart / F.greatest(spread, F.lit(1e-9)) >= least)
     return best.select("term").orderBy("term").toArrow().column("term").to_numpy().astype(np.int64)
 
 
-def placed(found: DataFrame, terms: np.ndarray) -> pa.Table:
+def placed(found: DataFrame, terms: np.ndarray) -> DataFrame:
     """(places, label) of each row: where its terms are in `terms`, which are sorted."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +116,27 @@ def placed(found: DataFrame, terms: np.ndarray) -> pa.Table:
             upto = np.append(0, np.cumsum(hit))[offs - offs[0]].astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(upto, pa.array(at[hit], pa.int32())), b.column(1)], names=["places", "label"])
 
-    return found.select("terms", "label").mapInArrow(place, "places array<int>, label int").toArrow()
+    return found.select("terms", "label").mapInArrow(place, "places array<int>, label int")
+
+
+def postings(rows: DataFrame, terms: int, files: int) -> Arrays:
+    """The (places, label) rows dealt over files in the shared folder: each has its rows' places and, by place, the rows that hold it."""
+    folder = shared_folder(rows.sparkSession, "postings")
+
+    def store(t: pa.Table) -> pa.Table:
+        bucket = int(t.column("bucket")[0].as_py())
+        places = t.column("places").combine_chunks()
+        places = places.combine_chunks() if isinstance(places, pa.ChunkedArray) else places
+        flat, offs = places.flatten().to_numpy().astype(np.int32), places.offsets.to_numpy().astype(np.int64)
+        offs = offs - offs[0]
+        order = np.argsort(flat, kind="stable")
+        holder = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))[order]
+        start = np.searchsorted(flat[order], np.arange(terms + 1))
+        save(folder, str(bucket), flat=flat, offs=offs, holder=holder, start=start, label=t.column("label").to_numpy().astype(np.int8))
+        return pa.table({"n": pa.array([bucket], pa.int64())})
+
+    dealt = rows.withColumn("bucket", (F.monotonically_increasing_id() % files).cast("int"))  # evaluated once, in the one job below
+    return Arrays(folder, files, [r.n for r in by_bucket(dealt, files, store, "n long").collect()])  # a row for each file
 
 
 def pair_ratio(both: np.ndarray, pos: np.ndarray, a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
@@ -126,45 +151,41 @@ def pair_ratio(both: np.ndarray, pos: np.ndarray, a: np.ndarray, b: np.ndarray,
     return np.where(both > 0, 2 * (up + down), 0)
 
 
-def screen_pairs(found: DataFrame, least: float = MIN_PAIR_RATIO) -> np.ndarray:
+def screen_pairs(found: DataFrame, least: float = MIN_PAIR_RATIO, counts: DataFrame | None = None, posting_rows: int = POSTING_ROWS) -> np.ndarray:
     """The sorted terms of pairs that say more of the label than either term.
 
     A pair of k positive rows reaches at most 2 k ln(1 / p), so rarer terms are left out without loss (likewise
-    for negative rows). All pairs of the rest are counted, a block of terms in a task's memory at a time.
+    for negative rows). All pairs of the rest are counted, a block of terms in a task's memory at a time; the
+    rows lie in files that the tasks map, the driver holds the terms only.
     """
     n, p = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < p < n:
         return np.zeros(0, np.int64)
     share = p / n
-    counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("pos"))
     enough = (F.col("pos") >= least / (-2 * np.log(share))) | (F.col("df") - F.col("pos") >= least / (-2 * np.log(1 - share)))
-    got = counts.where(enough).select("term", "df", "pos").toArrow().sort_by("term")
+    got = (term_counts(found) if counts is None else counts).where(enough).select("term", "df", "pos").toArrow().sort_by("term")
     terms, df, pos = (got.column(c).to_numpy().astype(np.int64) for c in ("term", "df", "pos"))
     if len(terms) < 2:
         return np.zeros(0, np.int64)
-    rows = placed(found, terms).combine_chunks()
-    places = rows.column("places").combine_chunks() if isinstance(rows.column("places"), pa.ChunkedArray) else rows.column("places")
-    flat, offs = places.flatten().to_numpy().astype(np.int32), places.offsets.to_numpy().astype(np.int64)
-    offs -= offs[0]
-    owner = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
-    order = np.argsort(flat, kind="stable")
-    start = np.searchsorted(flat[order], np.arange(len(terms) + 1))
-    spark = found.sparkSession
-    shared = spark.sparkContext.broadcast((flat, offs, owner[order], start, rows.column("label").to_numpy().astype(bool), (pos + share) / (df + 1)))
+    files = -(-n // posting_rows)
+    stored, alone = postings(placed(found, terms), len(terms), files), (pos + share) / (df + 1)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, offs, holders, start, y, alone = shared.value
+        parts = [own for k in range(files) if (own := stored.columns(k))]
         m = len(alone)
         for batch in batches:
             for block in batch.column(0).to_numpy():
                 lo, hi = int(block) * PAIR_BLOCK, min((int(block) + 1) * PAIR_BLOCK, m)
                 both, pos = np.zeros((hi - lo, m), np.int32), np.zeros((hi - lo, m), np.int32)
                 for a in range(lo, hi):
-                    docs = holders[start[a] : start[a + 1]]
-                    for kind in (True, False):
-                        own = [flat[offs[d] : offs[d + 1]] for d in docs[y[docs] == kind]]
-                        if own:
-                            c = np.bincount(np.concatenate(own), minlength=m)
+                    of = {1: [], 0: []}
+                    for own in parts:
+                        flat, offs, label = own["flat"], own["offs"], own["label"]
+                        for d in own["holder"][own["start"][a] : own["start"][a + 1]]:
+                            of[label[d]].append(flat[offs[d] : offs[d + 1]])
+                    for kind, lists in of.items():
+                        if lists:
+                            c = np.bincount(np.concatenate(lists), minlength=m)
                             both[a - lo] += c
                             if kind:
                                 pos[a - lo] = c
@@ -174,10 +195,8 @@ def screen_pairs(found: DataFrame, least: float = MIN_PAIR_RATIO) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(lo + keep, pa.int64())], names=["at"])
 
     blocks = -(-len(terms) // PAIR_BLOCK)
-    best = spark.range(0, blocks, 1, min(blocks, 64)).mapInArrow(compare, "at long")
-    out = terms[np.sort(best.toArrow().column("at").to_numpy())]
-    shared.destroy()
-    return out
+    best = found.sparkSession.range(0, blocks, 1, min(blocks, 64)).mapInArrow(compare, "at long")
+    return terms[np.sort(best.toArrow().column("at").to_numpy())]
 
 
 def fit(places: list[np.ndarray], y: np.ndarray, terms: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 7) -> Machine:
@@ -229,8 +248,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), part.column(1).cast(pa.int32())], names=["terms", "label"])
 
     found = written(sampled_features(docs, labelled_sample(labels, "toxic", sample_rows), extract, "terms array<long>, label int"), "terms")
-    terms = np.union1d(screen(found), screen_pairs(found))
-    got = placed(found, terms)
+    counts = written(term_counts(found), "counts")
+    terms = np.union1d(screen(found, counts=counts), screen_pairs(found, counts=counts))
+    got = placed(found, terms).toArrow()
     # In an order of their own: that of the files differs with the partitions.
     rows = sorted(zip((x.tobytes() for x in got.column("places").to_numpy()), got.column("label").to_pylist()))
     return fit([np.frombuffer(x, np.int32) for x, _ in rows], np.array([y for _, y in rows]), terms)

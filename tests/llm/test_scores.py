@@ -66,6 +66,30 @@ def test_every_term_with_evidence_takes_part(spark):
     assert toxicity.screen(rare).tolist() == []  # two rows are no evidence, nor is a term of all rows
 
 
+@pytest.mark.parametrize("posting_rows", [7, 100, 10_000])
+def test_pair_screen_by_brute_force(spark, posting_rows):
+    """Every pair of terms, counted row by row, whatever number of files holds the rows; equal rows and rows without terms among them."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(400):
+        own = set(rng.choice(60, 8, replace=False).tolist()) if k % 9 else set()
+        rows.append((sorted(own), int({1, 2} <= own or {5, 6, 7} <= own or k % 11 == 0 and 3 in own)))
+    rows += [([1, 2, 40], 1)] * 30 + [([1, 50], 0)] * 30 + [([2, 51], 0)] * 30
+    share = sum(y for _, y in rows) / len(rows)
+    df, pos = {}, {}
+    for own, y in rows:
+        for t in itertools.chain(own, itertools.combinations(own, 2)):
+            df[t], pos[t] = df.get(t, 0) + 1, pos.get(t, 0) + y
+    alone = {t: (pos[t] + share) / (df[t] + 1) for t in df}
+    want = set()
+    for a, b in (t for t in df if isinstance(t, tuple)):
+        got = toxicity.pair_ratio(np.array([df[a, b]]), np.array([pos[a, b]]), np.array([alone[a]]), np.array([alone[b]]), share)[0]
+        want |= {a, b} if got >= 10 else set()
+    found = spark.createDataFrame(rows, "terms array<long>, label int").repartition(3)
+    assert {1, 2} <= want and len(want) < 60
+    assert toxicity.screen_pairs(found, 10, posting_rows=posting_rows).tolist() == sorted(want)
+
+
 def test_empty_vectors_take_part(spark):
     df = spark.createDataFrame([(0, []), (100, [1.0, -1.0]), (1, [-0.5, 0.0]), (2, []), (3, None)], "vec_id long, embedding array<float>")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in top_k.top_k(df).collect())
