@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_values, fold, gathered, mix, piece_hashes, segments, shared_folder, utf8, word_bounds
-from .hash_arrays import BUCKET_BYTES, Arrays, bucket64, bucket_count, by_bucket, ranges, save, smallest, table_columns, table_values
+from .common import byte_values, fold, gathered, mix, piece_hashes, segments, shared_folder, utf8, word_bounds, written
+from .hash_arrays import BUCKET_BYTES, Arrays, bucket64, bucket_count, by_bucket, ranges, save, smallest, table_columns, table_values, told
 
 FOLDS, HELD_OUT = 7, 2
 #: The order of the registered query.
@@ -47,6 +47,8 @@ ORDER = 3
 TOKENS = 2_000_000
 #: Word numbers in one range.
 CHUNK = 4_000_000
+#: Buckets whose words' bases lie in one file.
+BASE_BLOCK = 4_096
 END = np.uint64(0x5D2C_91E4_A703_77B1)
 START, UNKNOWN = 0, 0xFFFFFFFF
 SEEDS = 4
@@ -162,10 +164,13 @@ def gram_rows(columns: list[np.ndarray], counts: np.ndarray, buckets: int, frequ
 
 @dataclass
 class Vocabulary:
-    """The words' hashes by bucket; a word's number is its rank within bucket and power of two of its count, plus `base` of these."""
+    """The words' hashes by bucket; a word's number is its rank within bucket and power of two of its count, plus the base
+    of these, which is stored (`bases`, a file for `block` buckets). `first` has the bases of bucket 0."""
 
     arrays: Arrays
-    base: np.ndarray
+    bases: Arrays
+    block: int
+    first: np.ndarray
     size: int
     tokens: int
     seed: int
@@ -175,7 +180,12 @@ class Vocabulary:
         bucket = bucket64(words, self.arrays.buckets)
         there, check, count, rank = self.arrays.lookup(words, bucket, ("check", "count", "rank"))
         there &= check == checks
-        number = np.where(there, self.base[bucket.astype(np.int64), power(count)] + rank, UNKNOWN)
+        base, bucket, p = np.zeros(len(words), np.int64), bucket.astype(np.int64), power(count)
+        for block, lo, hi in ranges(bucket // self.block):
+            own = self.bases.columns(block)
+            if own:
+                base[lo:hi] = own["base"].reshape(-1, 64)[bucket[lo:hi] - block * self.block, p[lo:hi]]
+        number = np.where(there, base + rank, UNKNOWN)
         return number.astype(np.uint32), np.where(there, count, 0)
 
 
@@ -225,19 +235,38 @@ def _counted_words(docs: DataFrame, buckets: int, seed: int) -> Vocabulary | Non
         rank[order] = np.arange(len(w)) - np.searchsorted(p[order], p[order])
         bucket = got.column("bucket")[0].as_py()
         save(folder, str(bucket), key=w, check=check, count=smallest(n), rank=smallest(rank))
-        told = [bucket, (w[1:] == w[:-1]).sum(), n.sum(), *np.bincount(p, minlength=64)]
-        return pa.table([pa.array([told], pa.list_(pa.int64()))], names=["told"])
+        return pa.table([pa.array([x]) for x in (bucket, int((w[1:] == w[:-1]).sum()), int(n.sum()))] + [pa.array([np.bincount(p, minlength=64)])], names=["n", "clashes", "tokens", "sizes"])
 
     found = docs.select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, word binary, check binary, n binary")
-    told = [r.told for r in by_bucket(found, buckets, merge, "told array<long>").collect()]  # 67 numbers for each bucket
-    if any(t[1] for t in told):
+    merged = written(by_bucket(found, buckets, merge, "n long, clashes long, tokens long, sizes array<long>"), "sizes")
+    done, sums = told(merged, clashes=F.col("clashes"), tokens=F.col("tokens"))
+    if sums["clashes"]:
         return None
-    sizes = np.zeros((buckets, 64), np.int64)
-    for t in told:
-        sizes[t[0]] = t[3:]
-    flat = sizes[:, ::-1].T.ravel()  # the most frequent words first
-    base = (1 + np.cumsum(flat) - flat).reshape(64, buckets).T[:, ::-1].copy()
-    return Vocabulary(Arrays(folder, buckets, [t[0] for t in told]), base, int(sizes.sum()), sum(t[2] for t in told), seed)
+    bases, first, size = _bases(merged, buckets, BASE_BLOCK)
+    return Vocabulary(Arrays(folder, buckets, done), bases, BASE_BLOCK, first, size, sums["tokens"], seed)
+
+
+def _bases(merged: DataFrame, buckets: int, block: int) -> tuple[Arrays, np.ndarray, int]:
+    """The numbers before the words of each bucket and power (the most frequent words first, then by bucket), stored; those of bucket 0; the number of words.
+
+    Only sums of `block` buckets reach the driver; a task adds up those within a block.
+    """
+    blocks, folder = -(-buckets // block), shared_folder(merged.sparkSession, "bases")
+    rows = merged.select(F.expr(f"cast(n div {block} as int)").alias("bucket"), "n", "sizes")
+    sums = np.zeros((blocks, 64), np.int64)
+    for r in rows.groupBy("bucket").agg(F.array(*(F.sum(F.get("sizes", F.lit(k))) for k in range(64))).alias("sums")).collect():
+        sums[r["bucket"]] = r["sums"]
+    flat = sums[:, ::-1].T.ravel()
+    start = (1 + np.cumsum(flat) - flat).reshape(64, blocks).T[:, ::-1].copy()
+
+    def store(got: pa.Table) -> pa.Table:
+        own = got.column("bucket")[0].as_py()
+        sizes = np.zeros((min(block, buckets - own * block), 64), np.int64)
+        sizes[got.column("n").to_numpy() - own * block] = np.stack(got.column("sizes").to_numpy())
+        save(folder, str(own), base=(start[own] + np.cumsum(sizes, 0) - sizes).ravel())
+        return pa.table({"n": pa.array([own], pa.int64())})
+
+    return Arrays(folder, blocks, told(by_bucket(rows, blocks, store, "n long"))[0]), start[0], int(sums.sum())
 
 
 def merged_words(words: np.ndarray, checks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -345,11 +374,11 @@ def _merge_words(folder: str):
     """The end of step 3: sums by word number, in a range of these."""
 
     def run(got: pa.Table) -> pa.Table:
-        chunk, told = got.column("bucket")[0].as_py(), []
+        chunk, out = got.column("bucket")[0].as_py(), []
         sums = np.zeros((5, CHUNK), np.int64)
         for kind, n, data in zip(*(got.column(c).to_pylist() for c in ("kind", "n", "data"))):
             if kind == COUNTS:
-                told.append([COUNTS, n, *np.frombuffer(data, np.int64)])
+                out.append([COUNTS, n, *np.frombuffer(data, np.int64)])
             else:
                 own = slice(0, 4) if kind == CONTEXTS else slice(4, 5)
                 numbers, *values = unpacked(data, n, 1, own.stop - own.start)
@@ -359,8 +388,8 @@ def _merge_words(folder: str):
         if sums.any():
             size = int(np.flatnonzero(sums.any(0))[-1]) + 1
             save(folder, str(chunk), **{name: smallest(x[:size]) for name, x in zip(("total", "n1", "n2", "n3", "before"), sums)})
-            told.append([CONTINUED, chunk, *counts_of_counts(before), (before >= 3).sum(), before.sum()])
-        return pa.table([pa.array(told, pa.list_(pa.int64()))], names=["told"])
+            out.append([CONTINUED, chunk, *counts_of_counts(before), (before >= 3).sum(), before.sum()])
+        return pa.table([pa.array(out, pa.list_(pa.int64()))], names=["told"])
 
     return run
 
@@ -371,7 +400,7 @@ def train(docs: DataFrame, order: int = 2, bucket_bytes: int = BUCKET_BYTES) ->
     buckets = bucket_count(docs, bucket_bytes)
     words = vocabulary(docs, buckets)
     share = max(words.tokens // buckets, 1)
-    frequent = int(words.base[0, max(share.bit_length() - 2, 0)])  # words from this number on are below a bucket's share
+    frequent = int(words.first[max(share.bit_length() - 2, 0)])  # words from this number on are below a bucket's share
     folders = {n: shared_folder(spark, f"{n}-grams") for n in range(2, order + 1)}
     contexts = {n: shared_folder(spark, f"{n}-contexts") for n in range(1, order)}
 
@@ -385,16 +414,17 @@ def train(docs: DataFrame, order: int = 2, bucket_bytes: int = BUCKET_BYTES) ->
     for n in range(order, 1, -1):
         found = by_bucket(found, buckets, _merge(n, buckets, frequent, folders[n], contexts[n - 1]), _PACKED)
     dense = shared_folder(spark, "words")
-    told = [r.told for r in by_bucket(found, words.size // CHUNK + 1, _merge_words(dense), "told array<long>").collect()]  # a few numbers for each bucket and order
-    by_order = {n: [t for t in told if t[0] == COUNTS and t[1] == n] for n in folders}
-    d = {n: discounts(np.sum([t[2:6] for t in rows], axis=0) if rows else np.zeros(4)) for n, rows in by_order.items()}
-    chunks = [t for t in told if t[0] == CONTINUED]
-    n = np.sum([t[2:] for t in chunks], axis=0) if chunks else np.zeros(6, np.int64)
+    ends = written(by_bucket(found, words.size // CHUNK + 1, _merge_words(dense), "told array<long>"), "counted")
+    ends, t = ends.select(*(F.get("told", F.lit(k)).alias(f"t{k}") for k in range(8))), {f"t{k}": F.col(f"t{k}") for k in range(8)}
+    own = {n: told(ends.where((t["t0"] == COUNTS) & (t["t1"] == n)), "t6", **{k: t[k] for k in ("t2", "t3", "t4", "t5")}) for n in folders}
+    d = {n: discounts(np.array(list(sums.values()), np.int64)) for n, (_, sums) in own.items()}
+    chunks, sums = told(ends.where(t["t0"] == CONTINUED), "t1", **{f"t{k}": t[f"t{k}"] for k in range(2, 8)})
+    n = np.array(list(sums.values()), np.int64)
     d[1] = discounts(n[:4])
     spread = float(d[1] @ [n[0], n[1], n[4]] / n[5]) if n[5] else 1.0
-    arrays = {n: Arrays(folders[n], buckets, [t[6] for t in rows]) for n, rows in by_order.items()}
+    arrays = {n: Arrays(folders[n], buckets, done) for n, (done, _) in own.items()}
     around = {n - 1: Arrays(contexts[n - 1], buckets, arrays[n].written) for n in folders if n > 2}
-    return Model(order, words, arrays, around, Arrays(dense, 0, [t[1] for t in chunks]), frequent, int(n[5]), d, spread)
+    return Model(order, words, arrays, around, Arrays(dense, 0, chunks), frequent, int(n[5]), d, spread)
 
 
 def runs_of_tokens(batches: Iterator[pa.RecordBatch], column: int, seed: int, most: int) -> Iterator[list[tuple]]:

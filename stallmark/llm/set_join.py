@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, mix, segments, shared_folder, utf8, word_hashes, written
-from .hash_arrays import MASK48, Arrays, bucket48, bucket64, bucket_count, by_bucket, pack48, ranges, save, smallest, unpack48
+from .hash_arrays import MASK48, Arrays, bucket48, bucket64, bucket_count, by_bucket, pack48, ranges, save, smallest, told, unpack48
 
 WORDS = 5
 #: The similarity as a fraction of whole numbers.
@@ -131,8 +131,8 @@ def shared_shingles(docs: DataFrame, buckets: int, words: int = WORDS, longest:
         return pa.table([pa.array([bucket]), pa.array([int((n > longest).sum())])], names=["n", "frequent"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, shingle binary, n binary")
-    done = by_bucket(packed, buckets, merge, "n long, frequent long").collect()
-    return Arrays(folder, buckets, [r.n for r in done]), sum(r.frequent for r in done)
+    done, sums = told(by_bucket(packed, buckets, merge, "n long, frequent long"), frequent=F.col("frequent"))
+    return Arrays(folder, buckets, done), sums["frequent"]
 
 
 def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import BYTE, byte_values, gathered, mix, named, powers, prefix_hashes, segments, shared_folder, utf8
-from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, by_bucket, pack48, ranges, save, smallest, unpack48
+from .hash_arrays import MASK48, Arrays, bucket48, bucket_count, by_bucket, pack48, ranges, save, smallest, told, unpack48
 
 LENGTH = 50
 #: 24 bytes: much shorter strings meet by chance in large corpora, longer ones make more and shorter runs.
@@ -336,7 +336,7 @@ def shared_anchors(docs: DataFrame, buckets: int, length: int = LENGTH) -> Array
         return pa.table([pa.array([bucket])], names=["n"])
 
     packed = docs.where(F.col("doc_id").isNotNull()).select(F.col("text").cast("string")).mapInArrow(gather, "bucket int, anchor binary, n binary")
-    return Arrays(folder, buckets, [r.n for r in by_bucket(packed, buckets, merge, "n long").collect()])
+    return Arrays(folder, buckets, told(by_bucket(packed, buckets, merge, "n long"))[0])
 
 
 def packed_runs(group: np.ndarray, low: np.ndarray, high: np.ndarray, windows: np.ndarray) -> bytes:
@@ -412,7 +412,7 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH, common: int
         size = windows + length - 1
         answers = _answers(group, run_keys(content, size, seed), low, high, windows, content, length)
         if answers is None:
-            return pa.table([pa.array([-1])], names=["n"])
+            return pa.table([pa.array([None], pa.int64())], names=["n"])
         key, first, size, ids = answers
         # Runs with one smallest id for all windows keep it once.
         some = len(size) > 0
@@ -425,8 +425,8 @@ def window_ids(docs: DataFrame, known: Arrays, length: int = LENGTH, common: int
         return pa.table([pa.array([bucket])], names=["n"])
 
     own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    done = [r.n for r in by_bucket(own.mapInArrow(gather, schema), buckets, merge, "n long").collect()]
-    return None if -1 in done else Arrays(folder, buckets, done)
+    done, sums = told(by_bucket(own.mapInArrow(gather, schema), buckets, merge, "n long"), clashes=F.col("n").isNull().cast("int"))
+    return None if sums["clashes"] else Arrays(folder, buckets, done)
 
 
 @dataclass

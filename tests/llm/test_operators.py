@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stallmark.llm import decontamination, hash_arrays, kneser_ney, packing, quality, set_join, sharding, suffix_dedup, top_k, toxicity, url_filter
 from stallmark.llm.common import connected_components
@@ -540,6 +541,49 @@ def test_missing_bucket_is_an_error(tmp_path):
         hash_arrays.Arrays(str(tmp_path), 8, [3, 4]).columns(4)
 
 
+def test_bucket_sets():
+    numbers = [0, 1, 7, 8, 4095, 32_768, 99_999]
+    own = hash_arrays.Buckets(numbers)
+    assert list(own) == numbers and 7 in own and 6 not in own and 100_000 not in own and 10**9 not in own and -1 not in own
+    assert list(hash_arrays.Buckets()) == [] and 0 not in hash_arrays.Buckets()
+
+
+def test_many_buckets_reach_the_driver_as_bits(spark):
+    """Of 100,000 buckets, 13 bytes for each hundred and one row for 32,768 reach the driver; a task holds a bucket at a time."""
+    import pickle
+
+    rows = spark.range(300_000).select((F.pmod(F.xxhash64("id"), F.lit(50_000)) * 2).cast("int").alias("bucket"), "id").repartition(5)
+
+    def merge(got):
+        assert len(set(got.column("bucket").to_pylist())) == 1
+        return pa.table({"n": [got.column("bucket")[0].as_py()], "rows": [got.num_rows], "least": [min(got.column("id").to_pylist())]})
+
+    merged = hash_arrays.by_bucket(rows, 100_000, merge, "n long, rows long, least long", most_tasks=6)
+    assert merged.rdd.getNumPartitions() == 6
+    done, sums = hash_arrays.told(merged, rows=F.col("rows"), least=F.col("least"))
+    want = rows.groupBy("bucket").agg(F.min("id").alias("least")).toPandas()
+    assert list(done) == sorted(want.bucket) and sums == {"rows": 300_000, "least": want.least.sum()}
+    assert len(pickle.dumps(hash_arrays.Arrays("/none", 100_000, done))) < 20_000
+    none, sums = hash_arrays.told(merged.where("n < 0").union(spark.createDataFrame([(None, 3, 4)], "n long, rows long, least long")), rows=F.col("rows"))
+    assert list(none) == [] and sums == {"rows": 3}
+    assert hash_arrays.told(merged.where("n < 0"), rows=F.col("rows"))[1] == {"rows": 0}
+
+
+@pytest.mark.parametrize("block", [1, 5, 4096])
+def test_word_numbers_whatever_the_blocks(spark, monkeypatch, block):
+    """Each word has its own number from 1 on, the more frequent powers of two first, then by bucket and hash."""
+    texts = [" ".join(f"w{k}" for k in range(1, 200) if n % k == 0) for n in range(1, 60)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(kneser_ney, "BASE_BLOCK", block)
+    words = kneser_ney.vocabulary(docs, 17)
+    (_, hashes, checks, places, _), = kneser_ney.tokens(pa.array(texts), words.seed)
+    number, count = words.numbers(hashes, checks)
+    assert (count == np.bincount(places, minlength=len(hashes))).all() and words.size == len(hashes) and words.tokens == count.sum()
+    order = sorted(range(len(hashes)), key=lambda k: (-int(np.log2(count[k])), int(hashes[k])))
+    assert [int(number[k]) for k in order] == list(range(1, len(hashes) + 1))
+    assert words.numbers(hashes + np.uint64(1), checks)[0].tolist() == [kneser_ney.UNKNOWN] * len(hashes)
+
+
 def labelled(spark, sf, label, operator):
     big = sf.replace("0.001", "0.01")
     d, l = (spark.read.parquet(f"{big}/{n}.parquet") for n in ("documents", "labels"))
