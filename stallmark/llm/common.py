@@ -26,6 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _folders: list[str] = []
+_stored: list[str] = []
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -49,6 +50,8 @@ def removed_folder(spark: SparkSession, folder: str) -> None:
 
 def release(spark: SparkSession) -> None:
     """Removes every folder that this process has made; for when the results that were read from them are stored."""
+    while _stored:
+        spark.sql(f"DROP TABLE IF EXISTS {_stored.pop()}")
     while _folders:
         removed_folder(spark, _folders.pop())
 
@@ -60,6 +63,22 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, purpose: str, key: str, buckets: int) -> DataFrame:
+    """One row of df for each key, in the shared folder in buckets by hash of the key, one file each.
+
+    Joins on the key with rows dealt out alike, `repartition(buckets, key)`, leave the stored rows in place. Spark knows
+    buckets only of tables in its catalog; the table is an external one over the folder, and release drops it.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    own = free_name(df, "bucket")
+    dealt = df.withColumn(own, F.pmod(F.hash(key), F.lit(buckets))).repartitionById(buckets, own).dropDuplicates([key, own]).drop(own)
+    dealt.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    _stored.append(name)
+    return spark.table(name)
+
+
 def named(column: str) -> Column:
     """The column of this very name, whatever signs it holds."""
     return F.col("`" + column.replace("`", "``") + "`")

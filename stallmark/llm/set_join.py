@@ -23,6 +23,9 @@ LONGEST documents. Entries of such shingles stay rows: their leader is an aggreg
 join, and step 4 cuts the list into blocks of LONG_BLOCK nodes that meet in groups of their own; what lies in the
 list's largest component is not compared with itself.
 
+The nodes are stored in buckets by hash. Components and leaders come to them there, the lists get prefixes only, and
+only nodes of a pair leave their bucket to be verified: whole sets are shuffled once, to be stored, and once more where they are compared.
+
 Pairs within a component are never expanded, so a group of copies costs a star, and no link
 between different components is lost. Only counters reach the driver.
 
@@ -41,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, mix, segments, shared_folder, utf8, word_hashes, written
-from .hash_arrays import MASK48, Arrays, bucket48, bucket64, bucket_count, by_bucket, pack48, ranges, save, smallest, told, unpack48
+from .common import connected_components, mix, segments, shared_folder, stored_by, utf8, word_hashes, written
+from .hash_arrays import LEAST_BUCKETS, MASK48, MOST_TASKS, Arrays, bucket48, bucket64, bucket_count, by_bucket, pack48, ranges, save, smallest, told, unpack48
 
 WORDS = 5
 #: The similarity as a fraction of whole numbers.
@@ -53,6 +56,8 @@ BLOCK = 64
 SALTS = 32
 #: A shingle of more documents than this has its list spread over tasks, in blocks of this many nodes.
 LONGEST, LONG_BLOCK = 20_000, 4096
+#: Nodes lie in one bucket for so many buckets of shingles: each task that makes index lists sends a row to nearly every bucket of these.
+NODE_SHARE = 8
 #: The fields of an entry of an index list.
 FIELDS = ("node", "n", "rare", "place", "central", "component", "leader", "overlap")
 _MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
@@ -177,6 +182,12 @@ def document_sets(docs: DataFrame, known: Arrays, words: int = WORDS) -> DataFra
     return own.mapInArrow(run, "doc_id long, n_shingles long, node long, rare long, central long, shingles binary")
 
 
+def prefixed(nodes: DataFrame) -> DataFrame:
+    """The nodes with the shingles of their prefixes only."""
+    length = F.expr(f"cast(8 * (n + 1 - rare - ({NUMERATOR} * n + {DENOMINATOR - 1}) div {DENOMINATOR}) as int)")
+    return nodes.withColumn("shingles", F.substring("shingles", F.lit(1), length))
+
+
 def _prefixes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The prefix shingles of a batch of nodes, ascending, and the FIELDS of each."""
     node, n, rare, central, comp, leader, overlap = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in FIELDS if c != "place")
@@ -344,8 +355,14 @@ def cross_pairs(got: pa.Table) -> pa.Table:
     return _pairs(found)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, overlap, link of each pair, exactly."""
+def nodes_of(pairs: DataFrame, nodes: DataFrame, buckets: int) -> DataFrame:
+    """The nodes (stored in so many buckets) that are in a pair."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().repartition(buckets, "node")
+    return nodes.join(ids, "node", "left_semi")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, buckets: int) -> DataFrame:
+    """a, b, overlap, link of each pair (stored ones, they are read twice), exactly. nodes: stored in so many buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,8 +385,10 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             link = out >= least_overlap(na, nb)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out), pa.array(link)], names=["a", "b", "overlap", "link"])
 
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+    # Written, so that these joins deal them out anew and Spark can split the pairs of a frequent leader.
+    met = written(nodes_of(pairs, nodes, buckets).select("node", "n", "shingles"), "met")
+    a = met.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    b = met.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     return pairs.join(b, "b").join(a, "a").mapInArrow(run, "a long, b long, overlap long, link boolean")
 
 
@@ -381,21 +400,22 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, longest: int = LONGE
     live = sets.where("node is not null")
     # Copies meet in tasks first: one row with shingles for each node and task.
     least = live.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bodies = live.where("shingles is not null").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("n"), "rare", "central", "shingles")
-    nodes = written(bodies, "nodes")
+    bodies = live.where("shingles is not null").select("node", F.col("n_shingles").alias("n"), "rare", "central", "shingles")
+    stored = min(max(LEAST_BUCKETS, buckets // NODE_SHARE), MOST_TASKS)
+    nodes = stored_by(bodies, "nodes", "node", stored)
+    starts = prefixed(nodes)
 
-    none = nodes.withColumns({c: F.lit(None).cast("long") for c in ("component", "leader", "overlap")})
+    none = starts.withColumns({c: F.lit(None).cast("long") for c in ("component", "leader", "overlap")})
     apart = shared if frequent else None  # without frequent shingles no list is long
     stars = by_bucket(index_lists(none, buckets, apart, longest), buckets, star_pairs, "a long, b long")
     if frequent:
         stars = stars.union(long_star_pairs(written(long_lists(none, shared, longest), "long")))
-    stars = stars.distinct()
-    checked = written(verified(stars, nodes), "stars")
-    components = connected_components(checked.where("link"))
+    checked = written(verified(written(stars.distinct(), "pairs"), nodes, stored), "stars")
+    components = connected_components(checked.where("link")).withColumnRenamed("id", "node").repartition(stored, "node")
     leaders = checked.groupBy("b").agg(F.max_by(F.struct("a", "overlap"), F.struct("overlap", "a")).alias("l")).select(F.col("b").alias("node"), F.col("l.a").alias("leader"), F.col("l.overlap").alias("overlap"))
-    known = nodes.join(components.withColumnRenamed("id", "node"), "node", "left").join(leaders, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = starts.join(components, "node", "left").join(leaders.repartition(stored, "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     # The leader itself has its whole set in common with itself.
-    heads = leaders.select(F.col("leader").alias("node")).distinct().withColumn("is_head", F.lit(True))
+    heads = leaders.select(F.col("leader").alias("node")).distinct().repartition(stored, "node").withColumn("is_head", F.lit(True))
     known = known.join(heads, "node", "left").withColumns({
         "overlap": F.when(F.col("is_head"), F.col("n") - F.col("rare")).otherwise(F.col("overlap")),
         "leader": F.when(F.col("is_head"), F.col("node")).otherwise(F.col("leader")),
@@ -405,7 +425,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, longest: int = LONGE
         crossing = crossing.union(long_cross_pairs(written(long_lists(known, shared, longest), "long"), block))
     crossing = crossing.distinct()
     crossing = crossing.join(checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = verified(crossing, nodes).where("link").select("a", "b")
+    more = verified(written(crossing, "pairs"), nodes, stored).where("link").select("a", "b")
     links = checked.where("link").select("a", "b").union(more)
     components = connected_components(written(links, "links")).withColumnRenamed("id", "node")
 
