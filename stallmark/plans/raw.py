@@ -111,6 +111,8 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGE_ROWS = 200
 #: Two extractions of the payments.
 RUNS = (("2026-01-01T00:00:00Z", "run-1"), ("2026-01-02T00:00:00Z", "run-2"))
+#: What the pages of payments hold and flattened rows must not. Both begin with letters that no other field has: bare digits also occur in ids and amounts.
+FINGERPRINT, BIN = "FP-", "BIN-411111"
 _written: set[str] = set()
 
 
@@ -129,7 +131,7 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
     if root not in _written:
         k = F.col("o_orderkey")
         for n, (at, run) in enumerate(RUNS):
-            own = _payment_records(table(spark, sf_dir, "orders"), F.col("o_totalprice") * 100 + (1 - n), fingerprint=_text("FP-", k), bin=F.lit("411111"))
+            own = _payment_records(table(spark, sf_dir, "orders"), F.col("o_totalprice") * 100 + (1 - n), fingerprint=_text(FINGERPRINT, k), bin=F.lit(BIN))
             sinks.append_bronze(_enveloped(own, "payments", "payments", k, at, run), root, "payments")
         k = F.col("p_partkey")
         record = F.struct(_text("P", k).alias("catalog_object_id"), _text("LOC", k % 5).alias("location_id"), F.lit("IN_STOCK").alias("state"), F.col("p_size").cast("string").alias("quantity"), F.lit(RUNS[0][0]).alias("calculated_at"))
@@ -165,10 +167,10 @@ def raw_rebuild_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that hold card fingerprints, and flattened payments that hold one or a BIN in any column."""
     root = raw_root(spark, sf_dir)
-    raw = spark.read.option("recursiveFileLookup", True).text(f"{root}/square/payments").where(F.col("value").contains("FP-"))
+    raw = spark.read.option("recursiveFileLookup", True).text(f"{root}/square/payments").where(F.col("value").contains(FINGERPRINT))
     rows = silver.payments(bronze.bronze_pages(spark, root, "payments"))
     text = F.concat_ws("|", *(F.col(c).cast("string") for c in rows.columns))
-    leaked = rows.where(text.contains("FP-") | text.contains("411111")).agg(F.count("*").alias("leaked"))
+    leaked = rows.where(text.contains(FINGERPRINT) | text.contains(BIN)).agg(F.count("*").alias("leaked"))
     return raw.agg(F.count("*").alias("planted_pages")).crossJoin(leaked)  # one row each
 
 
