@@ -13,7 +13,8 @@ from stallmark.operators import checks, kpi, range_functions
 from stallmark.operators.windows import Windows
 from stallmark.plans import queries as retail_queries
 from stallmark.plans import raw, retail
-from stallmark.sources import gold
+from stallmark.sources import gold, versions
+from stallmark.streaming import bronze_stream
 
 
 def changed(spark, sf, folder, **tables):
@@ -101,3 +102,24 @@ def test_items_are_summed_without_moving_day_rows(spark, stars):
     for name in ("items", "summary", "category", "hour", "weekday"):
         assert "Expand" not in plan(range_functions.over_table(whole, name)), name  # no orders are split
     assert checks.ranges_equal_periods(whole).isEmpty()
+
+
+def test_a_fold_in_parts_leaves_the_same_rows(spark, tmp_path, monkeypatch):
+    """A stream into a stored table whose folds go through it in parts; files that no version names any more go as it runs."""
+    rows = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("order_line_key"), F.lit("2026-01-01").cast("timestamp_ntz").alias("order_updated_at"), F.col("id").alias("net_sales_cents"))
+    rows.repartition(6).withColumn("net_sales_cents", F.col("net_sales_cents") + 1).write.parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(gold, "PART_ROWS", 900)
+    t = versions.VersionedTable(spark, str(tmp_path / "t"))
+    t.publish(rows)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    bronze_stream.merge_stream(stream, lambda b: b, t, str(tmp_path / "check"), keep=1).awaitTermination()
+    want = rows.withColumn("net_sales_cents", F.col("net_sales_cents") + 1)
+    assert t.version() == 7 and checks.row_differences(t.current(), want).isEmpty()
+    base = [s for s in t.state()[0] if s.part == "base"]
+    assert len(base) >= 5  # each fold leaves one for each part
+    assert {f"data/{f}" for f in os.listdir(tmp_path / "t" / "data")} <= {s.folder for s in t.state()[0]} | folders_since(t, 6)
+
+
+def folders_since(t, version):
+    """What versions from one on added; vacuum runs at folds only."""
+    return {s.folder for n in range(version, t.version() + 1) for s in t.state(n)[0]}
